@@ -7,7 +7,13 @@ Spark SQL has no ``erf``. It is evaluated with the all-positive series
 
 as a higher-order ``aggregate`` over ``sequence(1, N)`` carrying
 (term, partial sum); each term is the previous one times 2x^2/(2k+1).
-For |x| >= 6, erf is +-1 to double precision.
+From |x| >= 2.5 the tail is taken from erfc's continued fraction
+
+    erfc(x) = exp(-x^2)/sqrt(pi) / (x + (1/2)/(x + 1/(x + (3/2)/(x + ...))))
+
+evaluated bottom-up, and erf = 1 - erfc: this keeps the last bit of erf
+right, which matters for 2 * (1 - Phi(|t|)) at large t. For |x| >= 6,
+erf is +-1 to double precision.
 """
 
 from __future__ import annotations
@@ -18,6 +24,8 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 SERIES_TERMS = 200
+CF_TERMS = 100
+CF_FROM = 2.5
 ERF_SATURATION = 6.0
 
 # Two-sided critical z per confidence level.
@@ -33,8 +41,7 @@ def z_critical(conf_level: float) -> float:
     raise ValueError(f"unsupported confidence level {conf_level}; use one of {sorted(Z_CRITICAL)}")
 
 
-def erf(x: Column) -> Column:
-    ax = F.abs(x)
+def _erf_series(ax: Column) -> Column:
     two_x2 = ax * ax * F.lit(2.0)
 
     def step(acc, k):
@@ -47,11 +54,27 @@ def erf(x: Column) -> Column:
         step,
         lambda acc: acc["s"],
     )
-    body = F.lit(2.0 / math.sqrt(math.pi)) * F.exp(-(ax * ax)) * series
+    return F.lit(2.0 / math.sqrt(math.pi)) * F.exp(-(ax * ax)) * series
+
+
+def erfc_tail(ax: Column) -> Column:
+    """erfc(x) for x >= CF_FROM by the continued fraction (bottom-up)."""
+    denom = F.aggregate(
+        F.sequence(F.lit(CF_TERMS), F.lit(1), F.lit(-1)),
+        ax,
+        lambda acc, k: ax + (k.cast("double") / 2.0) / acc,
+    )
+    return F.exp(-(ax * ax)) / F.lit(math.sqrt(math.pi)) / denom
+
+
+def erf(x: Column) -> Column:
+    ax = F.abs(x)
+    mag = (F.when(ax >= ERF_SATURATION, F.lit(1.0))
+           .when(ax >= CF_FROM, F.lit(1.0) - erfc_tail(ax))
+           .otherwise(_erf_series(ax)))
     return (F.when(x.isNull(), F.lit(None).cast("double"))
             .when(F.isnan(x), F.lit(float("nan")))
-            .when(ax >= ERF_SATURATION, F.signum(x))
-            .otherwise(F.signum(x) * body))
+            .otherwise(F.signum(x) * mag))
 
 
 def normal_cdf(z: Column) -> Column:
@@ -69,6 +92,16 @@ def two_sided_p(t: Column) -> Column:
         .otherwise(F.lit(float("nan")))
 
 
+def ieee_div(num: Column, den: Column) -> Column:
+    """num / den with floating-point semantics (x/0 -> +-inf, 0/0 -> NaN),
+    as NumPy computes it; ANSI mode would raise instead."""
+    n, d = num.cast("double"), den.cast("double")
+    return (F.when(d != 0, n / d)
+            .when(n > 0, F.lit(float("inf")))
+            .when(n < 0, F.lit(float("-inf")))
+            .otherwise(F.lit(float("nan"))))
+
+
 def safe_ratio(num: Column, den: Column) -> Column:
     """num / den as double, NaN when den is 0 (ANSI would raise)."""
     return F.when(den != 0, num.cast("double") / den.cast("double")).otherwise(F.lit(float("nan")))

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from tillroll.functions import formatting as fmt
 from tillroll.functions.dates import is_q4
-from tillroll.functions.stats import is_finite, two_sided_p, z_critical
+from tillroll.functions.stats import ieee_div, is_finite, two_sided_p, z_critical
 
 ALPHA = 0.05
 CONF_LEVEL = 0.95
@@ -111,8 +111,8 @@ def welch_test(series: DataFrame, value_col: str, date_col: str = "order_date",
                        F.when(is_finite(F.col("p_value")),
                               F.when(F.col("p_value") < alpha, F.lit("True")).otherwise(F.lit("False")))
                        .otherwise(F.lit("NA")))
-           .withColumn("df_eff", (a + b) * (a + b)
-                       / (v1 * v1 / (n1 * n1 * (n1 - 1)) + v2 * v2 / (n2 * n2 * (n2 - 1))))
+           .withColumn("df_eff", ieee_div((a + b) * (a + b),
+                                          v1 * v1 / (n1 * n1 * (n1 - 1)) + v2 * v2 / (n2 * n2 * (n2 - 1))))
            .withColumn("ci_low", F.col("diff") - F.lit(z) * F.col("_se"))
            .withColumn("ci_high", F.col("diff") + F.lit(z) * F.col("_se")))
     return out.select(F.lit(name).alias("test"), F.col("n_q4").cast("long").alias("n_q4"),
@@ -185,7 +185,7 @@ def ols_q4(dataset: DataFrame) -> DataFrame:
                  F.col(f"b{i}").alias("coef"), F.col(f"se{i}").alias("se"))
         for i, term in enumerate(OLS_TERMS)])
     long = sol.select(F.inline(rows))
-    t = F.col("coef") / F.col("se")
+    t = ieee_div(F.col("coef"), F.col("se"))
     return (long.withColumn("t", t)
             .withColumn("p", two_sided_p(F.col("t")))
             .orderBy("term_no")
