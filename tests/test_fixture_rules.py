@@ -101,3 +101,46 @@ def test_union_yearly_by_name(spark, fixture_csv):
     b = raw.where((F.year("invoicedate") != 2009) | F.col("invoicedate").isNull()).select(*reversed(raw.columns))
     u = sync.union_yearly([a, b])
     assert u.columns == raw.columns and u.count() == 18
+
+
+def test_unparsed_cells_are_counted(spark, tmp_path):
+    from tillroll.sources.csv import parse_quality
+    d = tmp_path / "bad"
+    d.mkdir()
+    (d / "f.csv").write_text(
+        "Invoice,StockCode,Description,Quantity,InvoiceDate,Price,Customer ID,Country\n"
+        "1,A,X,2,1/2/2010 10:00,1.00,13085.0,France\n"
+        "2,B,Y,3,1/2/2010 10:00,2.00,13085,France\n")
+    lines = read_retail_csv(spark, str(d), keep_unparsed=True)
+    rows = lines.orderBy("invoice").collect()
+    assert rows[0].customer_id is None and rows[0]._unparsed is not None
+    assert rows[1].customer_id == 13085 and rows[1]._unparsed is None
+    assert tuple(parse_quality(lines).first()) == (2, 1)
+
+
+def test_change_gate_versions(spark, tmp_path):
+    from tillroll.sources import state
+    from tillroll.operators import marts
+    raw = read_retail_csv(spark, str(tmp_path.parent / "src") if False else _fixture_dir(tmp_path))
+    star = build_star(staging_clean(raw))
+    path = str(tmp_path / "state")
+    sig = marts.data_signature(star.fact, star.dim_date, with_revenue=True)
+    g1 = state.change_gate(sig, state.read_state(spark, path)).first()
+    assert g1.changed and g1.next_version == 1 and g1.max_date == "2010-10-05" and g1.n_rows == 8
+    state.write_state(spark.createDataFrame([g1.asDict()]), path)
+    g2 = state.change_gate(sig, state.read_state(spark, path)).first()
+    assert not g2.changed and g2.next_version == 1 and g2.previous_version == 1
+    edited = star.fact.withColumn("total_price", F.col("total_price") + 1)
+    g3 = state.change_gate(marts.data_signature(edited, star.dim_date, with_revenue=True),
+                           state.read_state(spark, path)).first()
+    assert g3.changed and g3.next_version == 2      # same count, different revenue
+    g4 = state.change_gate(marts.data_signature(edited, star.dim_date), state.read_state(spark, path)).first()
+    assert not g4.changed                              # the plain signature does not see it
+
+
+def _fixture_dir(tmp_path):
+    from tests.conftest import FIXTURE_CSV
+    d = tmp_path / "fx"
+    d.mkdir(exist_ok=True)
+    (d / "f.csv").write_text(FIXTURE_CSV)
+    return str(d)

@@ -58,3 +58,25 @@ def test_stream_ingest_available_now(spark, tmp_path):
     q.awaitTermination(120)
     overlap_null_keys = view.where((F.col("invoicedate") < split) & F.col("quantity").isNull()).count()
     assert wh.raw().count() == view.count() + overlap_null_keys
+
+
+def test_catalog_sql_matches_dataframes(spark, tmp_path):
+    from tillroll.sources import catalog
+    wh = Warehouse(spark, str(tmp_path / "wh"))
+    wh.sync_raw(testdata.retail_lines(spark, SF_SMALL))
+    wh.rebuild_staging()
+    wh.build_star()
+    catalog.register_layers(spark, wh)
+    assert spark.sql("SELECT COUNT(*) FROM raw.online_retail").first()[0] == 6000
+    assert spark.sql("SELECT COUNT(*) FROM staging.online_retail_clean").first()[0] == 5109
+    sql = spark.sql("""SELECT d.year, d.month, d.month_name, ROUND(SUM(f.total_price), 2) AS monthly_revenue
+        FROM analytics.fact_sales f JOIN analytics.dim_date d ON d.date_key = f.date_key
+        GROUP BY d.year, d.month, d.month_name""")
+    s = wh.star()
+    df = marts.revenue_by_month(s.fact, s.dim_date)
+    assert sql.exceptAll(df).count() == 0 and df.exceptAll(sql).count() == 0
+    # a new build repoints the analytics tables
+    v2 = wh.build_star()
+    catalog.register_layers(spark, wh)
+    assert v2 == 2
+    assert spark.sql("SELECT COUNT(*) FROM analytics.fact_sales").first()[0] == s.fact.count()

@@ -131,13 +131,17 @@ def daily_kpis(fact: DataFrame, dim_date: DataFrame, dim_country: DataFrame) ->
 # ---------------------------------------------------------------- figure feeds
 
 
-def data_signature(fact: DataFrame, dim_date: DataFrame) -> DataFrame:
+def data_signature(fact: DataFrame, dim_date: DataFrame, with_revenue: bool = False) -> DataFrame:
     """(max date, row count) of fact joined to dim_date; per-day counts are
-    joined, not lines."""
-    per_day = fact.groupBy("date_key").agg(F.count(F.lit(1)).alias("_n"))
-    return (per_day.join(dim_date, "date_key")
-            .agg(F.max("full_date").alias("max_date"),
-                 F.coalesce(F.sum("_n"), F.lit(0)).cast("long").alias("n_rows")))
+    joined, not lines. A same-count edit is not seen by this signature;
+    ``with_revenue`` adds the net revenue so such edits also count."""
+    per_day = fact.groupBy("date_key").agg(F.count(F.lit(1)).alias("_n"),
+                                           F.sum("total_price").alias("_rev"))
+    aggs = [F.max("full_date").alias("max_date"),
+            F.coalesce(F.sum("_n"), F.lit(0)).cast("long").alias("n_rows")]
+    if with_revenue:
+        aggs.append(F.sum("_rev").cast("string").alias("net_revenue"))
+    return per_day.join(dim_date, "date_key").agg(*aggs)
 
 
 def fig_daily_revenue(fact: DataFrame, dim_date: DataFrame) -> DataFrame:

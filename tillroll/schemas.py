@@ -68,6 +68,7 @@ STATE_SCHEMA = StructType([
     StructField("data_signature", StructType([
         StructField("max_date", StringType(), True),
         StructField("n_rows", LongType(), True),
+        StructField("net_revenue", StringType(), True),
     ]), True),
     StructField("version", LongType(), True),
     StructField("last_run_utc", StringType(), True),

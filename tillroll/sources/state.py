@@ -29,17 +29,23 @@ def change_gate(signature: DataFrame, state: DataFrame) -> DataFrame:
     prev = state.agg(
         F.max(F.col("data_signature.max_date")).alias("prev_max_date"),
         F.max(F.col("data_signature.n_rows")).alias("prev_n_rows"),
+        F.max(F.col("data_signature.net_revenue")).alias("prev_net_revenue"),
         F.max("version").alias("previous_version"),
         F.count(F.lit(1)).alias("_has_state"))
+    with_rev = "net_revenue" in signature.columns
     sig = signature.select(F.col("max_date").cast("date").cast("string").alias("max_date"),
-                           F.col("n_rows").cast("long").alias("n_rows"))
+                           F.col("n_rows").cast("long").alias("n_rows"),
+                           *([F.col("net_revenue").cast("string").alias("_net_revenue")] if with_rev else []))
     j = sig.crossJoin(prev)
     same = ((F.col("_has_state") > 0)
             & F.col("prev_max_date").eqNullSafe(F.col("max_date"))
             & F.col("prev_n_rows").eqNullSafe(F.col("n_rows")))
+    if with_rev:
+        same = same & F.col("prev_net_revenue").eqNullSafe(F.col("_net_revenue"))
     prev_v = F.coalesce(F.col("previous_version"), F.lit(0)).cast("long")
     return j.select(
         "max_date", "n_rows",
+        *([F.col("_net_revenue").alias("net_revenue")] if with_rev else []),
         prev_v.alias("previous_version"),
         (~same).alias("changed"),
         F.when(same, prev_v).otherwise(prev_v + 1).alias("next_version"))
@@ -48,7 +54,9 @@ def change_gate(signature: DataFrame, state: DataFrame) -> DataFrame:
 def write_state(gate: DataFrame, path: str) -> None:
     """Persist the gate row as the new state (one small JSON file)."""
     out = gate.select(
-        F.struct(F.col("max_date"), F.col("n_rows")).alias("data_signature"),
+        F.struct(F.col("max_date"), F.col("n_rows"),
+                 (F.col("net_revenue") if "net_revenue" in gate.columns
+                  else F.lit(None).cast("string")).alias("net_revenue")).alias("data_signature"),
         F.col("next_version").alias("version"),
         F.date_format(F.current_timestamp(), "yyyy-MM-dd'T'HH:mm:ss.SSSSSS").alias("last_run_utc"))
     out.coalesce(1).write.mode("overwrite").json(path)
