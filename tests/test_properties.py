@@ -49,3 +49,13 @@ def test_profile_single_scan_agrees(spark):
     assert one["total_rows"] == quality.prof_total_rows(raw).first()[0]
     assert one["null_quantity"] == quality.prof_nulls(raw).first()["null_quantity"]
     assert one["negative_price"] == quality.prof_signs(raw).first()["negative_price"]
+
+
+def test_dense_number_is_distributed_and_dense(spark):
+    from tillroll.operators.keys import dense_number
+    df = spark.range(0, 5000).select((F.col("id") * 7 % 5000).cast("string").alias("k"))
+    out = dense_number(df, "k", "kid", num_partitions=7)
+    rows = out.collect()
+    assert sorted(r.kid for r in rows) == list(range(1, 5001))
+    ordered = sorted(rows, key=lambda r: r.k)
+    assert [r.kid for r in ordered] == list(range(1, 5001))

@@ -10,12 +10,13 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tillroll.functions.dates import calendar_columns, date_key
 from tillroll.functions.text import is_non_blank
 from tillroll.operators.joins import checked_broadcast
+from tillroll.operators.keys import dense_number
 
 # Countries are a bounded domain; the bound is re-checked at run time.
 COUNTRY_MAX_ROWS = 100_000
@@ -32,15 +33,12 @@ def dim_date(staging: DataFrame) -> DataFrame:
 
 
 def dim_country(staging: DataFrame) -> DataFrame:
-    """Distinct trimmed non-blank countries; ``country_id`` numbers them in
-    name order. The numbering window has no partition key, which is fine
-    for this bounded list (a few hundred names at most)."""
+    """Distinct trimmed non-blank countries; ``country_id`` numbers them 1..N
+    in name order, computed distributed (``dense_number``), not in one task."""
     names = (staging.where(is_non_blank(F.col("country")))
              .select(F.trim("country").alias("country"))
              .distinct())
-    return names.select(
-        F.row_number().over(Window.orderBy("country")).cast("long").alias("country_id"),
-        "country")
+    return dense_number(names, "country", "country_id").select("country_id", "country")
 
 
 def dim_product(staging: DataFrame) -> DataFrame:
