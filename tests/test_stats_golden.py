@@ -112,3 +112,13 @@ def test_python_format_specs(spark):
         assert g == f"{v:.6g}"
         assert f4 == f"{v:.4f}"
         assert g2 == f"{v:,.2f}"
+
+
+def test_general_ols_agrees_with_closed_form(series):
+    closed = {r.term: r for r in stats.ols_q4(series).collect()}
+    general = {r.term: r for r in stats.ols_general(series, ["is_q4", "daily_orders"]).collect()}
+    assert list(general) == ["const", "is_q4", "daily_orders"]
+    for term in closed:
+        assert general[term].coef == pytest.approx(closed[term].coef, rel=1e-9)
+        assert general[term].se == pytest.approx(closed[term].se, rel=1e-9)
+        assert general[term].t == pytest.approx(closed[term].t, rel=1e-9)

@@ -104,9 +104,11 @@ class Star:
 
 
 def build_star(staging: DataFrame, with_id: bool = True) -> Star:
+    # dim_country is already materialized by its numbering (checkpointed),
+    # so the size check before the broadcast reads it directly
     countries = dim_country(staging)
     return Star(
-        fact=fact_sales(staging, countries, with_id=with_id),
+        fact=fact_sales(staging, countries, with_id=with_id, countries_materialized=True),
         dim_date=dim_date(staging),
         dim_country=countries,
         dim_product=dim_product(staging),

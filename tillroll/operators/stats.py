@@ -232,3 +232,32 @@ def q4_report(revenue_series: DataFrame, rate_series: DataFrame) -> DataFrame:
     return (b1.unionByName(blank)
             .unionByName(b2.select((F.col("line_no") + 11).cast("int").alias("line_no"), "line"))
             .orderBy("line_no"))
+
+
+# ---------------------------------------------------------------- general OLS
+
+
+def ols_general(dataset: DataFrame, features: list[str], label: str = "daily_revenue") -> DataFrame:
+    """OLS with any number of regressors on MLlib's normal-equation solver
+    (X'X and X'y are aggregated over the cluster; only the k x k system is
+    solved on the driver). Same output as ``ols_q4``: term, coef, se, t and
+    a two-sided normal-approximation p."""
+    from pyspark.ml.feature import VectorAssembler
+    from pyspark.ml.regression import LinearRegression
+
+    cols = [F.col(c).cast("double").alias(c) for c in features + [label]]
+    d = dataset.select(*cols).na.drop()
+    vec = VectorAssembler(inputCols=features, outputCol="_x").transform(d)
+    model = LinearRegression(featuresCol="_x", labelCol=label, solver="normal", regParam=0.0,
+                             elasticNetParam=0.0, fitIntercept=True, standardization=False).fit(vec)
+    s = model.summary
+    coef = [float(model.intercept)] + [float(c) for c in model.coefficients]
+    # MLlib lists the intercept last in its standard errors
+    se_all = list(s.coefficientStandardErrors)
+    se = [float(se_all[-1])] + [float(x) for x in se_all[:-1]]
+    spark = dataset.sparkSession
+    rows = [(i, t, b, e) for i, (t, b, e) in enumerate(zip(["const"] + features, coef, se))]
+    out = spark.createDataFrame(rows, "term_no int, term string, coef double, se double")
+    t = ieee_div(F.col("coef"), F.col("se"))
+    return (out.withColumn("t", t).withColumn("p", two_sided_p(F.col("t")))
+            .orderBy("term_no").select("term", "coef", "se", "t", "p"))

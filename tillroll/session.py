@@ -43,7 +43,10 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     A cluster names a shared folder in ``spark.checkpoint.dir``; that value
     wins. Only when it is unset (local runs, tests) a scratch folder is made.
     """
-    sc = spark.sparkContext
+    try:
+        sc = spark.sparkContext
+    except Exception:  # remote session: the server owns the checkpoint folder
+        return spark.conf.get("spark.checkpoint.dir", "")
     current = sc.getCheckpointDir()
     if current:
         return current

@@ -26,8 +26,8 @@ USING parquet PARTITIONED BY (invoice_month) LOCATION '{path}'"""
 STAGING_DDL = """CREATE TABLE IF NOT EXISTS staging.online_retail_clean (
   invoice STRING, stockcode STRING, description STRING, quantity INT,
   invoicedate TIMESTAMP_NTZ, price DECIMAL(12,2), customer_id INT, country STRING,
-  total_price DECIMAL(14,2), invoice_month INT)
-USING parquet PARTITIONED BY (invoice_month) LOCATION '{path}'"""
+  total_price DECIMAL(14,2))
+USING parquet LOCATION '{path}'"""
 
 FACT_DDL = """CREATE TABLE analytics.fact_sales (
   fact_id BIGINT, invoice STRING, stockcode STRING, customer_id INT, country_id BIGINT,
@@ -53,7 +53,7 @@ def register_layers(spark: SparkSession, wh) -> None:
     spark.sql(STAGING_DDL.format(path=wh.path(STAGING_TABLE)))
     for t in ("raw.online_retail", "staging.online_retail_clean"):
         spark.sql(f"REFRESH TABLE {t}")
-        _recover(spark, t)
+    _recover(spark, "raw.online_retail")
     v = wh.latest_version()
     if v <= 0:
         return
