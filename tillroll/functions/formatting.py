@@ -1,6 +1,6 @@
 """Number formatting matching the report's format specs, as columns.
 
-``{:,.Nf}`` -> ``format_number``; ``{:.4f}`` -> ``format_string('%.4f')``;
+``{:,.Nf}`` -> ``format_number``; ``{:.4f}`` -> ``format_number`` without grouping;
 ``{:.6g}`` needs Python's general format (strip trailing zeros, scientific
 below 1e-4 or from 1e6), built from ``%.5e`` to find the rounded exponent.
 """
@@ -22,9 +22,16 @@ def fmt_grouped(x: Column, decimals: int) -> Column:
     return _nan_guard(x, F.format_number(x, decimals))
 
 
+def _fixed(x: Column, decimals: int) -> Column:
+    # format_number rounds on the exact binary value (half-even), as Python
+    # does; java.util.Formatter's %f rounds the shortest decimal string
+    # half-up and differs on ties such as 2.675
+    return F.regexp_replace(F.format_number(x, decimals), ",", "")
+
+
 def fmt_fixed(x: Column, decimals: int) -> Column:
     """Python ``{:.Nf}``."""
-    return _nan_guard(x, F.format_string(f"%.{decimals}f", x))
+    return _nan_guard(x, _fixed(x, decimals))
 
 
 def _strip_zeros(s: Column) -> Column:
@@ -38,7 +45,7 @@ def fmt_general6(x: Column) -> Column:
     exp = F.split(sci, "e").getItem(1).cast("int")
     fixed = None
     for e in range(-4, 6):
-        branch = _strip_zeros(F.format_string(f"%.{5 - e}f", x))
+        branch = _strip_zeros(_fixed(x, 5 - e))
         fixed = F.when(exp == e, branch) if fixed is None else fixed.when(exp == e, branch)
     mant = _strip_zeros(F.split(sci, "e").getItem(0))
     sci_py = F.concat(mant, F.lit("e"), F.split(sci, "e").getItem(1))

@@ -177,6 +177,7 @@ _BUILDERS: dict[str, Callable[[Layers], DataFrame]] = {
     "star_dim_customer": lambda L: L.star.dim_customer,
     "star_fact_sales": lambda L: L.star.fact,
     "star_rows_check": lambda L: quality.star_rows_check(L.staging, L.star.fact),
+    "star_fact_reconcile": lambda L: quality.star_fact_reconcile(L.staging, L.star.fact),
     "star_dim_counts": lambda L: quality.star_dim_counts(L.star.dim_date, L.star.dim_country,
                                                          L.star.dim_product, L.star.dim_customer),
     "star_net_revenue": _fact(quality.star_net_revenue),

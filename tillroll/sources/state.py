@@ -11,6 +11,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tillroll.operators.combine import side_by_side
 from tillroll.schemas import STATE_SCHEMA
 
 
@@ -36,7 +37,7 @@ def change_gate(signature: DataFrame, state: DataFrame) -> DataFrame:
     sig = signature.select(F.col("max_date").cast("date").cast("string").alias("max_date"),
                            F.col("n_rows").cast("long").alias("n_rows"),
                            *([F.col("net_revenue").cast("string").alias("_net_revenue")] if with_rev else []))
-    j = sig.crossJoin(prev)
+    j = side_by_side(sig, prev)
     same = ((F.col("_has_state") > 0)
             & F.col("prev_max_date").eqNullSafe(F.col("max_date"))
             & F.col("prev_n_rows").eqNullSafe(F.col("n_rows")))
