@@ -14,8 +14,13 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tillroll.operators.joins import checked_broadcast
 from tillroll.schemas import RAW_COLUMNS, SYNC_KEYS
 
+# a batch spans at most this many calendar months before the month filter
+# falls back to a shuffle join
+MAX_BATCH_MONTHS = 100_000
+
 
 def union_yearly(frames: list[DataFrame]) -> DataFrame:
     """UNION ALL by column name of the yearly source files."""
@@ -45,10 +50,13 @@ def new_rows(incoming: DataFrame, existing: DataFrame, null_safe: bool = False,
     incoming = incoming.select(*RAW_COLUMNS)
     ex_keys = existing.select(*SYNC_KEYS)
     if prune_by_month:
+        # the batch's month list is bounded by the calendar: size-checked
+        # broadcast, so the existing side is filtered in place, not shuffled
         month = F.date_trunc("month", F.col("invoicedate")).alias("_m")
         batch_months = incoming.select(month).where(F.col("_m").isNotNull()).distinct()
         ex_keys = (ex_keys.withColumn("_m", F.date_trunc("month", F.col("invoicedate")))
-                   .join(batch_months, "_m", "left_semi").drop("_m"))
+                   .join(checked_broadcast(batch_months, MAX_BATCH_MONTHS), "_m", "left_semi")
+                   .drop("_m"))
 
     if null_safe:
         ex_keys = ex_keys.distinct()

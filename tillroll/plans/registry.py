@@ -19,7 +19,7 @@ from pyspark.sql.types import DateType, DecimalType, TimestampNTZType, Timestamp
 from tillroll.operators import marts, quality, stats, sync
 from tillroll.operators.staging import staging_clean
 from tillroll.operators.star import build_star
-from tillroll.session import scratch_root
+from tillroll.session import ensure_checkpoint_dir, scratch_root
 from tillroll.sources import csv as csv_src
 from tillroll.sources import testdata
 
@@ -46,7 +46,13 @@ class Layers:
 
     @cached_property
     def raw(self) -> DataFrame:
-        return testdata.retail_lines(self.spark, self.sf_dir)
+        """The raw layer. In the pipeline raw is a written table; here the
+        view over the test tables is materialized once (reliable checkpoint
+        in the shared folder), so queries that read raw several times -- the
+        sync (batch, existing lines, batch months), staging + dimensions +
+        fact -- scan it instead of re-running the five-table join."""
+        ensure_checkpoint_dir(self.spark)
+        return testdata.retail_lines(self.spark, self.sf_dir).checkpoint(eager=True)
 
     @cached_property
     def staging(self) -> DataFrame:
