@@ -18,6 +18,8 @@ RECOMMENDED_CONF = {
     "spark.sql.parquet.filterPushdown": "true",
     "spark.sql.parquet.inferTimestampNTZ.enabled": "true",
     "spark.ui.enabled": "false",
+    # checkpoint files of DataFrames that are no longer referenced are removed
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
 }
 
 
