@@ -35,7 +35,7 @@ def test_batch_pipeline(spark, tmp_path):
     from tillroll.plans.pipeline import run_visuals
     again = run_visuals(wh, wh.star(), f"{root}/outputs/figures")
     assert again["changed"] is False and again["published"] is False
-    kpis = spark.read.option("header", True).csv(f"{root}/outputs/tableau/daily_kpis")
+    kpis = spark.read.option("header", True).csv(f"{root}/outputs/bi/daily_kpis")
     assert kpis.count() == marts.daily_kpis(star.fact, star.dim_date, star.dim_country).count()
     report = spark.read.text(f"{root}/outputs/modeling/q4_stats_tests_report").collect()
     assert report[0].value.startswith("=== TEST 1") and len(report) == 21

@@ -10,6 +10,8 @@ is collected: the one-row results stay DataFrames.
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -21,6 +23,37 @@ ALPHA = 0.05
 CONF_LEVEL = 0.95
 OLS_TERMS = ("const", "is_q4", "daily_orders")
 
+# The test report's block titles and line templates, in line
+# order; {name} is filled from the Welch row (numbers formatted as the
+# report does).
+REPORT_TITLE_REVENUE = "TEST 1: Daily Revenue (Q4 vs Non-Q4)"
+REPORT_TITLE_RATE = "TEST 2: Daily Return Rate (Q4 vs Non-Q4)"
+REPORT_LINES = [
+    "=== {title} ===",
+    "n_q4={n_q4} | n_non_q4={n_non_q4}",
+    "mean_q4: {mean_q4}",
+    "mean_non_q4: {mean_non_q4}",
+    "diff (q4 - non_q4): {diff}",
+    "t_stat (Welch): {t_stat}",
+    "p_value (Normal approx): {p_value}",
+    "significant (alpha={alpha}): {significant}",
+    "df_eff (Welch-Satterthwaite): {df_eff}",
+    "{level}% CI (diff, Normal approx): [{ci_low}, {ci_high}]",
+]
+
+
+def render_template(template: str, values: dict, lit, concat):
+    """Split ``template`` into literal text and {name} slots and join them
+    with ``concat``; ``lit`` wraps literal text (works for Spark columns and
+    for SQL text alike)."""
+    parts = []
+    for i, piece in enumerate(re.split(r"\{(\w+)\}", template)):
+        if i % 2:
+            parts.append(values[piece])
+        elif piece:
+            parts.append(lit(piece))
+    return concat(parts)
+
 
 # ---------------------------------------------------------------- series
 
@@ -204,28 +237,25 @@ def welch_report_lines(welch: DataFrame, title: str, decimals: int) -> DataFrame
     """The ten text lines of one test block, in order (line_no 1..10)."""
     def g(c):
         return fmt.fmt_grouped(F.col(c), decimals)
-    lines = F.array(
-        F.concat(F.lit("=== "), F.lit(title), F.lit(" ===")),
-        F.concat(F.lit("n_q4="), F.col("n_q4").cast("string"), F.lit(" | n_non_q4="),
-                 F.col("n_non_q4").cast("string")),
-        F.concat(F.lit("mean_q4: "), g("mean_q4")),
-        F.concat(F.lit("mean_non_q4: "), g("mean_non_q4")),
-        F.concat(F.lit("diff (q4 - non_q4): "), g("diff")),
-        F.concat(F.lit("t_stat (Welch): "), fmt.fmt_fixed(F.col("t_stat"), 4)),
-        F.concat(F.lit("p_value (Normal approx): "), fmt.fmt_general6(F.col("p_value"))),
-        F.concat(F.lit(f"significant (alpha={ALPHA}): "), F.col("significant")),
-        F.concat(F.lit("df_eff (Welch-Satterthwaite): "), fmt.fmt_fixed(F.col("df_eff"), 2)),
-        F.concat(F.format_string("%d%% CI (diff, Normal approx): [", (F.col("conf_level") * 100).cast("int")),
-                 g("ci_low"), F.lit(", "), g("ci_high"), F.lit("]")),
-    )
+    values = {
+        "title": F.lit(title),
+        "n_q4": F.col("n_q4").cast("string"), "n_non_q4": F.col("n_non_q4").cast("string"),
+        "mean_q4": g("mean_q4"), "mean_non_q4": g("mean_non_q4"), "diff": g("diff"),
+        "t_stat": fmt.fmt_fixed(F.col("t_stat"), 4),
+        "p_value": fmt.fmt_general6(F.col("p_value")),
+        "alpha": F.lit(str(ALPHA)), "significant": F.col("significant"),
+        "df_eff": fmt.fmt_fixed(F.col("df_eff"), 2),
+        "level": (F.col("conf_level") * 100).cast("int").cast("string"),
+        "ci_low": g("ci_low"), "ci_high": g("ci_high"),
+    }
+    lines = F.array(*[render_template(t, values, F.lit, lambda p: F.concat(*p)) for t in REPORT_LINES])
     return welch.select(F.posexplode(lines).alias("pos", "line")) \
         .select((F.col("pos") + 1).cast("int").alias("line_no"), "line")
 
 
 def q4_report(revenue_series: DataFrame, rate_series: DataFrame) -> DataFrame:
     """Both test blocks separated by an empty line: (line_no, line)."""
-    t1 = "TEST 1: Daily Revenue (Q4 vs Non-Q4)"
-    t2 = "TEST 2: Daily Return Rate (Q4 vs Non-Q4)"
+    t1, t2 = REPORT_TITLE_REVENUE, REPORT_TITLE_RATE
     b1 = welch_report_lines(welch_test(revenue_series, "revenue", name=t1), t1, 2)
     b2 = welch_report_lines(welch_test(rate_series, "return_rate", name=t2), t2, 4)
     blank = b1.where(F.col("line_no") == 1).select(F.lit(11).alias("line_no"), F.lit("").alias("line"))

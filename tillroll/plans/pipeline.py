@@ -222,7 +222,7 @@ def run_batch(spark: SparkSession, incoming: DataFrame, root: str,
                                               star.dim_product, star.dim_customer).first().asDict()
     exports = wh.path("outputs")
     publish.export_csv(marts.daily_kpis(star.fact, star.dim_date, star.dim_country),
-                       f"{exports}/tableau/daily_kpis")
+                       f"{exports}/bi/daily_kpis")
     ds = stats.q4_daily_dataset(star.fact, star.dim_date)
     publish.export_csv(ds, f"{exports}/modeling/q4_regression_dataset_daily")
     report = stats.q4_report(stats.daily_revenue(star.fact, star.dim_date),

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from tillroll.operators import marts
 
+# Names of the five figure datasets.
 FIGURE_FEEDS = {
     "daily_revenue_over_time": lambda s: marts.fig_daily_revenue(s.fact, s.dim_date),
     "monthly_revenue_over_time": lambda s: marts.fig_monthly_revenue(s.fact, s.dim_date),
