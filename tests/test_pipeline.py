@@ -109,3 +109,26 @@ def test_incremental_staging_equals_rebuild(spark, tmp_path):
     assert full.staging().exceptAll(inc.staging()).count() == 0
     cols = [c for c in full.star().fact.columns if c != "fact_id"]
     assert inc.star().fact.select(cols).exceptAll(full.star().fact.select(cols)).count() == 0
+
+
+def test_rollup_marts_equal_fact_marts(spark, tmp_path):
+    wh = Warehouse(spark, str(tmp_path / "wh"))
+    wh.sync_raw(testdata.retail_lines(spark, SF_SMALL))
+    wh.rebuild_staging()
+    wh.build_star()
+    s = wh.star()
+    pairs = [
+        (marts.total_revenue(s.fact), marts.total_revenue(s.daily)),
+        (marts.revenue_by_month(s.fact, s.dim_date), marts.revenue_by_month(s.daily, s.dim_date)),
+        (marts.revenue_by_week(s.fact, s.dim_date), marts.revenue_by_week(s.daily, s.dim_date)),
+        (marts.revenue_by_country(s.fact, s.dim_country), marts.revenue_by_country(s.daily, s.dim_country)),
+        (marts.fig_daily_revenue(s.fact, s.dim_date), marts.fig_daily_revenue(s.daily, s.dim_date)),
+        (marts.fig_monthly_revenue(s.fact, s.dim_date), marts.fig_monthly_revenue(s.daily, s.dim_date)),
+        (marts.fig_top_countries(s.fact, s.dim_country), marts.fig_top_countries(s.daily, s.dim_country)),
+        (marts.fig_revenue_breakdown(s.fact), marts.fig_revenue_breakdown(s.daily)),
+        (marts.data_signature(s.fact, s.dim_date), marts.data_signature(s.daily, s.dim_date)),
+        (marts.daily_kpis(s.fact, s.dim_date, s.dim_country),
+         marts.kpis_from_rollup(s.daily, s.dim_date, s.dim_country)),
+    ]
+    for a, b in pairs:
+        assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0

@@ -9,6 +9,11 @@ the key, so the result is the same. A hot key (a date or product with a
 third of all lines) is reduced to one partial row per task before any
 shuffle. Top-k uses ``orderBy().limit()`` -> TakeOrderedAndProject.
 
+Marts that only sum ``total_price`` by day and/or country also accept the
+day x country rollup (``daily_country_rollup``) in place of the fact: sums
+are associative, so the result is the same, and the batch scans the fact
+once for all of them.
+
 NULL order follows the warehouse: NULLS FIRST on DESC, NULLS LAST on ASC.
 Ties in top-k are broken by the remaining output columns, so results are
 deterministic.
@@ -105,38 +110,54 @@ def revenue_by_week(fact: DataFrame, dim_date: DataFrame) -> DataFrame:
 # ---------------------------------------------------------------- KPI export
 
 
-def daily_kpis(fact: DataFrame, dim_date: DataFrame, dim_country: DataFrame) -> DataFrame:
-    """Per day and country: distinct invoices, gross (total_price > 0),
-    returns (total_price < 0) and net revenue, Q4 flag.
+def daily_country_rollup(fact: DataFrame) -> DataFrame:
+    """One row per (date_key, country_id): net revenue under the fact's own
+    column name ``total_price`` (so every mart that only sums total_price by
+    day and/or country runs unchanged on this table instead of the fact),
+    line count, distinct invoices, and the sign splits the KPI export and
+    the revenue breakdown need.
 
     The distinct count is planned as partial aggregates keyed on
     (date_key, country_id, invoice), so a hot day/country is spread over
     invoices before the final merge.
     """
-    tp = F.col("total_price")
-    per = fact.groupBy("date_key", "country_id").agg(
+    tp, q = F.col("total_price"), F.col("quantity")
+    return fact.groupBy("date_key", "country_id").agg(
+        F.sum("total_price").alias("total_price"),
+        F.count(F.lit(1)).cast("long").alias("n_lines"),
         F.count_distinct("invoice").alias("daily_orders"),
         _sum_when(tp > 0).alias("gross_revenue"),
         _sum_when(tp < 0).alias("returns_revenue"),
-        F.sum("total_price").alias("net_revenue"),
+        _sum_when(q > 0).alias("gross_sales_by_qty"),
+        _sum_when(q < 0).alias("returns_by_qty"),
     )
-    return (per.join(dim_date, "date_key")
+
+
+def kpis_from_rollup(rollup: DataFrame, dim_date: DataFrame, dim_country: DataFrame) -> DataFrame:
+    return (rollup.join(dim_date, "date_key")
             .join(dim_country, "country_id")
             .select("full_date", "year", "month", "month_name", "country",
-                    "daily_orders", "gross_revenue", "returns_revenue", "net_revenue",
+                    "daily_orders", "gross_revenue", "returns_revenue",
+                    F.col("total_price").alias("net_revenue"),
                     F.when(F.col("quarter") == 4, 1).otherwise(0).cast("int").alias("is_q4"))
             .orderBy("full_date", "country"))
 
 
+def daily_kpis(fact: DataFrame, dim_date: DataFrame, dim_country: DataFrame) -> DataFrame:
+    """Per day and country: distinct invoices, gross (total_price > 0),
+    returns (total_price < 0) and net revenue, Q4 flag."""
+    return kpis_from_rollup(daily_country_rollup(fact), dim_date, dim_country)
+
+
 # ---------------------------------------------------------------- figure feeds
 
 
 def data_signature(fact: DataFrame, dim_date: DataFrame, with_revenue: bool = False) -> DataFrame:
     """(max date, row count) of fact joined to dim_date; per-day counts are
-    joined, not lines. A same-count edit is not seen by this signature;
+    joined, not lines (the daily rollup can stand in for the fact). A same-count edit is not seen by this signature;
     ``with_revenue`` adds the net revenue so such edits also count."""
-    per_day = fact.groupBy("date_key").agg(F.count(F.lit(1)).alias("_n"),
-                                           F.sum("total_price").alias("_rev"))
+    lines = F.sum("n_lines") if "n_lines" in fact.columns else F.count(F.lit(1))
+    per_day = fact.groupBy("date_key").agg(lines.alias("_n"), F.sum("total_price").alias("_rev"))
     aggs = [F.max("full_date").alias("max_date"),
             F.coalesce(F.sum("_n"), F.lit(0)).cast("long").alias("n_rows")]
     if with_revenue:
@@ -179,10 +200,14 @@ def fig_top_products(fact: DataFrame, dim_product: DataFrame, k: int = TOP_K) ->
 def fig_revenue_breakdown(fact: DataFrame) -> DataFrame:
     """Gross sales (quantity > 0), returns (quantity < 0), net: one
     aggregate, then wide -> long with ``stack``."""
-    q = F.col("quantity")
+    if "gross_sales_by_qty" in fact.columns:          # the daily rollup
+        gross, ret = F.sum("gross_sales_by_qty"), F.sum("returns_by_qty")
+    else:
+        q = F.col("quantity")
+        gross, ret = _sum_when(q > 0), _sum_when(q < 0)
     wide = fact.agg(
-        _r2(_sum_when(q > 0)).alias("gross_sales"),
-        _r2(_sum_when(q < 0)).alias("returns"),
+        _r2(gross).alias("gross_sales"),
+        _r2(ret).alias("returns"),
         _r2(F.sum("total_price")).alias("net_revenue"),
     )
     g, r, n = BREAKDOWN_TYPES

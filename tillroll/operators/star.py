@@ -101,6 +101,14 @@ class Star:
     dim_country: DataFrame
     dim_product: DataFrame
     dim_customer: DataFrame
+    # day x country rollup of the fact (see marts.daily_country_rollup);
+    # written by the pipeline, None when the star is computed on the fly
+    daily: DataFrame | None = None
+
+    def revenue_source(self) -> DataFrame:
+        """What a revenue-by-day/country mart should scan: the rollup when
+        it exists, else the fact."""
+        return self.daily if self.daily is not None else self.fact
 
 
 def build_star(staging: DataFrame, with_id: bool = True) -> Star:

@@ -16,11 +16,11 @@ from tillroll.operators import marts
 
 # Names of the five figure datasets.
 FIGURE_FEEDS = {
-    "daily_revenue_over_time": lambda s: marts.fig_daily_revenue(s.fact, s.dim_date),
-    "monthly_revenue_over_time": lambda s: marts.fig_monthly_revenue(s.fact, s.dim_date),
-    "top_countries_by_revenue": lambda s: marts.fig_top_countries(s.fact, s.dim_country),
+    "daily_revenue_over_time": lambda s: marts.fig_daily_revenue(s.revenue_source(), s.dim_date),
+    "monthly_revenue_over_time": lambda s: marts.fig_monthly_revenue(s.revenue_source(), s.dim_date),
+    "top_countries_by_revenue": lambda s: marts.fig_top_countries(s.revenue_source(), s.dim_country),
     "top_products_by_revenue": lambda s: marts.fig_top_products(s.fact, s.dim_product),
-    "revenue_breakdown_gross_returns_net": lambda s: marts.fig_revenue_breakdown(s.fact),
+    "revenue_breakdown_gross_returns_net": lambda s: marts.fig_revenue_breakdown(s.revenue_source()),
 }
 
 
