@@ -39,6 +39,8 @@ def test_batch_pipeline(spark, tmp_path):
     assert kpis.count() == marts.daily_kpis(star.fact, star.dim_date, star.dim_country).count()
     report = spark.read.text(f"{root}/outputs/modeling/q4_stats_tests_report").collect()
     assert report[0].value.startswith("=== TEST 1") and len(report) == 21
+    assert [r["term"] for r in out2["ols"]] == ["const", "is_q4", "daily_orders"]
+    assert out2["ols_fit"]["n"] == star.dim_date.count()
 
 
 def test_stream_ingest_available_now(spark, tmp_path):

@@ -1,5 +1,5 @@
 """Batch pipeline over a warehouse folder: load -> profile -> stage ->
-validate -> star -> marts -> statistics -> exports / figure feeds.
+validate -> star -> KPI export -> figure feeds -> statistics.
 
 Storage layout under ``root`` (Parquet):
 
@@ -228,10 +228,17 @@ def run_batch(spark: SparkSession, incoming: DataFrame, root: str,
     kpis = (marts.kpis_from_rollup(star.daily, star.dim_date, star.dim_country) if star.daily is not None
             else marts.daily_kpis(star.fact, star.dim_date, star.dim_country))
     publish.export_csv(kpis, f"{exports}/bi/daily_kpis")
+    out["visuals"] = run_visuals(wh, star, f"{exports}/figures")
+    # statistics last, as in the source's step order: their guards (fewer
+    # than 2 days in a group, too few days for the regression) fail the run
+    # only after the layers, exports and figure feeds are published
     ds = stats.q4_daily_dataset(star.fact, star.dim_date)
     publish.export_csv(ds, f"{exports}/modeling/q4_regression_dataset_daily")
     report = stats.q4_report(stats.daily_revenue(star.revenue_source(), star.dim_date),
                              stats.daily_return_rate(star.fact, star.dim_date))
     publish.write_report(report, f"{exports}/modeling/q4_stats_tests_report")
-    out["visuals"] = run_visuals(wh, star, f"{exports}/figures")
+    coefs = stats.ols_q4(ds)
+    publish.export_csv(coefs, f"{exports}/modeling/q4_regression_coefficients")
+    out["ols"] = [r.asDict() for r in coefs.collect()]            # 3 rows
+    out["ols_fit"] = stats.ols_q4_fit(ds).first().asDict()
     return out

@@ -67,6 +67,8 @@ def register_layers(spark: SparkSession, wh) -> None:
     spark.sql("DROP TABLE IF EXISTS analytics.fact_sales")
     spark.sql(FACT_DDL.format(path=f"{base}/fact_sales"))
     _recover(spark, "analytics.fact_sales")
+    spark.sql("DROP TABLE IF EXISTS analytics.agg_daily_country")
+    spark.sql(f"CREATE TABLE analytics.agg_daily_country USING parquet LOCATION '{base}/agg_daily_country'")
 
 
 def _recover(spark: SparkSession, table: str) -> None:
