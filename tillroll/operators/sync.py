@@ -58,13 +58,18 @@ def new_rows(incoming: DataFrame, existing: DataFrame, null_safe: bool = False,
                    .join(checked_broadcast(batch_months, MAX_BATCH_MONTHS), "_m", "left_semi")
                    .drop("_m"))
 
+    # The existing keys grow with raw and are never broadcast: Spark's static
+    # estimate (compressed Parquet size of a few columns) can fall under the
+    # broadcast threshold while the hash relation is large, so the anti join
+    # is pinned to a shuffle (sort-merge) join; AQE still splits skewed
+    # incoming partitions.
     if null_safe:
-        ex_keys = ex_keys.distinct()
+        ex_keys = ex_keys.distinct().hint("shuffle_merge")
         cond = reduce(lambda a, b: a & b,
                       [incoming[k].eqNullSafe(ex_keys[k]) for k in SYNC_KEYS])
         return incoming.join(ex_keys, cond, "left_anti").select(*RAW_COLUMNS)
 
     has_null = _any_key_null(SYNC_KEYS)
-    ex_keys = ex_keys.where(~has_null).distinct()
+    ex_keys = ex_keys.where(~has_null).distinct().hint("shuffle_merge")
     keyed = incoming.where(~has_null).join(ex_keys, on=SYNC_KEYS, how="left_anti")
     return keyed.select(*RAW_COLUMNS).unionByName(incoming.where(has_null))
