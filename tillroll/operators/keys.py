@@ -19,8 +19,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from tillroll.operators.joins import checked_broadcast
 from tillroll.session import ensure_checkpoint_dir
 
+MAX_PARTITIONS = 1_000_000
+
 
 def dense_number(df: DataFrame, order_col: str, id_col: str, num_partitions: int | None = None) -> DataFrame:
     """Rows of ``df`` (distinct on ``order_col``) with ``id_col`` = 1..N in
@@ -36,6 +39,8 @@ def dense_number(df: DataFrame, order_col: str, id_col: str, num_partitions: int
         "_part",
         F.coalesce(F.sum("_n").over(Window.orderBy("_part")
                                     .rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_off"))
-    return (local.join(F.broadcast(offsets), "_part")
+    # one row per partition: checked like every broadcast (count is cheap,
+    # the numbered rows are already checkpointed)
+    return (local.join(checked_broadcast(offsets, MAX_PARTITIONS, materialize=False), "_part")
             .select((F.col("_local") + F.col("_off")).cast("long").alias(id_col),
                     *[c for c in df.columns]))
