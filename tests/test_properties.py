@@ -59,3 +59,10 @@ def test_dense_number_is_distributed_and_dense(spark):
     assert sorted(r.kid for r in rows) == list(range(1, 5001))
     ordered = sorted(rows, key=lambda r: r.k)
     assert [r.kid for r in ordered] == list(range(1, 5001))
+
+
+def test_dense_number_default_partitions(spark):
+    from tillroll.operators.keys import dense_number
+    df = spark.range(0, 20000, numPartitions=13).select(F.format_string("k%06d", (F.col("id") * 7919) % 20000).alias("k"))
+    rows = dense_number(df, "k", "kid").collect()
+    assert [r.kid for r in sorted(rows, key=lambda r: r.k)] == list(range(1, 20001))

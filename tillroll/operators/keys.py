@@ -4,7 +4,7 @@
 
 1. range-partition the rows on the sort key (each partition holds a
    contiguous key range, partitions are ordered);
-2. number rows inside each partition (window partitioned by partition id);
+2. sort inside each partition and number the rows from their position;
 3. count rows per partition: one row per partition, so the running offset
    over partitions touches only as many rows as there are partitions;
 4. add each partition's offset (broadcast; size = number of partitions).
@@ -30,9 +30,14 @@ def dense_number(df: DataFrame, order_col: str, id_col: str, num_partitions: int
     ascending ``order_col`` order (NULLs not expected)."""
     ensure_checkpoint_dir(df.sparkSession)
     ranged = (df.repartitionByRange(num_partitions, order_col) if num_partitions
-              else df.repartitionByRange(order_col))
-    local = (ranged.withColumn("_part", F.spark_partition_id())
-             .withColumn("_local", F.row_number().over(Window.partitionBy("_part").orderBy(order_col)))
+              else df.repartitionByRange(order_col)).sortWithinPartitions(order_col)
+    # monotonically_increasing_id = (partition index << 33) + position in the
+    # partition, so after the local sort the position is the row number
+    # inside the partition: no window, no second shuffle
+    local = (ranged.select("*", F.spark_partition_id().alias("_part"),
+                           F.monotonically_increasing_id().alias("_mid"))
+             .withColumn("_local", F.col("_mid") - F.shiftleft(F.col("_part").cast("long"), 33) + 1)
+             .drop("_mid")
              .checkpoint(eager=True))
     sizes = local.groupBy("_part").agg(F.count(F.lit(1)).alias("_n"))
     offsets = sizes.select(
