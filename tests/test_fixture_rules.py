@@ -144,3 +144,18 @@ def _fixture_dir(tmp_path):
     d.mkdir(exist_ok=True)
     (d / "f.csv").write_text(FIXTURE_CSV)
     return str(d)
+
+
+def test_null_safe_sync_partial_overlap(spark, fixture_csv):
+    incoming = read_retail_csv(spark, fixture_csv)
+    # existing = the first 2009 lines only (incl. one NULL-free duplicate pair)
+    existing = incoming.where(F.col("invoicedate") < F.lit("2009-12-02 00:00:00").cast("timestamp_ntz"))
+    n_existing_lines = existing.count()
+    plain = sync.new_rows(incoming, existing).count()
+    safe = sync.new_rows(incoming, existing, null_safe=True).count()
+    # rows 1, 2 and their duplicate (row 15) match; nothing else does
+    assert n_existing_lines == 3
+    assert plain == 18 - 3 and safe == 18 - 3
+    # NULL keys: with null-safe equality a NULL-key line matches itself
+    assert sync.new_rows(incoming, incoming, null_safe=True).count() == 0
+    assert sync.new_rows(incoming, incoming).count() == 4

@@ -42,8 +42,8 @@ def new_rows(incoming: DataFrame, existing: DataFrame, null_safe: bool = False,
       aggregation) before the left-anti join, so duplicated raw lines do not
       inflate the build side;
     * ``prune_by_month``: the existing side is restricted to the months that
-      occur in the batch (a semi join on the month); with raw partitioned by
-      month this prunes whole partitions. The key contains invoicedate, so
+      occur in the batch (a size-checked broadcast semi join on the month;
+      the warehouse uses a static partition filter instead). The key contains invoicedate, so
       the result is unchanged.
     AQE's skew-join handling splits a hot key on the streamed (incoming) side.
     """
@@ -64,9 +64,13 @@ def new_rows(incoming: DataFrame, existing: DataFrame, null_safe: bool = False,
     # is pinned to a shuffle (sort-merge) join; AQE still splits skewed
     # incoming partitions.
     if null_safe:
-        ex_keys = ex_keys.distinct().hint("shuffle_merge")
+        # existing keys renamed, so the condition is unambiguous even when
+        # both sides come from the same table
+        ex_keys = (ex_keys.distinct()
+                   .select(*[F.col(k).alias(f"_ex_{k}") for k in SYNC_KEYS])
+                   .hint("shuffle_merge"))
         cond = reduce(lambda a, b: a & b,
-                      [incoming[k].eqNullSafe(ex_keys[k]) for k in SYNC_KEYS])
+                      [F.col(k).eqNullSafe(F.col(f"_ex_{k}")) for k in SYNC_KEYS])
         return incoming.join(ex_keys, cond, "left_anti").select(*RAW_COLUMNS)
 
     has_null = _any_key_null(SYNC_KEYS)

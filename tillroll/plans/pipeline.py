@@ -8,8 +8,9 @@ Storage layout under ``root`` (Parquet):
 * ``staging/online_retail_clean``  rebuilt (overwrite), unpartitioned.
 * ``analytics/v=<N>/<table>``  star schema builds; the fact is partitioned by
   ``date_month`` and sorted by (date_key, invoice_ts) inside partitions.
-  A build becomes visible only when ``analytics/_commits/v=<N>`` is
-  written after all five tables, so readers never see half a model.
+  With the star comes ``agg_daily_country`` (day x country rollup). A
+  build becomes visible only when ``analytics/_commits/v=<N>`` is written
+  after all its tables, so readers never see half a model.
 
 Row counts come from ``Observation`` metrics on the write itself, never
 from a second pass over the data.
