@@ -40,15 +40,18 @@ def _ddl_columns(schema) -> str:
     return ", ".join(f"{f.name} {f.dataType.simpleString().upper()}" for f in schema.fields)
 
 
-def create_namespaces(spark: SparkSession) -> None:
+def create_namespaces(spark: SparkSession, location_root: str | None = None) -> None:
+    """Create the three databases; with ``location_root`` their folders live
+    under it (shared storage), not in the session's local working folder."""
     for ns in NAMESPACES:
-        spark.sql(f"CREATE DATABASE IF NOT EXISTS {ns}")
+        loc = f" LOCATION '{location_root.rstrip('/')}/{ns}.db'" if location_root else ""
+        spark.sql(f"CREATE DATABASE IF NOT EXISTS {ns}{loc}")
 
 
 def register_layers(spark: SparkSession, wh) -> None:
     """Create namespaces and external tables for a ``Warehouse``."""
     from tillroll.plans.pipeline import RAW_TABLE, STAGING_TABLE
-    create_namespaces(spark)
+    create_namespaces(spark, wh.path("_catalog"))
     spark.sql(RAW_DDL.format(path=wh.path(RAW_TABLE)))
     spark.sql(STAGING_DDL.format(path=wh.path(STAGING_TABLE)))
     for t in ("raw.online_retail", "staging.online_retail_clean"):
