@@ -18,6 +18,7 @@ from pyspark.sql.types import DateType, DecimalType, TimestampNTZType, Timestamp
 
 from tillroll.operators import marts, quality, stats, sync
 from tillroll.operators.staging import staging_clean
+from tillroll.operators import star as star_ops
 from tillroll.operators.star import build_star
 from tillroll.session import ensure_checkpoint_dir, scratch_root
 from tillroll.sources import csv as csv_src
@@ -76,6 +77,11 @@ class Layers:
     def star(self):
         return build_star(self.staging, with_id=False)
 
+    # single dimensions read staging once: no materialized raw, no country
+    # numbering unless asked for
+    def dim_only(self, build):
+        return build(self.staging_once)
+
     def scratch(self, name: str) -> str:
         return f"{scratch_root(self.spark)}/{name}-{uuid.uuid4().hex[:12]}"
 
@@ -191,10 +197,10 @@ _BUILDERS: dict[str, Callable[[Layers], DataFrame]] = {
     "val_reconcile": lambda L: quality.val_reconcile(L.staging, L.raw),
     "val_summary": _stg(quality.validate_staging),
     # star schema
-    "star_dim_date": lambda L: L.star.dim_date,
-    "star_dim_country": lambda L: L.star.dim_country,
-    "star_dim_product": lambda L: L.star.dim_product,
-    "star_dim_customer": lambda L: L.star.dim_customer,
+    "star_dim_date": lambda L: L.dim_only(star_ops.dim_date),
+    "star_dim_country": lambda L: L.dim_only(star_ops.dim_country),
+    "star_dim_product": lambda L: L.dim_only(star_ops.dim_product),
+    "star_dim_customer": lambda L: L.dim_only(star_ops.dim_customer),
     "star_fact_sales": lambda L: L.star.fact,
     "star_rows_check": lambda L: quality.star_rows_check(L.staging, L.star.fact),
     "star_fact_reconcile": lambda L: quality.star_fact_reconcile(L.staging, L.star.fact),
