@@ -134,3 +134,15 @@ def test_rollup_marts_equal_fact_marts(spark, tmp_path):
     ]
     for a, b in pairs:
         assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
+
+
+def test_cli_batch_and_sql(spark, tmp_path, capsys):
+    from tillroll.__main__ import main
+    src = str(tmp_path / "src")
+    write_retail_csv(testdata.retail_lines(spark, SF_SMALL), src)
+    wh = str(tmp_path / "wh")
+    main(["batch", "--source", src, "--warehouse", wh])
+    out = capsys.readouterr().out
+    assert '"new_raw_rows": 6000' in out and '"staging_rows": 5109' in out
+    main(["sql", "--warehouse", wh, "SELECT COUNT(*) AS n FROM analytics.fact_sales"])
+    assert "5109" in capsys.readouterr().out
