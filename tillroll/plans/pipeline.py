@@ -32,6 +32,7 @@ from tillroll.operators.staging import staging_clean
 from tillroll.operators.star import (Star, dim_country, dim_customer, dim_date, dim_product,
                                      fact_sales)
 from tillroll.schemas import RAW_COLUMNS, STAGING_COLUMNS
+from tillroll.session import scratch_root
 from tillroll.sources import publish, state
 
 RAW_TABLE = "raw/online_retail"
@@ -77,6 +78,11 @@ class Warehouse:
                 self.raw().where(F.col("load_batch") == batch_id).limit(1).count() > 0:
             return 0
         if exists:
+            # The batch is read three times below (month list, keyed lines,
+            # NULL-key lines): land it once as Parquet in the shared scratch
+            # folder, so the source (CSV) is parsed once and the later reads
+            # are columnar scans.
+            incoming = self._land(incoming)
             # Only raw months present in the batch can hold a matching key
             # (the key contains invoicedate). The month list is bounded by
             # the calendar, so it is taken to the driver and becomes a static
@@ -104,6 +110,11 @@ class Warehouse:
         self.last_batch_id = batch
         return int(obs.get.get("rows", 0))
 
+    def _land(self, incoming: DataFrame) -> DataFrame:
+        path = f"{scratch_root(self.spark)}/landing/{uuid.uuid4().hex}"
+        incoming.write.mode("overwrite").parquet(path)
+        return self.spark.read.parquet(path).select(*RAW_COLUMNS)
+
     # ------------------------------------------------------------ staging
 
     def staging(self) -> DataFrame:

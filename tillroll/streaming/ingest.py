@@ -13,7 +13,6 @@ scheduled run); otherwise it polls every ``interval``.
 
 from __future__ import annotations
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
@@ -38,19 +37,14 @@ def start_ingest(spark: SparkSession, source_dir: str, warehouse_root: str,
                  checkpoint: str | None = None, available_now: bool = True,
                  interval: str = "1 minute", query_name: str = "raw_ingest",
                  max_files_per_trigger: int | None = None) -> StreamingQuery:
-    """``max_files_per_trigger`` bounds one micro-batch (and so the data a
-    batch keeps persisted while it is synced)."""
+    """``max_files_per_trigger`` bounds the size of one micro-batch."""
     wh = Warehouse(spark, warehouse_root)
     ckpt = checkpoint or wh.path(f"_streaming/{query_name}/checkpoint")
 
     def sync_batch(batch: DataFrame, epoch_id: int) -> None:
-        # the batch is read more than once (month list, write); keep it
-        # persisted (memory and disk) for the duration of this epoch only
-        batch = batch.persist(StorageLevel.MEMORY_AND_DISK)
-        try:
-            wh.sync_raw(batch, batch_id=f"{query_name}-epoch-{epoch_id}")
-        finally:
-            batch.unpersist()
+        # sync_raw lands the micro-batch once as Parquet before reading it
+        # several times, so the source files are parsed once per epoch
+        wh.sync_raw(batch, batch_id=f"{query_name}-epoch-{epoch_id}")
 
     w = (source_stream(spark, source_dir, max_files_per_trigger).writeStream
          .foreachBatch(sync_batch)
