@@ -36,6 +36,8 @@ from tillroll.session import scratch_root
 from tillroll.sources import publish, state
 
 RAW_TABLE = "raw/online_retail"
+# at most this many month values become a static partition filter
+MAX_MONTH_FILTER = 10_000
 STAGING_TABLE = "staging/online_retail_clean"
 
 
@@ -87,9 +89,14 @@ class Warehouse:
             # (the key contains invoicedate). The month list is bounded by
             # the calendar, so it is taken to the driver and becomes a static
             # partition filter on the raw scan.
-            months = [r[0] for r in incoming.select(_month_col().alias("m")).distinct().collect()]
-            existing = self.raw().where(F.col("invoice_month").isin(months)).select(*RAW_COLUMNS)
-            new = sync.new_rows(incoming, existing, null_safe=null_safe)
+            months = [r[0] for r in incoming.select(_month_col().alias("m")).distinct()
+                      .limit(MAX_MONTH_FILTER + 1).collect()]
+            if len(months) <= MAX_MONTH_FILTER:
+                existing = self.raw().where(F.col("invoice_month").isin(months)).select(*RAW_COLUMNS)
+                new = sync.new_rows(incoming, existing, null_safe=null_safe)
+            else:   # not expected: prune with the broadcast semi join instead
+                new = sync.new_rows(incoming, self.raw().select(*RAW_COLUMNS), null_safe=null_safe,
+                                    prune_by_month=True)
         else:
             new = incoming
         obs = Observation("sync_raw")
