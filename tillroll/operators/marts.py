@@ -154,8 +154,9 @@ def daily_kpis(fact: DataFrame, dim_date: DataFrame, dim_country: DataFrame) ->
 
 def data_signature(fact: DataFrame, dim_date: DataFrame, with_revenue: bool = False) -> DataFrame:
     """(max date, row count) of fact joined to dim_date; per-day counts are
-    joined, not lines (the daily rollup can stand in for the fact). A same-count edit is not seen by this signature;
-    ``with_revenue`` adds the net revenue so such edits also count."""
+    joined, not lines (the daily rollup can stand in for the fact). A
+    same-count edit is not seen by this signature; ``with_revenue`` adds the
+    net revenue so such edits also count."""
     lines = F.sum("n_lines") if "n_lines" in fact.columns else F.count(F.lit(1))
     per_day = fact.groupBy("date_key").agg(lines.alias("_n"), F.sum("total_price").alias("_rev"))
     aggs = [F.max("full_date").alias("max_date"),
