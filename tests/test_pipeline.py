@@ -4,7 +4,7 @@ import time
 from pyspark.sql import functions as F
 
 from tests.conftest import SF_SMALL
-from tillroll.operators import marts
+from tillroll.operators import marts, stats
 from tillroll.plans.pipeline import Warehouse, run_batch
 from tillroll.sources import testdata
 from tillroll.sources.csv import write_retail_csv
@@ -131,6 +131,8 @@ def test_rollup_marts_equal_fact_marts(spark, tmp_path):
         (marts.data_signature(s.fact, s.dim_date), marts.data_signature(s.daily, s.dim_date)),
         (marts.daily_kpis(s.fact, s.dim_date, s.dim_country),
          marts.kpis_from_rollup(s.daily, s.dim_date, s.dim_country)),
+        (stats.daily_return_rate(s.fact, s.dim_date), stats.daily_return_rate(s.daily, s.dim_date)),
+        (stats.daily_revenue(s.fact, s.dim_date), stats.daily_revenue(s.daily, s.dim_date)),
     ]
     for a, b in pairs:
         assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0

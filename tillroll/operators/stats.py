@@ -67,12 +67,17 @@ def daily_revenue(fact: DataFrame, dim_date: DataFrame) -> DataFrame:
 
 def daily_return_rate(fact: DataFrame, dim_date: DataFrame) -> DataFrame:
     """|returned revenue| / gross revenue per day, by quantity sign; days
-    without positive gross revenue are left out."""
-    q, tp = F.col("quantity"), F.col("total_price")
-    zero = F.lit(0).cast("decimal(14,2)")
-    per_day = fact.groupBy("date_key").agg(
-        F.sum(F.when(q > 0, tp).otherwise(zero)).alias("gross_revenue"),
-        F.abs(F.sum(F.when(q < 0, tp).otherwise(zero))).alias("returned_revenue"))
+    without positive gross revenue are left out. Runs on the fact or on the
+    day x country rollup (same sums)."""
+    if "gross_sales_by_qty" in fact.columns:          # the day x country rollup
+        gross, returned = F.sum("gross_sales_by_qty"), F.sum("returns_by_qty")
+    else:
+        q, tp = F.col("quantity"), F.col("total_price")
+        zero = F.lit(0).cast("decimal(14,2)")
+        gross = F.sum(F.when(q > 0, tp).otherwise(zero))
+        returned = F.sum(F.when(q < 0, tp).otherwise(zero))
+    per_day = fact.groupBy("date_key").agg(gross.alias("gross_revenue"),
+                                           F.abs(returned).alias("returned_revenue"))
     return (per_day.where(F.col("gross_revenue") > 0)
             .join(dim_date, "date_key")
             .select(F.col("full_date").alias("order_date"),

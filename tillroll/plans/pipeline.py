@@ -254,7 +254,7 @@ def run_batch(spark: SparkSession, incoming: DataFrame, root: str,
     ds = stats.q4_daily_dataset(star.fact, star.dim_date)
     publish.export_csv(ds, f"{exports}/modeling/q4_regression_dataset_daily")
     report = stats.q4_report(stats.daily_revenue(star.revenue_source(), star.dim_date),
-                             stats.daily_return_rate(star.fact, star.dim_date))
+                             stats.daily_return_rate(star.revenue_source(), star.dim_date))
     publish.write_report(report, f"{exports}/modeling/q4_stats_tests_report")
     coefs = stats.ols_q4(ds)
     publish.export_csv(coefs, f"{exports}/modeling/q4_regression_coefficients")
