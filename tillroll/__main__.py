@@ -1,6 +1,7 @@
 """Command line: the daily batch, continuous ingestion, SQL over the layers.
 
   python -m tillroll batch  --source 'in/*.csv' --warehouse wh [--incremental-staging]
+                            [--null-safe-sync] [--keep-null-description]
   python -m tillroll ingest --source in/ --warehouse wh [--continuous]
   python -m tillroll sql    --warehouse wh "SELECT ... FROM analytics.fact_sales ..."
 
@@ -32,7 +33,12 @@ def main(argv=None) -> None:
     b = sub.add_parser("batch", help="sync new lines, restage, rebuild the star, publish")
     b.add_argument("--source", required=True, help="CSV file, folder or glob")
     b.add_argument("--warehouse", required=True)
-    b.add_argument("--incremental-staging", action="store_true")
+    b.add_argument("--incremental-staging", action="store_true",
+                   help="append the batch's cleaned lines instead of rebuilding staging")
+    b.add_argument("--null-safe-sync", action="store_true",
+                   help="NULL sync keys match each other (not re-inserted every run)")
+    b.add_argument("--keep-null-description", action="store_true",
+                   help="keep lines without a description in staging")
     i = sub.add_parser("ingest", help="stream new source files into raw")
     i.add_argument("--source", required=True)
     i.add_argument("--warehouse", required=True)
@@ -48,7 +54,9 @@ def main(argv=None) -> None:
         from tillroll.plans.pipeline import run_batch
         from tillroll.sources.csv import read_retail_csv
         out = run_batch(spark, read_retail_csv(spark, a.source), a.warehouse,
-                        incremental_staging=a.incremental_staging)
+                        incremental_staging=a.incremental_staging,
+                        null_safe_sync=a.null_safe_sync,
+                        keep_null_description=a.keep_null_description)
         print(json.dumps(out, default=str, indent=2))
     elif a.cmd == "ingest":
         from tillroll.streaming.ingest import start_ingest

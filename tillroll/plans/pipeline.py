@@ -221,21 +221,25 @@ def run_visuals(wh: Warehouse, star: Star, out_root: str) -> dict:
 
 
 def run_batch(spark: SparkSession, incoming: DataFrame, root: str,
-              incremental_staging: bool = False) -> dict:
+              incremental_staging: bool = False, null_safe_sync: bool = False,
+              keep_null_description: bool = False) -> dict:
     """The whole daily run. Returns the one-row checks as plain values.
 
     ``incremental_staging`` appends the cleaned new lines to staging instead
     of rebuilding it from all of raw (same result, see ``stage_batch``); a
-    full rebuild is still needed after a change of the cleaning rules."""
+    full rebuild is still needed after a change of the cleaning rules.
+    ``null_safe_sync`` compares sync keys with null-safe equality (NULL-key
+    lines are then not re-inserted on every run); ``keep_null_description``
+    keeps lines without a description in staging (the validation's rule)."""
     wh = Warehouse(spark, root)
     had_staging = _exists(spark, wh.path(STAGING_TABLE))
-    out = {"new_raw_rows": wh.sync_raw(incoming)}
+    out = {"new_raw_rows": wh.sync_raw(incoming, null_safe=null_safe_sync)}
     out["profile"] = quality.profile_raw(wh.raw()).first().asDict()
     if incremental_staging and had_staging:
-        wh.stage_batch(wh.last_batch_id)
+        wh.stage_batch(wh.last_batch_id, keep_null_description=keep_null_description)
         out["staging_rows"] = wh.staging().count()
     else:
-        out["staging_rows"] = wh.rebuild_staging()
+        out["staging_rows"] = wh.rebuild_staging(keep_null_description=keep_null_description)
     out["validation"] = quality.validate_staging(wh.staging()).first().asDict()
     out["star_version"] = wh.build_star()
     star = wh.star()
