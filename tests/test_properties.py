@@ -66,3 +66,15 @@ def test_dense_number_default_partitions(spark):
     df = spark.range(0, 20000, numPartitions=13).select(F.format_string("k%06d", (F.col("id") * 7919) % 20000).alias("k"))
     rows = dense_number(df, "k", "kid").collect()
     assert [r.kid for r in sorted(rows, key=lambda r: r.k)] == list(range(1, 20001))
+
+
+def test_cluster_conf_sizes_partitions():
+    from tillroll.session import cluster_conf
+    c = cluster_conf(100 * 1024 ** 4, executor_memory_gb=16, executor_cores=4, executors=1000)
+    parts = int(c["spark.sql.shuffle.partitions"])
+    assert 2 * 4000 <= parts <= 100_000
+    # the largest shuffle (30% of the input) lands at about the advisory size per partition
+    assert 0.3 * 100 * 1024 ** 4 / parts <= int(c["spark.sql.adaptive.advisoryPartitionSizeInBytes"]) * 1.01
+    maps = 100 * 1024 ** 4 / int(c["spark.sql.files.maxPartitionBytes"])
+    assert maps <= 250_000
+    assert c["spark.sql.adaptive.skewJoin.enabled"] == "true"

@@ -23,6 +23,45 @@ RECOMMENDED_CONF = {
 }
 
 
+def cluster_conf(input_bytes: int, executor_memory_gb: float = 16.0, executor_cores: int = 4,
+                 executors: int = 1000, shuffle_fraction: float = 0.3) -> dict:
+    """Settings for a cluster run over ``input_bytes`` of Parquet (e.g. 100 TB).
+
+    * scan splits of 512 MB: 100 TB -> ~200k map tasks, which keeps the
+      map x reduce block count and the driver's map statuses manageable;
+    * reducers sized for the largest shuffle of these jobs, not the input:
+      marts shuffle partial aggregates only, the biggest shuffles (sync keys,
+      duplicate-key profile) carry about ``shuffle_fraction`` of the input
+      bytes. Each reducer gets ~512 MB (at most 1/4 of a core's memory
+      share, so sorts spill rarely), at least 2 waves of the cluster's cores,
+      at most 100k partitions; AQE coalesces small shuffles back to the
+      advisory size;
+    * skew join on: a partition is skewed from 5x the median and 1 GB, and
+      is split into advisory-size pieces;
+    * dimension joins broadcast up to 64 MB (Spark's own size estimate), or
+      after ``checked_broadcast``'s row count.
+    """
+    split = 512 * 1024 ** 2
+    cores = executors * executor_cores
+    per_core_mem = executor_memory_gb * 1024 ** 3 / executor_cores
+    target = int(min(512 * 1024 ** 2, per_core_mem / 4))
+    largest_shuffle = int(input_bytes * shuffle_fraction)
+    partitions = min(100_000, max(2 * cores, -(-largest_shuffle // target)))
+    return {
+        "spark.sql.files.maxPartitionBytes": str(split),
+        "spark.sql.shuffle.partitions": str(partitions),
+        "spark.sql.adaptive.enabled": "true",
+        "spark.sql.adaptive.coalescePartitions.enabled": "true",
+        "spark.sql.adaptive.coalescePartitions.parallelismFirst": "false",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(target),
+        "spark.sql.adaptive.skewJoin.enabled": "true",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "5",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(1024 ** 3),
+        "spark.sql.autoBroadcastJoinThreshold": str(64 * 1024 ** 2),
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": str(64 * 1024 ** 2),
+    }
+
+
 def build_session(master: str = "local[*]", shuffle_partitions: int = 8,
                   app_name: str = "tillroll", extra: dict | None = None) -> SparkSession:
     """Session for local runs and tests. On a cluster the launcher owns
