@@ -47,9 +47,20 @@ def main(argv=None) -> None:
     q.add_argument("--warehouse", required=True)
     q.add_argument("statement")
     q.add_argument("--rows", type=int, default=50, help="rows to print")
+    for p in (b, i, q):
+        p.add_argument("--input-tb", type=float, default=None,
+                       help="size the shuffle / scan settings for this much input (cluster runs)")
+        p.add_argument("--executors", type=int, default=1000)
+        p.add_argument("--executor-cores", type=int, default=4)
+        p.add_argument("--executor-memory-gb", type=float, default=16.0)
     a = ap.parse_args(argv)
 
     spark = _session()
+    if a.input_tb:
+        from tillroll.session import cluster_conf
+        for k, v in cluster_conf(int(a.input_tb * 1024 ** 4), a.executor_memory_gb,
+                                 a.executor_cores, a.executors).items():
+            spark.conf.set(k, v)
     if a.cmd == "batch":
         from tillroll.plans.pipeline import run_batch
         from tillroll.sources.csv import read_retail_csv
