@@ -58,3 +58,22 @@ def test_sync_null_keys_bypass_join(spark):
     raw = Layers(spark, SF_SMALL).raw
     plan = sync.new_rows(raw, raw)._jdf.queryExecution().optimizedPlan().toString()
     assert "Union" in plan and "LeftAnti" in plan
+
+
+def test_sync_hot_key_copies(spark):
+    raw = Layers(spark, SF_SMALL).raw
+    n = raw.count()
+    one = raw.where(F.col("quantity").isNotNull()).limit(1)
+    hot = one.select("*", F.explode(F.array_repeat(F.lit(1), n // 2)).alias("_c")).drop("_c")
+    incoming = raw.unionByName(hot)                      # one key holds a third of the batch
+    # the hot key exists in raw: every copy is old
+    assert sync.new_rows(incoming, raw).count() == raw.where(F.col("quantity").isNull()).count()
+    # the hot key is new: every copy is new (the batch is not de-duplicated)
+    key = one.first()
+    existing = raw.where(~((F.col("invoice") == key.invoice) & (F.col("stockcode") == key.stockcode)
+                           & (F.col("invoicedate") == key.invoicedate)))
+    n_hot_in_raw = raw.count() - existing.count()
+    got = sync.new_rows(incoming, existing).where((F.col("invoice") == key.invoice)
+                                                  & (F.col("stockcode") == key.stockcode)
+                                                  & (F.col("invoicedate") == key.invoicedate)).count()
+    assert got >= n // 2 + 1 and got == n // 2 + n_hot_in_raw
