@@ -1,5 +1,4 @@
 """Batch pipeline and continuous ingestion over a scratch warehouse."""
-import time
 
 from pyspark.sql import functions as F
 
