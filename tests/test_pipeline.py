@@ -147,3 +147,16 @@ def test_cli_batch_and_sql(spark, tmp_path, capsys):
     assert '"new_raw_rows": 6000' in out and '"staging_rows": 5109' in out
     main(["sql", "--warehouse", wh, "SELECT COUNT(*) AS n FROM analytics.fact_sales"])
     assert "5109" in capsys.readouterr().out
+
+
+def test_rerun_without_new_lines(spark, tmp_path):
+    view = testdata.retail_lines(spark, SF_SMALL)
+    root = str(tmp_path / "wh")
+    run_batch(spark, view, root, null_safe_sync=True)
+    wh = Warehouse(spark, root)
+    files_before = sorted(wh.raw().inputFiles())
+    out = run_batch(spark, view, root, null_safe_sync=True)
+    assert out["new_raw_rows"] == 0
+    assert sorted(wh.raw().inputFiles()) == files_before      # nothing appended
+    assert out["staging_rows"] == 5109 and out["star_version"] == 2
+    assert out["visuals"]["changed"] is False and out["visuals"]["published"] is False
