@@ -255,7 +255,12 @@ def run_batch(spark: SparkSession, incoming: DataFrame, root: str,
     # statistics last, as in the source's step order: their guards (fewer
     # than 2 days in a group, too few days for the regression) fail the run
     # only after the layers, exports and figure feeds are published
-    ds = stats.q4_daily_dataset(star.fact, star.dim_date)
+    # the daily dataset (one row per trading day) needs per-day distinct
+    # invoices, so it comes from the fact: computed once, written, and the
+    # CSV export and both regression outputs read the written copy
+    ds_path = f"{exports}/modeling/q4_regression_dataset_daily_parquet"
+    stats.q4_daily_dataset(star.fact, star.dim_date).write.mode("overwrite").parquet(ds_path)
+    ds = spark.read.parquet(ds_path).orderBy("order_date")
     publish.export_csv(ds, f"{exports}/modeling/q4_regression_dataset_daily")
     report = stats.q4_report(stats.daily_revenue(star.revenue_source(), star.dim_date),
                              stats.daily_return_rate(star.revenue_source(), star.dim_date))
