@@ -160,3 +160,23 @@ def test_rerun_without_new_lines(spark, tmp_path):
     assert sorted(wh.raw().inputFiles()) == files_before      # nothing appended
     assert out["staging_rows"] == 5109 and out["star_version"] == 2
     assert out["visuals"]["changed"] is False and out["visuals"]["published"] is False
+
+
+def test_stream_ingest_continuous(spark, tmp_path):
+    view = testdata.retail_lines(spark, SF_SMALL)
+    src = tmp_path / "incoming"
+    split = F.lit("1998-01-01 00:00:00").cast("timestamp_ntz")
+    write_retail_csv(view.where(F.col("invoicedate") < split), str(src / "a"))
+    root = str(tmp_path / "wh")
+    q = start_ingest(spark, str(src / "*"), root, available_now=False, interval="1 second",
+                     query_name="raw_ingest_continuous")
+    try:
+        q.processAllAvailable()
+        wh = Warehouse(spark, root)
+        assert wh.raw().count() == view.where(F.col("invoicedate") < split).count()
+        write_retail_csv(view.where(F.col("invoicedate") >= split), str(src / "b"))
+        q.processAllAvailable()
+        assert wh.raw().count() == view.count()
+        assert q.isActive
+    finally:
+        q.stop()
