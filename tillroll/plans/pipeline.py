@@ -46,6 +46,18 @@ def _month_col(ts_col: str = "invoicedate"):
 
 
 def _exists(spark: SparkSession, path: str) -> bool:
+    """A committed table at ``path``: checked through the ``_SUCCESS`` marker
+    Spark's commit writes at the output root, so a large table's files are
+    not listed just to learn that it exists."""
+    try:
+        spark.read.text(f"{path.rstrip('/')}/_SUCCESS").limit(0).collect()
+        return True
+    except AnalysisException:
+        return False
+
+
+def _has_parquet(spark: SparkSession, path: str) -> bool:
+    """Any Parquet data under ``path`` (for small folders of several outputs)."""
     try:
         spark.read.parquet(path).limit(0).collect()
         return True
@@ -155,7 +167,7 @@ class Warehouse:
 
     def _committed_versions(self) -> DataFrame | None:
         p = self.path("analytics/_commits")
-        if not _exists(self.spark, p):
+        if not _has_parquet(self.spark, p):
             return None
         return self.spark.read.parquet(p)
 
