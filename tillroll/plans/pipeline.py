@@ -4,7 +4,8 @@ validate -> star -> KPI export -> figure feeds -> statistics.
 Storage layout under ``root`` (Parquet):
 
 * ``raw/online_retail``        append-only, partitioned by ``invoice_month``
-  (yyyyMM of invoicedate; ``0`` for a NULL date), one ``load_batch`` per sync.
+  (yyyyMM of invoicedate; ``0`` for a NULL date) and then ``load_batch``
+  (one per sync), so one batch is found by path without listing the table.
 * ``staging/online_retail_clean``  rebuilt (overwrite), unpartitioned.
 * ``analytics/v=<N>/<table>``  star schema builds; the fact is partitioned by
   ``date_month`` and sorted by (date_key, invoice_ts) inside partitions.
@@ -88,8 +89,7 @@ class Warehouse:
         raw_path = self.path(RAW_TABLE)
         incoming = incoming.select(*RAW_COLUMNS)
         exists = _exists(self.spark, raw_path)
-        if exists and batch_id is not None and \
-                self.raw().where(F.col("load_batch") == batch_id).limit(1).count() > 0:
+        if exists and batch_id is not None and self._batch_files(batch_id) is not None:
             return 0
         if exists:
             # The batch is read three times below (month list, keyed lines,
@@ -125,10 +125,22 @@ class Warehouse:
                .repartitionByRange("invoice_month", "invoicedate")
                .sortWithinPartitions("invoice_month", "invoicedate")
                .observe(obs, F.count(F.lit(1)).alias("rows")))
-        out.write.mode("append").partitionBy("invoice_month").parquet(raw_path)
+        out.write.mode("append").partitionBy("invoice_month", "load_batch").parquet(raw_path)
         self.last_batch_id = batch
         return int(obs.get.get("rows", 0))
 
+    def _batch_files(self, batch_id: str) -> DataFrame | None:
+        """The raw lines of one load batch, found by path (one folder per
+        month the batch touched), or None when the batch is not in raw."""
+        raw_path = self.path(RAW_TABLE)
+        try:
+            df = (self.spark.read.option("basePath", raw_path)
+                  .parquet(f"{raw_path}/invoice_month=*/load_batch={batch_id}"))
+            df.limit(0).collect()
+            return df
+        except AnalysisException:
+            return None
+
     def _land(self, incoming: DataFrame) -> DataFrame:
         path = f"{scratch_root(self.spark)}/landing/{uuid.uuid4().hex}"
         incoming.write.mode("overwrite").parquet(path)
@@ -145,10 +157,11 @@ class Warehouse:
         The staging rules are row-local (filters + projection), so
         staging(raw + batch) = staging(raw) + staging(batch): appending the
         batch gives exactly what a full rebuild gives, reading only the
-        batch's files (one load_batch value per file, so Parquet min/max
-        statistics skip every other file)."""
+        batch's folders."""
         obs = Observation("stage_batch")
-        batch = self.raw().where(F.col("load_batch") == batch_id)
+        batch = self._batch_files(batch_id)
+        if batch is None:
+            return 0
         (staging_clean(batch, keep_null_description=keep_null_description)
          .observe(obs, F.count(F.lit(1)).alias("rows"))
          .write.mode("append").parquet(self.path(STAGING_TABLE)))

@@ -20,8 +20,8 @@ NAMESPACES = ("raw", "staging", "analytics")
 RAW_DDL = """CREATE TABLE IF NOT EXISTS raw.online_retail (
   id BIGINT, invoice STRING, stockcode STRING, description STRING, quantity INT,
   invoicedate TIMESTAMP_NTZ, price DECIMAL(12,2), customer_id INT, country STRING,
-  load_batch STRING, invoice_month INT)
-USING parquet PARTITIONED BY (invoice_month) LOCATION '{path}'"""
+  invoice_month INT, load_batch STRING)
+USING parquet PARTITIONED BY (invoice_month, load_batch) LOCATION '{path}'"""
 
 STAGING_DDL = """CREATE TABLE IF NOT EXISTS staging.online_retail_clean (
   invoice STRING, stockcode STRING, description STRING, quantity INT,
