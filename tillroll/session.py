@@ -82,7 +82,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the reliable checkpoint folder, set from ``spark.checkpoint.dir``.
 
     A cluster names a shared folder in ``spark.checkpoint.dir``; that value
-    wins. Only when it is unset (local runs, tests) a scratch folder is made.
+    wins. Only when it is unset in a local session (local runs, tests) a
+    scratch folder is made; a cluster session without it is an error.
     """
     try:
         sc = spark.sparkContext
@@ -94,6 +95,10 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     configured = spark.conf.get("spark.checkpoint.dir", None) or \
         sc.getConf().get("spark.checkpoint.dir", None)
     if not configured:
+        if not sc.master.startswith("local"):
+            # a machine-local folder would not survive the loss of an executor
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS / object store) "
+                               "for cluster runs")
         # local runs and tests only: no shared folder was named
         configured = tempfile.mkdtemp(prefix="tillroll-ckpt-")
     sc.setCheckpointDir(configured)
