@@ -87,3 +87,28 @@ def test_sync_hot_key_copies(spark):
                                                   & (F.col("stockcode") == key.stockcode)
                                                   & (F.col("invoicedate") == key.invoicedate)).count()
     assert got >= n // 2 + 1 and got == n // 2 + n_hot_in_raw
+
+
+def test_raw_append_spreads_copies_of_one_line(spark, tmp_path):
+    from tillroll.plans.pipeline import Warehouse
+    raw = Layers(spark, SF_SMALL).raw
+    one = raw.limit(1)
+    copies = one.select("*", F.explode(F.array_repeat(F.lit(1), 6000)).alias("_c")).drop("_c")
+    wh = Warehouse(spark, str(tmp_path / "wh"))
+    # AQE would merge these tiny partitions into one; switch that off to see
+    # where the range boundaries fall
+    key = "spark.sql.adaptive.coalescePartitions.enabled"
+    before = spark.conf.get(key)
+    spark.conf.set(key, "false")
+    try:
+        assert wh.sync_raw(copies.unionByName(raw)) == 12000
+    finally:
+        spark.conf.set(key, before)
+    files = [f for f in wh.raw().inputFiles()]
+    # the 6000 copies share month and timestamp, yet no single file holds them all
+    row = one.first()
+    month_files = [f for f in files if f"invoice_month={row.invoicedate.strftime('%Y%m')}/" in f]
+    per_file = [spark.read.parquet(f).where((F.col("invoice") == row.invoice)
+                                            & (F.col("stockcode") == row.stockcode)).count()
+                for f in month_files]
+    assert sum(per_file) >= 6000 and max(per_file) < 6000, per_file

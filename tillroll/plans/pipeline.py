@@ -122,7 +122,9 @@ class Warehouse:
         # pass runs the plan below it and must not be counted)
         out = (new.select(F.monotonically_increasing_id().alias("id"), *RAW_COLUMNS,
                           F.lit(batch).alias("load_batch"), _month_col().alias("invoice_month"))
-               .repartitionByRange("invoice_month", "invoicedate")
+               # the unique id as last range key: lines sharing one timestamp
+               # (or exact copies of one line) are still spread over tasks
+               .repartitionByRange("invoice_month", "invoicedate", "id")
                .sortWithinPartitions("invoice_month", "invoicedate")
                .observe(obs, F.count(F.lit(1)).alias("rows")))
         out.write.mode("append").partitionBy("invoice_month", "load_batch").parquet(raw_path)
