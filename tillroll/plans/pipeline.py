@@ -99,13 +99,14 @@ class Warehouse:
             incoming = self._land(incoming)
             # Only raw months present in the batch can hold a matching key
             # (the key contains invoicedate). The month list is bounded by
-            # the calendar, so it is taken to the driver and becomes a static
-            # partition filter on the raw scan.
+            # the calendar, so it is taken to the driver and only those month
+            # folders are read (not listed: the rest of raw).
             months = [r[0] for r in incoming.select(_month_col().alias("m")).distinct()
                       .limit(MAX_MONTH_FILTER + 1).collect()]
             if len(months) <= MAX_MONTH_FILTER:
-                existing = self.raw().where(F.col("invoice_month").isin(months)).select(*RAW_COLUMNS)
-                new = sync.new_rows(incoming, existing, null_safe=null_safe)
+                existing = self._raw_months(months)
+                new = incoming if existing is None else \
+                    sync.new_rows(incoming, existing.select(*RAW_COLUMNS), null_safe=null_safe)
             else:   # not expected: prune with the broadcast semi join instead
                 new = sync.new_rows(incoming, self.raw().select(*RAW_COLUMNS), null_safe=null_safe,
                                     prune_by_month=True)
@@ -131,6 +132,19 @@ class Warehouse:
         self.last_batch_id = batch
         return int(obs.get.get("rows", 0))
 
+    def _raw_months(self, months: list[int]) -> DataFrame | None:
+        """Raw lines of the given months, read from those month folders only
+        (a glob over existing folders: the rest of the table is not listed),
+        or None when raw has none of them."""
+        raw_path = self.path(RAW_TABLE)
+        pattern = f"{raw_path}/invoice_month={{{','.join(str(m) for m in sorted(months))}}}"
+        try:
+            df = self.spark.read.option("basePath", raw_path).parquet(pattern)
+            df.limit(0).collect()
+            return df
+        except AnalysisException:
+            return None
+
     def _batch_files(self, batch_id: str) -> DataFrame | None:
         """The raw lines of one load batch, found by path (one folder per
         month the batch touched), or None when the batch is not in raw."""
