@@ -177,3 +177,15 @@ def test_yearly_files_read_and_union(spark, tmp_path):
     # one glob read gives the same lines (new files are picked up by pattern)
     g = read_retail_csv(spark, str(d / "*.csv"))
     assert g.exceptAll(u).count() == 0 and u.exceptAll(g).count() == 0
+
+
+def test_corrupt_state_fails_loudly(spark, tmp_path):
+    import pytest
+    from tillroll.sources import state
+    missing = state.read_state(spark, str(tmp_path / "nothing-here"))
+    assert missing.count() == 0                        # first run
+    bad = tmp_path / "state"
+    bad.mkdir()
+    (bad / "part-0.json").write_text('{"data_signature": {"max_date": "2011-12-09", "n_rows": "many"}, "version": 3}\n')
+    with pytest.raises(Exception):
+        state.read_state(spark, str(bad)).collect()
