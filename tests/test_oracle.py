@@ -31,3 +31,16 @@ def test_entry_smoke(spark):
     assert df.columns == ["full_date", "year", "month", "month_name", "country", "daily_orders",
                           "gross_revenue", "returns_revenue", "net_revenue", "is_q4"]
     assert df.count() > 0
+
+
+@pytest.mark.parametrize("key", ["avg_order_value", "welch_return_rate", "ols_q4", "staging_clean",
+                                 "q4_report_lines", "val_total_price"])
+def test_keys_match_with_ansi_off(spark, con, key):
+    """Sessions that turn ANSI off (as older runtimes did) get the same results."""
+    before = spark.conf.get("spark.sql.ansi.enabled")
+    spark.conf.set("spark.sql.ansi.enabled", "false")
+    try:
+        r = compare(spark, SF_SMALL, key, E.queries()[key], E.oracle_sql().get(key), con)
+    finally:
+        spark.conf.set("spark.sql.ansi.enabled", before)
+    assert r["status"] == "match", r
