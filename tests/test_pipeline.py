@@ -180,3 +180,14 @@ def test_stream_ingest_continuous(spark, tmp_path):
         assert q.isActive
     finally:
         q.stop()
+
+
+def test_cli_ingest(spark, tmp_path, capsys):
+    from tillroll.__main__ import main
+    src = str(tmp_path / "src")
+    write_retail_csv(testdata.retail_lines(spark, SF_SMALL), src)
+    wh = str(tmp_path / "wh")
+    main(["ingest", "--source", src, "--warehouse", wh])
+    assert Warehouse(spark, wh).raw().count() == 6000
+    main(["sql", "--warehouse", wh, "SELECT COUNT(DISTINCT load_batch) AS b FROM raw.online_retail"])
+    assert "|1 " in capsys.readouterr().out
