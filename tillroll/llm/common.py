@@ -71,3 +71,14 @@ def mix64(x: np.ndarray) -> np.ndarray:
 def held_out(doc_id: str) -> F.Column:
     """Rows that no label may be learned from: crc32 of the id as text, mod 5, is 0."""
     return F.coalesce(F.crc32(F.col(doc_id).cast("string").cast("binary")) % 5 == 0, F.lit(False))
+
+
+def worker_state(key: tuple, make: Callable):
+    """An object that lives as long as its Python worker, so later tasks find it filled."""
+    import sys
+    import types
+
+    state = sys.modules.setdefault("_tillroll_worker", types.ModuleType("_tillroll_worker")).__dict__
+    if key not in state:
+        state[key] = make()
+    return state[key]

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillroll.llm import decontaminate, exact_dedup, quality
+from tillroll.llm import decontaminate, exact_dedup, html_text, packing, quality, toxicity
 from tillroll.llm.common import held_out, table
 
 
@@ -16,6 +16,18 @@ def op3_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
         decontaminate.decontaminate(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")))
 
 
+def tokenizer_file(name: str = "word_bpe_49k.json") -> str:
+    """Path of a public tokenizer, as installed on every machine of the cluster."""
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
+def op4_pack(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pieces = packing.tokenize_pieces(table(spark, sf_dir, "documents"), tokenizer_file())
+    return packing.pack(pieces)
+
+
 def op5_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
     weights = quality.fit(docs, labels.where(~held_out("doc_id")))
@@ -27,8 +39,20 @@ def op7_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_dedup(table(spark, sf_dir, "documents"))
 
 
+def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    lexicon = toxicity.fit(docs, labels.where(~held_out("doc_id")))
+    return toxicity.score(docs, lexicon, threshold=0.5).select(
+        "doc_id", held_out("doc_id").alias("held_out"), "score", "predicted")
+
+
+def op10_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_text.extract(table(spark, sf_dir, "pages"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op3_decontaminate, op5_quality, op7_exact_dedup)}
+    return {f.__name__: f for f in (op3_decontaminate, op4_pack, op5_quality, op7_exact_dedup, op8_toxicity,
+                                    op10_html_text)}
 
 
 _DIGEST = "sha256(coalesce(text, ''))"
