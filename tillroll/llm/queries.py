@@ -7,10 +7,16 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillroll.llm import decontaminate, exact_dedup, html_text, packing, quality, toxicity
+from tillroll.llm import decontaminate, exact_dedup, html_text, packing, quality, substring_dedup, toxicity
 from tillroll.llm.common import held_out, table
 
 
+def op1_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring_dedup.substring_dedup(table(spark, sf_dir, "documents")).select(
+        "doc_id", "n_words", substring_dedup.removed_words().alias("n_removed"),
+        F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op3_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.contamination_report(
         decontaminate.decontaminate(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")))
@@ -51,7 +57,7 @@ def op10_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op3_decontaminate, op4_pack, op5_quality, op7_exact_dedup, op8_toxicity,
+    return {f.__name__: f for f in (op1_substring_dedup, op3_decontaminate, op4_pack, op5_quality, op7_exact_dedup, op8_toxicity,
                                     op10_html_text)}
 
 
