@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillroll.llm import decontaminate, exact_dedup, html_text, packing, quality, substring_dedup, toxicity
+from tillroll.llm import decontaminate, exact_dedup, html_text, packing, quality, substring_dedup, suffix_dedup, toxicity
 from tillroll.llm.common import held_out, table
 
 
@@ -41,6 +41,12 @@ def op5_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", held_out("doc_id").alias("held_out"), "score", "predicted")
 
 
+def op6_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.suffix_dedup(table(spark, sf_dir, "documents")).select(
+        "doc_id", "n_bytes", substring_dedup.removed_words().alias("n_removed"),
+        F.floor(F.size("spans") / 2).alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op7_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_dedup(table(spark, sf_dir, "documents"))
 
@@ -57,7 +63,7 @@ def op10_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_substring_dedup, op3_decontaminate, op4_pack, op5_quality, op7_exact_dedup, op8_toxicity,
+    return {f.__name__: f for f in (op1_substring_dedup, op3_decontaminate, op4_pack, op5_quality, op6_suffix_dedup, op7_exact_dedup, op8_toxicity,
                                     op10_html_text)}
 
 
