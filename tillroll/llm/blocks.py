@@ -20,11 +20,15 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_schema
+from pyspark.sql.types import StructType
 
 from tillroll.llm.common import bounded_batches, utf8
 from tillroll.session import scratch_root
 
 BLOCK_BYTES, BLOCK_ROWS = 2 << 20, 4000
+#: A block's number is its task's and a serial one; with the row it numbers every document in 63 bits.
+SERIAL_BITS, ROW_BITS = 20, 12
 #: A null id sorts after every other.
 NULL_ID = np.iinfo(np.int64).max
 
@@ -41,7 +45,7 @@ def build_blocks(docs: DataFrame, id_col: str, text_col: str, name: str) -> Data
     bounded_batches(spark)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        number = TaskContext.get().partitionId() << 32
+        number = TaskContext.get().partitionId() << SERIAL_BITS
         ids: list[int] = []
         texts: list[bytes] = []
         size = 0
@@ -93,9 +97,6 @@ def split_by_bucket(key: np.ndarray, buckets: int) -> tuple[np.ndarray, np.ndarr
 
 def over_blocks(blocks: DataFrame, fn: Callable[[dict], list[tuple]], schema: str) -> DataFrame:
     """``fn`` maps a block (a dict of its columns) to rows of ``schema``."""
-    from pyspark.sql.types import StructType, _parse_datatype_string  # noqa: F401
-    from pyspark.sql.pandas.types import to_arrow_schema
-
     spark = blocks.sparkSession
     bounded_batches(spark)
     kind = to_arrow_schema(StructType.fromDDL(schema))

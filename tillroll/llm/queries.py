@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillroll.llm import decontaminate, exact_dedup, html_text, packing, quality, substring_dedup, suffix_dedup, toxicity
+from tillroll.llm import decontaminate, exact_dedup, html_text, near_dedup, packing, quality, substring_dedup, suffix_dedup, toxicity
 from tillroll.llm.common import held_out, table
 
 
@@ -17,6 +17,10 @@ def op1_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2("kept", 256).alias("kept_sha256"))
 
 
+def op2_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_dedup.near_dedup(table(spark, sf_dir, "documents"))
+
+
 def op3_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.contamination_report(
         decontaminate.decontaminate(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")))
@@ -63,7 +67,7 @@ def op10_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_substring_dedup, op3_decontaminate, op4_pack, op5_quality, op6_suffix_dedup, op7_exact_dedup, op8_toxicity,
+    return {f.__name__: f for f in (op1_substring_dedup, op2_near_dedup, op3_decontaminate, op4_pack, op5_quality, op6_suffix_dedup, op7_exact_dedup, op8_toxicity,
                                     op10_html_text)}
 
 
