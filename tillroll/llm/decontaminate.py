@@ -88,7 +88,7 @@ def merged(spans: list[tuple[int, int]]) -> list[int]:
     return out
 
 
-def _pass(items: list[tuple[str, bytes]], window: int):
+def _pass(items: list[tuple[str, bytes]], window: int, carried: list[str]):
     tables: list = []
 
     def run(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
@@ -105,27 +105,31 @@ def _pass(items: list[tuple[str, bytes]], window: int):
             hits.append(merged(spans))
             owners.append(sorted(found))
         yield pa.RecordBatch.from_arrays(
-            [batch.column("doc_id"), batch.column("text"), pa.array(n_words, pa.int64()),
+            [*[batch.column(c) for c in carried], pa.array(n_words, pa.int64()),
              pa.array(hits, pa.list_(pa.int32())), pa.array(owners, pa.list_(pa.string()))],
-            ["doc_id", "text", "n_words", "hits", "items"])
+            [*carried, "n_words", "hits", "items"])
 
     return run
 
 
 def decontaminate(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, id_col: str = "doc_id",
                   text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text",
-                  block_items: int = BLOCK_ITEMS) -> DataFrame:
+                  block_items: int = BLOCK_ITEMS, keep: tuple[str, ...] = ()) -> DataFrame:
     """doc_id, n_words, hits (word spans start, end, flat), items (ids) per row of ``docs``.
 
+    ``keep`` names columns to carry along, as _keep0, _keep1 and so on.
+
     An item of fewer than ``window`` words is one pattern as a whole; an item
     without words, or a null one, matches nothing. A null or empty document has
     no words. A row with a null item_id counts as the item named "". Repeated
     rows are each judged; extra columns aren't read; empty tables give rows
     without hits, or no rows.
     """
-    id_type = docs.schema[id_col].dataType.simpleString()
-    schema = f"doc_id {id_type}, text string, n_words long, hits array<int>, items array<string>"
-    out = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"), F.lit(0).cast("long").alias("n_words"),
+    source = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"),
+                         *[F.col(c).alias(f"_keep{i}") for i, c in enumerate(keep)])
+    kind = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in source.schema)
+    schema = f"{kind}, n_words long, hits array<int>, items array<string>"
+    out = source.select("*", F.lit(0).cast("long").alias("n_words"),
                       F.array().cast("array<int>").alias("hits"), F.array().cast("array<string>").alias("items"))
     items = benchmark.select(F.coalesce(F.col(item_col).cast("string"), F.lit("")).alias("item"),
                              F.col(item_text_col).alias("text")).distinct()
@@ -137,10 +141,10 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, i
     for b in range(blocks):
         own = items.where(F.col("block") == b) if blocks > 1 else items
         query = [(r["item"], (r["text"] or "").encode()) for r in own.select("item", "text").collect()]
-        out = map_batches(out, _pass(query, window), schema)
+        out = map_batches(out, _pass(query, window, source.columns), schema)
         if b % PASSES_PER_JOB == PASSES_PER_JOB - 1 and b + 1 < blocks:
             out = land(out, "decontaminate")
-    return out.select("doc_id", "n_words", "hits", "items")
+    return out.drop("text")
 
 
 def contamination_report(found: DataFrame) -> DataFrame:

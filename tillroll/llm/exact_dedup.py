@@ -22,9 +22,9 @@ def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     """doc_id, keep_id, group_size, kept, text_sha256 for every row of ``docs``.
 
     The row with the largest id of equal texts stays. A null text counts as
-    empty. A null id never wins against another id; a group of null ids only
-    has a null keep_id and nothing kept. Rows that repeat id and text count
-    in group_size and share the decision on their id. Other columns of
+    empty. A null id never wins against another id; in a group of null ids
+    only, keep_id is null and the rows are kept. Rows that repeat id and text
+    count in group_size and share the decision on their id. Other columns of
     ``docs``, whatever their names, are not read. An empty table gives no
     rows.
     """
@@ -63,5 +63,5 @@ def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     found = ids.join(few, "digest", "left").withColumn("key", key).join(rest, "key", "left")
     keep = F.when(F.col("hot_size").isNull(), F.col("keep_id")).otherwise(F.col("hot_id"))
     return found.select("doc_id", keep.alias("keep_id"), F.coalesce("hot_size", "group_size").alias("group_size"),
-                        F.coalesce(F.col("doc_id") == keep, F.lit(False)).alias("kept"),
+                        F.col("doc_id").eqNullSafe(keep).alias("kept"),
                         F.col("digest").alias("text_sha256"))

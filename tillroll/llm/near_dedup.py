@@ -264,8 +264,8 @@ def near_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     fewer than ``shingle`` words is one shingle; one without words, or null,
     is linked with nothing. Two rows are linked if their sets' intersection
     is at least ``percent`` of the union. Rows that share an id and are kept
-    are all marked kept. A row with a null id has a null component_id unless
-    it is linked with an id, and is never kept. Other columns aren't read; an
+    are all marked kept. A row with a null id has a null component_id, and is
+    kept, unless it is linked with an id. Other columns aren't read; an
     empty table gives no rows. Ids are integers.
     """
     blocks = build_blocks(docs, id_col, text_col, "near")
@@ -319,4 +319,4 @@ def near_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
            .select("doc_id", "n", "component_id")
            .unionByName(sketches.where("n = 0").select("doc_id", "n", F.col("doc_id").alias("component_id"))))
     return out.select("doc_id", F.col("n").alias("n_shingles"), "component_id",
-                      F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(False)).alias("kept"))
+                      F.col("doc_id").eqNullSafe(F.col("component_id")).alias("kept"))

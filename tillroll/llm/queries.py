@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillroll.llm import decontaminate, exact_dedup, html_text, near_dedup, packing, quality, substring_dedup, suffix_dedup, toxicity
+from tillroll.llm import decontaminate, exact_dedup, html_text, near_dedup, packing, quality, substring_dedup, suffix_dedup, token_files, toxicity
 from tillroll.llm.common import held_out, table
 
 
@@ -62,13 +62,21 @@ def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", held_out("doc_id").alias("held_out"), "score", "predicted")
 
 
+def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """doc_id, n_tokens: documents as flat token files, counted by a scan of those files."""
+    end_id, folder = 49407, token_files.token_folder(spark)
+    written = token_files.write_token_files(table(spark, sf_dir, "documents"), tokenizer_file(), end_id, folder)
+    counted = token_files.count_tokens(spark, folder, end_id).withColumn("file", F.element_at(F.split("path", "/"), -1))
+    return written.join(counted, ["file", "ordinal"]).select("doc_id", "n_tokens", "file", "ordinal", "start")
+
+
 def op10_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_text.extract(table(spark, sf_dir, "pages"))
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {f.__name__: f for f in (op1_substring_dedup, op2_near_dedup, op3_decontaminate, op4_pack, op5_quality, op6_suffix_dedup, op7_exact_dedup, op8_toxicity,
-                                    op10_html_text)}
+                                    op9_token_counts, op10_html_text)}
 
 
 _DIGEST = "sha256(coalesce(text, ''))"

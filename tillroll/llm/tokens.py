@@ -7,12 +7,21 @@ together from the cached ids.
 
 from __future__ import annotations
 
+import json
 import os
+import re
 
 import numpy as np
 
 from tillroll.llm.common import worker_state
 
+# The split pattern of word vocabularies and the byte alphabet's printable bytes.
+WORD_PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
+PRINTABLE = [*range(33, 127), *range(161, 173), *range(174, 256)]
+
+#: Words of letters that lower-casing and composition leave one by one, with a full stop or comma or none.
+PLAIN = re.compile("([A-Za-zÀ-ÖØ-öø-ÿ]+)([.,]?)")
+
 #: Words whose ids a worker remembers at most.
 MOST_WORDS = 1_000_000
 
@@ -20,14 +29,41 @@ MOST_WORDS = 1_000_000
 class WordTokens:
     """Ids of whole texts through a cache of words; for tokenizers whose ids don't span white space."""
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, special: bool = True):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # Spark's tasks share the cores
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
+        self.tokenizer.encode_special_tokens = not special  # else their strings are ordinary text
+        with open(path, encoding="utf-8") as f:
+            made = json.load(f)
+        steps = [n["type"] for n in (made.get("normalizer") or {}).get("normalizers", [])]
+        cuts = (made.get("pre_tokenizer") or {}).get("pretokenizers", [])
+        #: In such a vocabulary a plain word's letters are one unit: its merges alone give the ids.
+        self.by_unit = (steps == ["NFC", "Replace", "Lowercase"] and [c["type"] for c in cuts] == ["Split", "ByteLevel"]
+                        and cuts[0]["pattern"].get("Regex") == WORD_PATTERN and not cuts[1]["add_prefix_space"])
+        others = [b for b in range(256) if b not in PRINTABLE]
+        self.letters = {b: chr(b) for b in PRINTABLE} | {b: chr(256 + i) for i, b in enumerate(others)}
+        self.units: dict[str, list[int]] = {}
         self.clear()
 
+    def ids_of(self, words: list[bytes]) -> list[list[int]]:
+        texts = [w.decode() for w in words]
+        plain = [PLAIN.fullmatch(t) if self.by_unit else None for t in texts]
+        rest = iter(self.tokenizer.encode_batch_fast([t for t, p in zip(texts, plain) if not p],
+                                                     add_special_tokens=False))
+        return [self.unit(p[1].lower()) + (self.unit(p[2]) if p[2] else []) if p else next(rest).ids for p in plain]
+
+    def unit(self, text: str) -> list[int]:
+        """Ids of one unit of the word pattern."""
+        known = self.units.get(text)
+        if known is None:
+            spelt = text.encode().decode("latin-1").translate(self.letters)
+            known = self.units[text] = [t.id for t in self.tokenizer.model.tokenize(spelt)]
+        return known
+
     def clear(self) -> None:
+        self.units.clear()
         self.code: dict[bytes, int] = {}
         self.flat = np.zeros(1 << 16, np.uint32)
         self.starts = np.zeros(1 << 14, np.int64)  # of the words' ids in flat; one more than words
@@ -41,8 +77,7 @@ class WordTokens:
             new = sorted(words)
         for at in range(0, len(new), 4096):
             part = new[at:at + 4096]
-            found = [e.ids for e in self.tokenizer.encode_batch_fast([w.decode() for w in part],
-                                                                     add_special_tokens=False)]
+            found = self.ids_of(part)
             n, sizes = len(self.code), [len(f) for f in found]
             used = int(self.starts[n])
             total = used + sum(sizes)
@@ -69,5 +104,6 @@ class WordTokens:
         return out
 
 
-def word_tokens(path: str) -> WordTokens:
-    return worker_state(("word_tokens", path), lambda: WordTokens(path))
+def word_tokens(path: str, special: bool = True) -> WordTokens:
+    """``special``: strings of special tokens in a text get their ids."""
+    return worker_state(("word_tokens", path, special), lambda: WordTokens(path, special))
