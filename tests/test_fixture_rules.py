@@ -88,6 +88,12 @@ def test_second_sync_reinserts_null_key_rows(spark, fixture_csv):
     assert sync.new_rows(incoming, first, null_safe=True).count() == 0
     # prune-by-month gives the same answer
     assert sync.new_rows(incoming, first, prune_by_month=True).count() == 4
+    # also where dates are NULL on both sides
+    dateless = incoming.withColumn("invoicedate", F.when(F.col("quantity") > 3, F.col("invoicedate")))
+    for null_safe in (True, False):
+        plain = sync.new_rows(dateless, dateless.limit(9), null_safe=null_safe)
+        pruned = sync.new_rows(dateless, dateless.limit(9), null_safe=null_safe, prune_by_month=True)
+        assert pruned.exceptAll(plain).count() == 0 and plain.exceptAll(pruned).count() == 0
 
 
 def test_keep_null_description_option(spark, fixture_csv):

@@ -11,14 +11,13 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tillroll.operators.joins import checked_broadcast
 from tillroll.schemas import RAW_COLUMNS, SYNC_KEYS
 
-# a batch spans at most this many calendar months before the month filter
-# falls back to a shuffle join
+# above so many calendar months the month filter is a shuffle join (same rows)
 MAX_BATCH_MONTHS = 100_000
 
 
@@ -27,6 +26,12 @@ def union_yearly(frames: list[DataFrame]) -> DataFrame:
     return reduce(lambda a, b: a.unionByName(b), frames).select(*RAW_COLUMNS)
 
 
+def month_number(ts_col: str = "invoicedate") -> Column:
+    """yyyyMM of a timestamp, 0 for NULL: a NULL date has a month of its own,
+    so pruning by month never loses the lines that null-safe keys match."""
+    return F.coalesce((F.year(ts_col) * 100 + F.month(ts_col)).cast("int"), F.lit(0))
+
+
 def _any_key_null(keys: list[str]):
     return reduce(lambda a, b: a | b, [F.col(k).isNull() for k in keys])
 
@@ -38,42 +43,36 @@ def new_rows(incoming: DataFrame, existing: DataFrame, null_safe: bool = False,
     Plan shape for scale:
     * lines with a NULL key cannot match under SQL equality; they bypass the
       join entirely (no shuffle, and no hot NULL partition);
-    * the existing side is reduced to its distinct keys (map-side partial
-      aggregation) before the left-anti join, so duplicated raw lines do not
-      inflate the build side;
+    * both sides meet the left-anti join straight from their exchange: with
+      nothing between the shuffle and the join's sort, AQE can split a hot
+      key of the incoming side over several tasks (an aggregate there, such
+      as a distinct of the existing keys, rules that out);
     * ``prune_by_month``: the existing side is restricted to the months that
-      occur in the batch (a size-checked broadcast semi join on the month;
-      the warehouse uses a static partition filter instead). The key contains invoicedate, so
-      the result is unchanged.
-    AQE's skew-join handling splits a hot key on the streamed (incoming) side.
+      occur in the batch (a size-checked broadcast semi join on the month,
+      which starts a job; the warehouse uses a partition filter instead).
+      The key contains invoicedate, so the result is unchanged.
     """
     incoming = incoming.select(*RAW_COLUMNS)
     ex_keys = existing.select(*SYNC_KEYS)
     if prune_by_month:
-        # the batch's month list is bounded by the calendar: size-checked
-        # broadcast, so the existing side is filtered in place, not shuffled
-        month = F.date_trunc("month", F.col("invoicedate")).alias("_m")
-        batch_months = incoming.select(month).where(F.col("_m").isNotNull()).distinct()
-        ex_keys = (ex_keys.withColumn("_m", F.date_trunc("month", F.col("invoicedate")))
+        batch_months = incoming.select(month_number().alias("_m")).distinct()
+        ex_keys = (ex_keys.withColumn("_m", month_number())
                    .join(checked_broadcast(batch_months, MAX_BATCH_MONTHS), "_m", "left_semi")
                    .drop("_m"))
 
     # The existing keys grow with raw and are never broadcast: Spark's static
     # estimate (compressed Parquet size of a few columns) can fall under the
     # broadcast threshold while the hash relation is large, so the anti join
-    # is pinned to a shuffle (sort-merge) join; AQE still splits skewed
-    # incoming partitions.
+    # is pinned to a shuffle (sort-merge) join.
     if null_safe:
         # existing keys renamed, so the condition is unambiguous even when
         # both sides come from the same table
-        ex_keys = (ex_keys.distinct()
-                   .select(*[F.col(k).alias(f"_ex_{k}") for k in SYNC_KEYS])
-                   .hint("shuffle_merge"))
+        ex_keys = ex_keys.select(*[F.col(k).alias(f"_ex_{k}") for k in SYNC_KEYS]).hint("shuffle_merge")
         cond = reduce(lambda a, b: a & b,
                       [F.col(k).eqNullSafe(F.col(f"_ex_{k}")) for k in SYNC_KEYS])
         return incoming.join(ex_keys, cond, "left_anti").select(*RAW_COLUMNS)
 
     has_null = _any_key_null(SYNC_KEYS)
-    ex_keys = ex_keys.where(~has_null).distinct().hint("shuffle_merge")
+    ex_keys = ex_keys.where(~has_null).hint("shuffle_merge")
     keyed = incoming.where(~has_null).join(ex_keys, on=SYNC_KEYS, how="left_anti")
     return keyed.select(*RAW_COLUMNS).unionByName(incoming.where(has_null))

@@ -37,15 +37,9 @@ from tillroll.session import scratch_root
 from tillroll.sources import publish, state
 
 RAW_TABLE = "raw/online_retail"
-# at most this many month values become a static partition filter
-MAX_MONTH_FILTER = 10_000
 STAGING_TABLE = "staging/online_retail_clean"
 
 
-def _month_col(ts_col: str = "invoicedate"):
-    return F.coalesce((F.year(ts_col) * 100 + F.month(ts_col)).cast("int"), F.lit(0))
-
-
 def _exists(spark: SparkSession, path: str) -> bool:
     """A committed table at ``path``: checked through the ``_SUCCESS`` marker
     Spark's commit writes at the output root, so a large table's files are
@@ -98,18 +92,12 @@ class Warehouse:
             # are columnar scans.
             incoming = self._land(incoming)
             # Only raw months present in the batch can hold a matching key
-            # (the key contains invoicedate). The month list is bounded by
-            # the calendar, so it is taken to the driver and only those month
-            # folders are read (not listed: the rest of raw).
-            months = [r[0] for r in incoming.select(_month_col().alias("m")).distinct()
-                      .limit(MAX_MONTH_FILTER + 1).collect()]
-            if len(months) <= MAX_MONTH_FILTER:
-                existing = self._raw_months(months)
-                new = incoming if existing is None else \
-                    sync.new_rows(incoming, existing.select(*RAW_COLUMNS), null_safe=null_safe)
-            else:   # not expected: prune with the broadcast semi join instead
-                new = sync.new_rows(incoming, self.raw().select(*RAW_COLUMNS), null_safe=null_safe,
-                                    prune_by_month=True)
+            # (the key contains invoicedate; a NULL date is month 0). The
+            # month list is bounded by the calendar, so it is taken to the
+            # driver as a partition filter whatever its length.
+            months = [r[0] for r in incoming.select(sync.month_number().alias("m")).distinct().collect()]
+            existing = self.raw().where(F.col("invoice_month").isin(months))
+            new = sync.new_rows(incoming, existing, null_safe=null_safe)
         else:
             new = incoming
         obs = Observation("sync_raw")
@@ -122,7 +110,7 @@ class Warehouse:
         # (the row count is observed above the range exchange: its sampling
         # pass runs the plan below it and must not be counted)
         out = (new.select(F.monotonically_increasing_id().alias("id"), *RAW_COLUMNS,
-                          F.lit(batch).alias("load_batch"), _month_col().alias("invoice_month"))
+                          F.lit(batch).alias("load_batch"), sync.month_number().alias("invoice_month"))
                # the unique id as last range key: lines sharing one timestamp
                # (or exact copies of one line) are still spread over tasks
                .repartitionByRange("invoice_month", "invoicedate", "id")
@@ -132,19 +120,6 @@ class Warehouse:
         self.last_batch_id = batch
         return int(obs.get.get("rows", 0))
 
-    def _raw_months(self, months: list[int]) -> DataFrame | None:
-        """Raw lines of the given months, read from those month folders only
-        (a glob over existing folders: the rest of the table is not listed),
-        or None when raw has none of them."""
-        raw_path = self.path(RAW_TABLE)
-        pattern = f"{raw_path}/invoice_month={{{','.join(str(m) for m in sorted(months))}}}"
-        try:
-            df = self.spark.read.option("basePath", raw_path).parquet(pattern)
-            df.limit(0).collect()
-            return df
-        except AnalysisException:
-            return None
-
     def _batch_files(self, batch_id: str) -> DataFrame | None:
         """The raw lines of one load batch, found by path (one folder per
         month the batch touched), or None when the batch is not in raw."""
