@@ -158,7 +158,10 @@ def first_labels(blocks: list[Block]) -> list[str]:
 
 
 def final_labels(blocks: list[Block], labels: list[str]) -> list[bool]:
-    """Undecided blocks inherit from the nearest decided ones before and after."""
+    """Undecided blocks inherit from the nearest decided ones before and after.
+
+    The page's edges count as bad, but where no block is decided the middling ones are kept.
+    """
     n = len(blocks)
     before, after = [(n, "bad")] * n, [(n, "bad")] * n
     last = None
@@ -178,7 +181,7 @@ def final_labels(blocks: list[Block], labels: list[str]) -> list[bool]:
         elif b.inside:
             out.append(True)  # in the article only links and marks speak against a block
         elif l1 == l2:
-            out.append(l1 == "good")
+            out.append(l1 == "good" or label == "near" and d1 == d2 == n)
         elif label == "near":
             out.append(True)
         else:
