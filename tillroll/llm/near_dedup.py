@@ -33,6 +33,8 @@ BANDS, ROWS, BASE = 40, 4, 1.001
 SCALE = 64.0
 #: Members of one bucket that are handled together; a larger bucket is split.
 TILE = 4096
+#: Pairs whose registers are compared at once.
+JUDGED = 1 << 14
 #: Bytes of shingle sets that one verification task should hold.
 SET_BYTES = 32 << 20
 
@@ -79,9 +81,10 @@ def merge_registers(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return np.maximum(a, b)
 
 
-def plausible(one: np.ndarray, n_one: float, many: np.ndarray, n_many: np.ndarray, percent: int = PERCENT,
+def plausible(one: np.ndarray, n_one: np.ndarray | float, many: np.ndarray, n_many: np.ndarray, percent: int = PERCENT,
               deviations: float = 4.0) -> np.ndarray:
-    """Rows of ``many`` whose joint likelihood doesn't rule the similarity ``percent`` out."""
+    """Rows of ``many`` whose joint likelihood with ``one`` (one set's registers, or a set's for each row) doesn't
+    rule the similarity ``percent`` out."""
     m = many.shape[1]
     j0 = percent / 100
     out = (many == one).sum(axis=1) >= m * max(0.0, j0 - 6 * np.sqrt(j0 * (1 - j0) / m))
@@ -89,6 +92,7 @@ def plausible(one: np.ndarray, n_one: float, many: np.ndarray, n_many: np.ndarra
     k = np.flatnonzero(out)
     if not len(k):
         return out
+    one, n_one = np.broadcast_to(one, many.shape)[k], np.broadcast_to(n_one, n_many.shape)[k]
     more, less = (many[k] < one).sum(axis=1), (many[k] > one).sum(axis=1)
     u = n_one / (n_one + n_many[k])
     v = 1 - u
@@ -144,29 +148,45 @@ def _pairs(tiles: int, chunk_has_top: bool, percent: int):
         new[1:] = (key[1:] != key[:-1]) | (tile[1:] != tile[:-1])
         cut = [*np.flatnonzero(new).tolist(), len(rows)]
         left, right = [], []
-        for s, e in zip(cut[:-1], cut[1:]):
-            if e - s < 2:
-                continue
-            if not chunk_has_top:  # the first against the rest
-                who, against = [s], [np.arange(s + 1, e)]
-            else:
-                who, against = np.flatnonzero(outlier[s:e]) + s, []
+        word = reg.view(U)  # a band's four registers
+
+        def judge(i: np.ndarray, j: np.ndarray) -> None:
+            for at in range(0, len(i), JUDGED):
+                x, y = i[at:at + JUDGED], j[at:at + JUDGED]
+                # a pair that meets in several bands goes out from the first
+                first = (word[x] == word[y]).argmax(axis=1) == band[x]
+                x, y = x[first], y[first]
+                if len(x):
+                    likely = plausible(reg[x], n[x].astype(float), reg[y], n[y].astype(float), percent)
+                    x, y = x[likely], y[likely]
+                left.append(np.minimum(node[x], node[y]))
+                right.append(np.maximum(node[x], node[y]))
+
+        if not chunk_has_top:  # the first against the rest
+            size = np.diff(cut)
+            rest = np.arange(len(rows))
+            i = np.repeat(cut[:-1], size)
+            judge(i[rest != i], rest[rest != i])
+        else:
+            ones, others, waiting = [], [], 0
+            for s, e in zip(cut[:-1], cut[1:]):
+                if e - s < 2:
+                    continue
                 every = np.arange(s, e)
-                for i in who:
+                for i in np.flatnonzero(outlier[s:e]) + s:
                     other = every[comp[s:e] != comp[i]]
                     # two outliers meet in every tile; the smaller one's home counts
                     twice = outlier[other]
                     low = np.where(node[other] < node[i], home[other], home[i])
-                    against.append(other[~twice | ((low == tile[s]) & (other > i))])
-            for i, other in zip(who, against):
-                if not len(other):
-                    continue
-                other = other[plausible(reg[i], float(n[i]), reg[other], n[other].astype(float), percent)]
-                # a pair that meets in several bands goes out from the first
-                same = (reg[other].reshape(len(other), BANDS, ROWS) == reg[i].reshape(BANDS, ROWS)).all(axis=2)
-                other = other[same.argmax(axis=1) == band[s]]
-                left.append(np.minimum(node[i], node[other]))
-                right.append(np.maximum(node[i], node[other]))
+                    other = other[~twice | ((low == tile[s]) & (other > i))]
+                    ones.append(np.full(len(other), i))
+                    others.append(other)
+                    waiting += len(other)
+                    if waiting >= JUDGED:
+                        judge(np.concatenate(ones), np.concatenate(others))
+                        ones, others, waiting = [], [], 0
+            if waiting:
+                judge(np.concatenate(ones), np.concatenate(others))
         if not left or not (total := sum(map(len, left))):
             return []
         a, b = np.concatenate(left), np.concatenate(right)
