@@ -109,3 +109,15 @@ def test_empty_tables(spark):
 def test_entry_registers_the_queries():
     names = list(__spark_entry__.queries())
     assert [sum(n.startswith(f"op{k}_") for n in names) for k in range(1, 11)] == [1] * 10 and "pipeline" in names
+
+
+@pytest.mark.parametrize("words", [40, 20_000])
+def test_logistic_fit_settles_on_close_measures(words):
+    """Rows of one length, and of lengths far apart: the fit must separate what the weights separate."""
+    random_ = np.random.default_rng(3)
+    toxic = random_.random(3000) < 0.1
+    n = random_.integers(30, words, len(toxic))
+    weight = np.where(toxic, random_.integers(2, 6, len(toxic)) * 4.3, (random_.random(len(toxic)) < 0.01) * 1.7)
+    x = np.array([toxicity.measures(w, k) for w, k in zip(weight, n)])
+    found = x @ np.array(toxicity.logistic_fit(x, toxic.astype(float))) >= 0
+    assert (found == toxic).mean() > 0.99
