@@ -122,3 +122,9 @@ def test_general_ols_agrees_with_closed_form(series):
         assert general[term].coef == pytest.approx(closed[term].coef, rel=1e-9)
         assert general[term].se == pytest.approx(closed[term].se, rel=1e-9)
         assert general[term].t == pytest.approx(closed[term].t, rel=1e-9)
+
+
+def test_day_without_totals_counts_with_zero(spark):
+    fact = spark.sql("SELECT * FROM VALUES (1, CAST(NULL AS DECIMAL(14,2))), (2, CAST(3 AS DECIMAL(14,2))) t(date_key, total_price)")
+    days = spark.sql("SELECT * FROM VALUES (1, DATE'2020-10-01'), (2, DATE'2020-10-02') t(date_key, full_date)")
+    assert [float(r["revenue"]) for r in stats.daily_revenue(fact, days).collect()] == [0.0, 3.0]

@@ -43,10 +43,15 @@ def dim_country(staging: DataFrame) -> DataFrame:
 
 def dim_product(staging: DataFrame) -> DataFrame:
     """One row per trimmed stock code; product name is the lexically largest
-    non-empty description (code semantics, not 'most recent')."""
-    return (staging.where(is_non_blank(F.col("stockcode")))
-            .groupBy(F.trim("stockcode").alias("stockcode"))
-            .agg(F.max(F.nullif(F.col("description"), F.lit(""))).alias("product_name")))
+    non-empty description (code semantics, not 'most recent').
+
+    A maximum over strings sorts its input, so lines are first hash-reduced to
+    distinct (code, description) pairs and only those are sorted."""
+    pairs = (staging.where(is_non_blank(F.col("stockcode")))
+             .select(F.trim("stockcode").alias("stockcode"),
+                     F.nullif(F.col("description"), F.lit("")).alias("description"))
+             .distinct())
+    return pairs.groupBy("stockcode").agg(F.max("description").alias("product_name"))
 
 
 def dim_customer(staging: DataFrame) -> DataFrame:

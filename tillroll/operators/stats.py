@@ -59,7 +59,10 @@ def render_template(template: str, values: dict, lit, concat):
 
 
 def daily_revenue(fact: DataFrame, dim_date: DataFrame) -> DataFrame:
-    per_day = fact.groupBy("date_key").agg(F.sum("total_price").alias("revenue"))
+    """Net revenue per day; a day whose totals are all NULL counts with 0, as
+    the source's ``fillna(0)``, so the tests on the series keep it."""
+    total = F.sum("total_price")
+    per_day = fact.groupBy("date_key").agg(F.coalesce(total, F.lit(0).cast("decimal(14,2)")).alias("revenue"))
     return (per_day.join(dim_date, "date_key")
             .select(F.col("full_date").alias("order_date"), "revenue")
             .orderBy("order_date"))

@@ -88,7 +88,10 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     try:
         sc = spark.sparkContext
     except Exception:  # remote session: the server owns the checkpoint folder
-        return spark.conf.get("spark.checkpoint.dir", "")
+        shared = spark.conf.get("spark.checkpoint.dir", "")
+        if not shared:
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder on the server")
+        return shared
     current = sc.getCheckpointDir()
     if current:
         return current
