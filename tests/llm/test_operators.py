@@ -95,6 +95,46 @@ def test_page_text(spark):
     assert html_text.extract(df.limit(0)).count() == 0
 
 
+LONG = "It is a long paragraph of the article, and it has many of the words that we have and like to read in the sun."
+ARTICLE = f"<article><h1>The title</h1><p>{LONG}</p></article>"
+
+
+@pytest.mark.parametrize("page", [
+    f'<body><div class="content has-sidebar">{ARTICLE}</div></body>',
+    f'<body><div class="no-sidebar">{ARTICLE}</div><div class="sidebar">{LONG}</div></body>',
+    f'<body><div id="widget"><div class="content">{ARTICLE}</div></div></body>',
+    f'<body><form action="/x"><div class="notice">{ARTICLE}</div></form></body>',
+    f"<html><head><title>x</title><meta charset=utf-8><body>{ARTICLE}</body></html>",
+    f"<html><head><title>x</title><link rel=y>{ARTICLE}</html>",
+    f'<input list=l><datalist id=l><option value=a><option value=b></datalist>{ARTICLE}',
+    f"<div><option value=a></div>{ARTICLE}",
+    f"<script>for(i=0;i<n;i++){{}}</script>{ARTICLE}",
+    f'<article><p class="notice">Notice<h1>The title</h1><p>{LONG}</article>',
+])
+def test_page_text_keeps_the_article(page):
+    assert html_text.main_text(page) == f"The title\n{LONG}"
+
+
+def test_page_text_keeps_runs_of_middling_blocks():
+    near = ["It is a paragraph of the page, and it is not as long as the others are.",
+            "It has a second one that is by and large as long as the first one was."]
+    assert all(html_text.SHORT <= len(t) < html_text.LONG for t in near)
+    links = "<ul><li><a href=/a>Home</a><li><a href=/b>About us</a></ul>"
+    body = "".join(f"<p>{t}</p>" for t in near)
+    assert html_text.main_text(f"{links}{body}{links}") == "\n".join(near)
+    assert html_text.main_text(f"{links}<p>{near[0]}</p>{links}") == near[0]
+    good = f"{LONG} {LONG}"
+    assert html_text.main_text(f"<p>{good}</p>{links}{body}{links}") == "\n".join([good, *near])
+    assert html_text.main_text(f"<p>{good}</p>{links}<p>{near[0]}</p>{links}") == good
+    assert html_text.main_text(f"{links}<div class=cookie-notice>{body}</div>{links}") == ""
+
+
+@pytest.mark.parametrize("wrapper", ["sidebar", "site-footer", "widget-2", "comment_list", "x share-buttons"])
+def test_page_text_leaves_out_marked_containers(wrapper):
+    assert html_text.main_text(f'<article><p>{LONG}</p><div class="{wrapper}"><p>{LONG} Twice.</p></div></article>') == LONG
+    assert html_text.main_text(f'<article><p>{LONG}</p><ol class="{wrapper}"><article>{LONG} Twice.</article></ol></article>') == LONG
+
+
 def test_empty_tables(spark):
     none = spark.createDataFrame([], SCHEMA)
     bench = spark.createDataFrame([], "item_id string, text string")

@@ -3,8 +3,9 @@
 The page is cut into blocks at block-level tags. Pass one labels each block
 from its length, stop-word density, link density and the containers it lies
 in; pass two gives short and middling blocks the label of the nearest decided
-neighbours. On a page with a marked article the blocks inside are in doubt
-only where links fill them, and the blocks outside don't count.
+neighbours, but keeps several middling blocks in a row. On a page with a marked
+article the blocks inside are in doubt only where links fill them, and the
+blocks outside don't count; no class, id, role or form around it speaks against it.
 """
 
 from __future__ import annotations
@@ -25,6 +26,16 @@ SHORT, LONG, LINKS, STOP_LOW, STOP_HIGH = 70, 140, 0.4, 0.12, 0.28
 
 # Elements whose content is never text of the page.
 RAW = "script style noscript template textarea title iframe xmp svg math canvas select option object".split()
+# Those of them that hold no tags, whatever looks like one.
+RAW_TEXT = {n: re.compile(rf"</{n}(?=[\s/>])[^>]*>?", re.I) for n in
+            "script style noscript textarea title iframe xmp".split()}
+# Ends of an option's parents.
+OPTION_ENDS = "option optgroup datalist select".split()
+# Elements that may stand in a head.
+HEAD = "head base basefont bgsound link meta noframes".split()
+# Elements whose open ones a start tag closes, the end tag being optional.
+IMPLIED = {"li": ["li"], **dict.fromkeys(["dt", "dd"], ["dt", "dd"]), **dict.fromkeys(["td", "th"], ["td", "th"]),
+           "tr": ["td", "th", "tr"], **dict.fromkeys(["tbody", "tfoot"], ["td", "th", "tr", "thead", "tbody"])}
 # Elements that hold no article text.
 BOILER = "nav footer aside form menu dialog button head".split()
 MAIN = "article main".split()
@@ -33,12 +44,21 @@ BLOCK = set("""address article aside blockquote body caption center col colgroup
 fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 head header hgroup hr html legend li main menu nav ol option p
 pre search section select summary table tbody td tfoot th thead title tr ul""".split())
 VOID = set("area base br col embed hr img input link meta param source track wbr".split())
-# Words in class, id or role that mark what isn't the article.
+# Whole class, id or role names that mark what isn't the article.
 HINTS = set("""ad ads adv advert advertisement advertisements advertising adsense banner sponsor sponsored promo
 promotion sidebar side nav navbar navigation menu breadcrumb breadcrumbs footer masthead topbar toolbar cookie
 cookies consent gdpr notice notices alert popup modal overlay newsletter subscribe signup login share sharing social
 comment comments disqus respond replies related recommended recommendations widget pagination pager tags
-complementary contentinfo search skip""".split())
+complementary contentinfo search skip
+ad-banner ad-container ad-slot ad-unit ad-wrapper adsbygoogle alert-box breadcrumb-nav breadcrumb-trail comment-area
+comment-body comment-form comment-list comment-respond comments-area comments-list comments-section cookie-banner
+cookie-bar cookie-consent cookie-notice entry-footer footer-bottom footer-links footer-menu footer-nav footer-widgets
+global-nav left-nav main-menu main-nav main-navigation nav-bar nav-links nav-menu navbar-nav newsletter-form
+newsletter-signup page-footer post-navigation post-tags primary-menu primary-nav promo-box related-articles
+related-content related-links related-posts related-stories search-form share-bar share-buttons share-links
+side-bar side-nav site-footer site-nav site-navigation skip-link social-buttons social-icons
+social-links social-media social-share sponsored-content sub-menu subscribe-box subscribe-form tag-list tags-list top-bar
+top-nav widget-area""".split())
 # Frequent words of English, German, French and Spanish.
 STOP = set("""the of and to in a is that for it was on are as with be by this from at or an not have has you but his
 her they which we he she were been their will would there all one if so no can
@@ -50,8 +70,9 @@ el los las del y que una se por con no su para al lo como más o pero sus ha me
 _TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*>?"
                     r"|</?[a-zA-Z](?:[^>\"']|\"[^\"]*\"|'[^']*')*+>|</?[a-zA-Z][^>]*>?|[^<]+|<", re.S)
 _NAME = re.compile(r"</?([a-zA-Z][a-zA-Z0-9:-]*)")
-_HINTED = re.compile(r"\b(?:class|id|role)\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s>]+)", re.I)
+_HINTED = re.compile(r"(?<![\w-])(?:class|id|role)\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s>]+)", re.I)
 _HIDDEN = re.compile(r"\shidden(?=[\s>=/])|aria-hidden\s*=\s*[\"']?true|display\s*:\s*none", re.I)
+_NUMBER = re.compile(r"-?\d+\Z")
 _WORDS = re.compile(r"[^\W\d_]+")
 
 
@@ -68,31 +89,41 @@ def _hinted(tag: str) -> bool:
     if "=" not in tag and "hidden" not in tag:
         return False
     return bool(_HIDDEN.search(tag)) or any(
-        w in HINTS for m in _HINTED.finditer(tag) for w in re.split(r"[^a-z]+", m[1].lower()))
+        _NUMBER.sub("", w) in HINTS
+        for m in _HINTED.finditer(tag) for w in m[1].strip("\"'").lower().replace("_", "-").split())
 
 
 def blocks_of(page: str) -> list[Block]:
     """The page's blocks in order, with white space collapsed; empty ones left out."""
     out: list[Block] = []
-    stack: list[tuple[str, bool, bool]] = []  # open containers: name, boiler, inside the article
+    # open containers: name, boiler (1 by a hint or form, which an article overrides, 2 by element), inside the article
+    stack: list[tuple[str, int, bool]] = []
     text: list[str] = []
     links = anchor = 0
     heading = False
     raw = ""
+    at = 0
 
     def end() -> None:
         nonlocal links, text
         if text:
             joined = " ".join("".join(text).split())
             if joined:
-                boiler, inside = stack[-1][1:] if stack else (False, False)
-                out.append(Block(joined, links, boiler, inside, heading))
+                boiler, inside = stack[-1][1:] if stack else (0, False)
+                out.append(Block(joined, links, boiler > 0, inside, heading))
             text, links = [], 0
 
-    for m in _TOKEN.finditer(page):
-        t = m[0]
+    def leave_head() -> None:
+        if stack and stack[-1][0] == "head":
+            end()
+            stack.pop()
+
+    while m := _TOKEN.match(page, at):
+        t, at = m[0], m.end()
         if t[0] != "<" or len(t) == 1:
             if not raw:
+                if not t.isspace():
+                    leave_head()
                 t = html.unescape(t) if "&" in t else t
                 text.append(t)
                 if anchor:
@@ -102,10 +133,22 @@ def blocks_of(page: str) -> list[Block]:
             continue
         name = _NAME.match(t)[1].lower()
         closing = t[1] == "/"
+        if name in RAW_TEXT:
+            if name in BLOCK and not raw:
+                end()
+            if not closing and not t.endswith("/>"):
+                close = RAW_TEXT[name].search(page, at)
+                at = close.end() if close else len(page)
+            continue
         if raw:
             if closing and name == raw:
                 raw = ""
-            continue
+                continue
+            if not (raw == "option" and closing and (name in OPTION_ENDS or any(n == name for n, _, _ in stack))):
+                continue
+            raw = ""
+        if not closing and name not in HEAD and name not in RAW:
+            leave_head()
         if name in RAW:
             if name in BLOCK:
                 end()
@@ -120,16 +163,25 @@ def blocks_of(page: str) -> list[Block]:
             end()
             anchor = 0
             heading = not closing and len(name) == 2 and name[0] == "h" and name[1].isdigit()
+            if not closing:
+                if stack and stack[-1][0] == "p":
+                    stack.pop()
+                while stack and stack[-1][0] in IMPLIED.get(name, ()):
+                    stack.pop()
             if name == "p" or heading or name in VOID:
                 if not closing and name == "p" and _hinted(t):
-                    stack.append((name, True, bool(stack and stack[-1][2])))
+                    stack.append((name, max(1, stack[-1][1] if stack else 0), bool(stack and stack[-1][2])))
                 elif closing and stack and stack[-1][0] == name:
                     stack.pop()
             elif not closing:
-                boiler, inside = stack[-1][1:] if stack else (False, False)
-                page_level = name in ("html", "body", *MAIN)
-                stack.append((name, boiler or name in BOILER or (name == "header" and not inside)
-                              or (not page_level and _hinted(t)), inside or name in MAIN))
+                boiler, inside = stack[-1][1:] if stack else (0, False)
+                if name in MAIN and not inside and boiler == 1:
+                    boiler = 0
+                if name != "form" and name in BOILER or (name == "header" and not inside):
+                    boiler = 2
+                elif name == "form" or (name not in ("html", "body", *MAIN) and _hinted(t)):
+                    boiler = max(boiler, 1)
+                stack.append((name, boiler, inside or name in MAIN))
             elif any(n == name for n, _, _ in stack):
                 while stack.pop()[0] != name:
                     pass
@@ -157,12 +209,26 @@ def first_labels(blocks: list[Block]) -> list[str]:
     return out
 
 
+def keep_runs(labels: list[str]) -> list[str]:
+    """Middling blocks between bad ones count as good where two or more stand between decided blocks,
+    or where the page has no good block at all."""
+    out, need = list(labels), 2 if "good" in labels else 1
+    decided = [-1, *(i for i, label in enumerate(labels) if label in ("good", "bad")), len(labels)]
+    for a, b in zip(decided, decided[1:]):
+        near = [i for i in range(a + 1, b) if labels[i] == "near"]
+        if len(near) >= need and "good" not in (*labels[max(a, 0):a + 1], *labels[b:b + 1]):
+            for i in near:
+                out[i] = "good"
+    return out
+
+
 def final_labels(blocks: list[Block], labels: list[str]) -> list[bool]:
     """Undecided blocks inherit from the nearest decided ones before and after.
 
-    The page's edges count as bad, but where no block is decided the middling ones are kept.
+    The page's edges count as bad.
     """
     n = len(blocks)
+    labels = keep_runs(labels)
     before, after = [(n, "bad")] * n, [(n, "bad")] * n
     last = None
     for i in range(n):
@@ -181,7 +247,7 @@ def final_labels(blocks: list[Block], labels: list[str]) -> list[bool]:
         elif b.inside:
             out.append(True)  # in the article only links and marks speak against a block
         elif l1 == l2:
-            out.append(l1 == "good" or label == "near" and d1 == d2 == n)
+            out.append(l1 == "good")
         elif label == "near":
             out.append(True)
         else:
