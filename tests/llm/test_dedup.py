@@ -155,6 +155,27 @@ def test_registers_merge_and_estimate():
     assert near_dedup.plausible(reg(a), 400, np.stack([same, other]), np.array([390.0, 390.0])).tolist() == [True, False]
 
 
+@pytest.mark.parametrize("share", [1.0, 0.9, 0.8, 0.75])
+def test_judging_loses_a_link_less_often_than_the_bands(share):
+    """Over every outcome of the registers of two sets, sizes 1 : share, at the threshold itself."""
+    m, j = near_dedup.BANDS * near_dedup.ROWS, near_dedup.PERCENT / 100
+    u, v = 1 / (1 + share), share / (1 + share)
+    part = lambda x: -np.log1p(-max(0.0, x) * (near_dedup.BASE - 1) / near_dedup.BASE) / np.log(near_dedup.BASE)
+    p, q = part(u - v * j), part(v - u * j)
+    log = np.concatenate([[0], np.cumsum(np.log(np.arange(1, m + 1)))])  # of factorials
+    equal, more = (x.ravel() for x in np.mgrid[0:m + 1, 0:m + 1])
+    less = m - equal - more
+    equal, more, less = (x[less >= 0] for x in (equal, more, less))
+    with np.errstate(divide="ignore", invalid="ignore"):
+        terms = [np.where(k > 0, k * np.log(x), 0) for k, x in ((equal, 1 - p - q), (more, p), (less, q))]
+    chance = np.exp(log[m] - log[equal] - log[more] - log[less] + sum(terms))
+    assert chance.sum() == pytest.approx(1)
+    at = np.arange(m)
+    many = np.where(at < equal[:, None], 100, np.where(at < (equal + more)[:, None], 99, 101)).astype(np.uint16)
+    kept = near_dedup.plausible(np.full(m, 100, np.uint16), 1e6, many, np.full(len(many), share * 1e6))
+    assert chance[~kept].sum() < 2e-8
+
+
 @pytest.mark.parametrize("operator", [substring_dedup.substring_dedup, suffix_dedup.suffix_dedup,
                                       exact_dedup.exact_dedup, near_dedup.near_dedup])
 def test_empty_tables_and_long_text(spark, operator):
