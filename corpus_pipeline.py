@@ -10,7 +10,7 @@ doc_id is an id of its own. Empty tables pass through as empty tables.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tillroll.llm import decontaminate, exact_dedup, near_dedup, packing, quality
@@ -23,6 +23,12 @@ def _carried(df: DataFrame, docs: DataFrame) -> DataFrame:
     return df.select(*[F.col(f"_keep{i}").alias(c) for i, c in enumerate(docs.columns)])
 
 
+def _same() -> Column:
+    """A document's id and text are those kept under _id and _sha."""
+    text = F.sha2(F.coalesce("text", F.lit("")), 256)
+    return (text == F.col("_sha")) & F.col("doc_id").eqNullSafe(F.col("_id"))
+
+
 def quality_filter(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the quality classifier accepts (score 0.3 or more)."""
     weights = quality.fit(docs, table(spark, sf_dir, "labels").where(~held_out("doc_id")))
@@ -34,14 +40,13 @@ def exact_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
     """One document (the largest doc_id) of each text."""
     kept = exact_dedup.exact_dedup(docs).where("kept").select(
         F.col("doc_id").alias("_id"), F.col("text_sha256").alias("_sha")).distinct()
-    same = (F.sha2(F.coalesce("text", F.lit("")), 256) == F.col("_sha")) & F.col("doc_id").eqNullSafe(F.col("_id"))
-    return docs.join(kept, same, "left_semi")
+    return docs.join(kept, _same(), "left_semi")
 
 
 def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document (the smallest doc_id) of each group of near duplicates."""
-    kept = near_dedup.near_dedup(docs).where("kept").select(F.col("doc_id").alias("_id")).distinct()
-    return docs.join(kept, F.col("doc_id").eqNullSafe(F.col("_id")), "left_semi")
+    """One document (the smallest doc_id, of its texts the one with the smallest digest) of each group of near duplicates."""
+    kept = near_dedup.representatives(docs).select(F.col("doc_id").alias("_id"), F.col("text_sha256").alias("_sha"))
+    return docs.join(kept, _same(), "left_semi")
 
 
 def benchmark_free(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -22,6 +22,8 @@ at most 2.6e-7, and less the more similar the pair is.
 
 from __future__ import annotations
 
+import hashlib
+
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
@@ -117,9 +119,10 @@ def plausible(one: np.ndarray, n_one: np.ndarray | float, many: np.ndarray, n_ma
     return out
 
 
-def _sketch(shingle: int):
+def _sketch(shingle: int, digests: bool):
     def run(block: dict) -> list[tuple]:
         ids, sizes = arrays(block["ids"], block["sizes"])
+        limit = np.concatenate([[0], np.cumsum(sizes)]).tolist()
         prints, edge = shingle_sets(block["text"].lower(), sizes, shingle)
         n = np.diff(edge)
         total = [np.concatenate([np.zeros(1, U), np.cumsum(mix64(prints ^ b))]) for b in (WORD, CHECK)]
@@ -136,7 +139,8 @@ def _sketch(shingle: int):
         for k, i in enumerate(ids.tolist()):
             w = where.get(k)
             out.append((None if i == NULL_ID else i, (block["block"] << ROW_BITS) | k, int(n[k]), int(one[k]), int(two[k]),
-                        reg[w].tobytes() if w is not None else b"", key[w].tolist() if w is not None else []))
+                        reg[w].tobytes() if w is not None else b"", key[w].tolist() if w is not None else [],
+                        *[hashlib.sha256(block["text"][limit[k]:limit[k + 1]]).hexdigest()] * digests))
         return out
 
     return run
@@ -294,10 +298,34 @@ def near_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     kept, unless it is linked with an id. Other columns aren't read; an
     empty table gives no rows. Ids are integers.
     """
+    return _linked(docs, id_col, text_col, shingle, percent).select(
+        "doc_id", F.col("n").alias("n_shingles"), "component_id",
+        F.col("doc_id").eqNullSafe(F.col("component_id")).alias("kept"))
+
+
+def representatives(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = SHINGLE,
+                    percent: int = PERCENT) -> DataFrame:
+    """doc_id, text_sha256 of one text of each component, as ``near_dedup`` links them.
+
+    It has the smallest id, a null one only where no row has an id, and of
+    those texts the smallest digest. A null text counts as empty; each text
+    without words is a component of its own.
+    """
+    rows = _linked(docs, id_col, text_col, shingle, percent, digests=True)
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "digest")).alias("first")
+    return rows.groupBy("comp").agg(first).select(
+        "first.doc_id", F.col("first.digest").alias("text_sha256")).distinct()
+
+
+def _linked(docs: DataFrame, id_col: str, text_col: str, shingle: int, percent: int, digests: bool = False
+            ) -> DataFrame:
+    """doc_id, n, comp (a node of the component), component_id and, if asked for, the text's digest per row."""
+    own = ["digest"] * digests
     blocks = build_blocks(docs, id_col, text_col, "near")
     chunks = buckets_of(docs)
-    sketches = land(over_blocks(blocks, _sketch(shingle),
-                                "doc_id long, node long, n long, one long, two long, reg binary, bands array<long>"),
+    sketches = land(over_blocks(blocks, _sketch(shingle, digests),
+                                "doc_id long, node long, n long, one long, two long, reg binary, bands array<long>"
+                                + ", digest string" * digests),
                     "sketches")
     classes = land(sketches.where("n > 0").groupBy("one", "two", "n").agg(
         F.min("node").alias("node"), F.min("doc_id").alias("first_id")), "classes")
@@ -340,9 +368,8 @@ def near_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     label = components(links)
     whole = classes.join(label, "node", "left").withColumn("comp", F.coalesce("label", "node"))
     lowest = whole.groupBy("comp").agg(F.min("first_id").alias("component_id"))
-    whole = whole.join(lowest, "comp").select("one", "two", "n", "component_id")
-    out = (sketches.where("n > 0").select("doc_id", "n", "one", "two").join(whole, ["one", "two", "n"])
-           .select("doc_id", "n", "component_id")
-           .unionByName(sketches.where("n = 0").select("doc_id", "n", F.col("doc_id").alias("component_id"))))
-    return out.select("doc_id", F.col("n").alias("n_shingles"), "component_id",
-                      F.col("doc_id").eqNullSafe(F.col("component_id")).alias("kept"))
+    whole = whole.join(lowest, "comp").select("one", "two", "n", "comp", "component_id")
+    return (sketches.where("n > 0").select("doc_id", "n", "one", "two", *own).join(whole, ["one", "two", "n"])
+            .select("doc_id", "n", "comp", "component_id", *own)
+            .unionByName(sketches.where("n = 0").select("doc_id", "n", F.col("node").alias("comp"),
+                                                        F.col("doc_id").alias("component_id"), *own)))
