@@ -68,7 +68,8 @@ STAGES = [
     ("best-fit packing", packed),
 ]
 
-#: A classifier's training, band joins and the tokenizer can't be written in SQL: tests use a brute-force version.
+#: A classifier's training, band joins and the tokenizer can't be written in SQL: tests/llm/test_corpus_pipeline.py
+#: holds run() against plain versions of the stages after the classifier, and checks the packing.
 ORACLE_SQL = None
 
 
