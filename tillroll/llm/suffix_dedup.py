@@ -1,4 +1,4 @@
-"""Suffix-array deduplication over bytes by longest-previous-factor arrays.
+"""Deduplication over bytes by suffix order in buckets, and by fingerprints.
 
 A byte goes if a string of ``length`` bytes over it also starts earlier: in
 terms of the longest-previous-factor array (LPF), if a start at most
@@ -10,9 +10,11 @@ do. The windows left go, as stretches that share their minimizer, to the
 bucket of that minimizer, so all copies of a string meet. There a suffix array
 to depth ``length`` is built by prefix doubling; starts with one rank stand
 side by side in suffix order, and the one before in (document, position) is
-the previous smaller position that gives the LPF. Minimizers met in more than
-``hot_blocks`` blocks are split further: their windows are dealt one by one
-by fingerprint, each once a block.
+the previous smaller position that would give the LPF; no LPF value is formed.
+Minimizers met in more than ``hot_blocks`` blocks are split further: their
+windows are dealt one by one by fingerprint, each once a block. These, equal
+stretches and equal documents are settled by fingerprint (96 or 128 bits), not
+by the suffix array.
 """
 
 from __future__ import annotations
