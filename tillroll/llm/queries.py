@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillroll.llm import decontaminate, exact_dedup, html_text, near_dedup, packing, quality, substring_dedup, suffix_dedup, token_files, toxicity
+from tillroll.llm import (decontaminate, exact_dedup, html_text, near_dedup, packing, quality, substring_dedup, suffix_dedup, token_files,
+                          toxicity, vector_codes)
 from tillroll.llm.common import held_out, table
 
 
@@ -74,14 +75,51 @@ def op10_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_text.extract(table(spark, sf_dir, "pages"))
 
 
+def op13_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    coded, books = vector_codes.encode(table(spark, sf_dir, "embeddings"))
+    return vector_codes.with_label_error(coded).select(
+        F.col("id").alias("vec_id"), F.lower(F.hex("code")).alias("code"), "error", "label_error",
+        F.lit(books.digest() if books else None).cast("string").alias("codebooks_sha256"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {f.__name__: f for f in (op1_substring_dedup, op2_near_dedup, op3_decontaminate, op4_pack, op5_quality, op6_suffix_dedup, op7_exact_dedup, op8_toxicity,
-                                    op9_token_counts, op10_html_text)}
+                                    op9_token_counts, op10_html_text, op13_vector_codes)}
 
 
 _DIGEST = "sha256(coalesce(text, ''))"
 
+
+def _codes_sql(parts: int = 16, entries: int = 64, rounds: int = 2) -> str:
+    """Every part against every entry of its codebook, round after round."""
+    steps = [f"""
+        kept AS (SELECT vec_id, label, list_transform(embedding, x -> CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS v
+                 FROM embeddings WHERE embedding IS NOT NULL AND len(list_filter(embedding, x -> x IS NULL OR NOT isfinite(x))) = 0),
+        cut AS (SELECT vec_id, label, p, v[CAST(p * len(v) // {parts} + 1 AS BIGINT):CAST((p + 1) * len(v) // {parts} AS BIGINT)] AS x
+                FROM kept, range({parts}) t(p)),
+        book0 AS (SELECT p, row_number() OVER (PARTITION BY p ORDER BY vec_id) - 1 AS k, x AS e FROM cut QUALIFY k < {entries})"""]
+    for r in range(rounds + 1):
+        steps.append(f"""
+        near{r} AS (SELECT vec_id, label, p, x, min({{'d': d, 'k': k}}) AS best FROM (
+                      SELECT vec_id, label, c.p, x, k, CAST(list_sum(list_transform(list_zip(x, e), z -> (z[1] - z[2]) * (z[1] - z[2]))) AS BIGINT) AS d
+                      FROM cut c JOIN book{r} b ON c.p = b.p) GROUP BY ALL)""")
+        if r < rounds:
+            steps.append(f"""
+        mean{r} AS (SELECT p, k, list(m ORDER BY i) AS e FROM (
+                      SELECT p, k, i, CAST(floor(CAST(sum(y) AS DOUBLE) / count(*)) AS BIGINT) AS m FROM (
+                        SELECT p, best.k AS k, unnest(x) AS y, generate_subscripts(x, 1) AS i FROM near{r}) GROUP BY p, k, i) GROUP BY p, k),
+        book{r + 1} AS (SELECT b.p, b.k, coalesce(m.e, b.e) AS e FROM book{r} b LEFT JOIN mean{r} m ON b.p = m.p AND b.k = m.k)""")
+    steps.append(f"""
+        sums AS (SELECT vec_id, label, string_agg(format('{{:02x}}', best.k), '' ORDER BY p) AS code, CAST(sum(best.d) AS BIGINT) AS error
+                 FROM near{rounds} GROUP BY vec_id, label),
+        flat AS (SELECT sha256(string_agg(array_to_string(e, ','), ',' ORDER BY p, k)) AS digest FROM book{rounds})""")
+    return f"""WITH {",".join(steps)}
+        SELECT vec_id, code, error, CAST(sum(error) OVER (PARTITION BY label) AS BIGINT) AS label_error, digest AS codebooks_sha256
+        FROM sums, flat"""
+
+
 _SQL = {
+    "op13_vector_codes": _codes_sql(),
     "op7_exact_dedup": f"""
         SELECT doc_id, max(doc_id) OVER same AS keep_id, count(*) OVER same AS group_size,
                doc_id = max(doc_id) OVER same AS kept, {_DIGEST} AS text_sha256
