@@ -14,7 +14,7 @@ from collections import Counter
 
 import duckdb
 
-TABLES = ["region", "nation", "customer", "supplier", "part", "orders", "lineitem", "documents"]
+TABLES = ["region", "nation", "customer", "supplier", "part", "orders", "lineitem", "documents", "embeddings", "pages", "benchmark", "labels"]
 
 
 def duck(sf_dir: str):
