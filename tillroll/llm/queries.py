@@ -93,15 +93,15 @@ _DIGEST = "sha256(coalesce(text, ''))"
 def _codes_sql(parts: int = 16, entries: int = 64, rounds: int = 2) -> str:
     """Every part against every entry of its codebook, round after round."""
     steps = [f"""
-        kept AS (SELECT vec_id, label, list_transform(embedding, x -> CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS v
-                 FROM embeddings WHERE embedding IS NOT NULL AND len(list_filter(embedding, x -> x IS NULL OR NOT isfinite(x))) = 0),
+        kept AS (SELECT vec_id, label, list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS v
+                 FROM embeddings WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
         cut AS (SELECT vec_id, label, p, v[CAST(p * len(v) // {parts} + 1 AS BIGINT):CAST((p + 1) * len(v) // {parts} AS BIGINT)] AS x
                 FROM kept, range({parts}) t(p)),
         book0 AS (SELECT p, row_number() OVER (PARTITION BY p ORDER BY vec_id) - 1 AS k, x AS e FROM cut QUALIFY k < {entries})"""]
     for r in range(rounds + 1):
         steps.append(f"""
         near{r} AS (SELECT vec_id, label, p, x, min({{'d': d, 'k': k}}) AS best FROM (
-                      SELECT vec_id, label, c.p, x, k, CAST(list_sum(list_transform(list_zip(x, e), z -> (z[1] - z[2]) * (z[1] - z[2]))) AS BIGINT) AS d
+                      SELECT vec_id, label, c.p, x, k, CAST(list_sum(list_transform(list_zip(x, e), lambda z: (z[1] - z[2]) * (z[1] - z[2]))) AS BIGINT) AS d
                       FROM cut c JOIN book{r} b ON c.p = b.p) GROUP BY ALL)""")
         if r < rounds:
             steps.append(f"""
