@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillroll.llm import (decontaminate, exact_dedup, html_text, near_dedup, packing, quality, substring_dedup, suffix_dedup, token_files,
-                          toxicity, vector_codes)
+from tillroll.llm import (decontaminate, exact_dedup, html_text, near_dedup, packing, quality, repetition, substring_dedup, suffix_dedup,
+                          token_files, toxicity, vector_codes)
 from tillroll.llm.common import held_out, table
 
 
@@ -75,6 +75,12 @@ def op10_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_text.extract(table(spark, sf_dir, "pages"))
 
 
+def op12_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repetition.quality_rules(table(spark, sf_dir, "documents")).select(
+        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept",
+        "n_covered")
+
+
 def op13_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
     coded, books = vector_codes.encode(table(spark, sf_dir, "embeddings"))
     return vector_codes.with_label_error(coded).select(
@@ -84,12 +90,41 @@ def op13_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {f.__name__: f for f in (op1_substring_dedup, op2_near_dedup, op3_decontaminate, op4_pack, op5_quality, op6_suffix_dedup, op7_exact_dedup, op8_toxicity,
-                                    op9_token_counts, op10_html_text, op13_vector_codes)}
+                                    op9_token_counts, op10_html_text, op12_quality_rules,
+                                    op13_vector_codes)}
 
 
 _DIGEST = "sha256(coalesce(text, ''))"
 
 
+def _rules_sql(min_words: int = repetition.MIN_WORDS, percent: int = repetition.COVERED_PERCENT,
+               longest: int = repetition.LONGEST) -> str:
+    """Repeats as windows that a text holds more than once: a repeat above the limit is a window of one word more."""
+    def again(k: int, words: str = "words") -> str:
+        return f"""
+        twice{k} AS (SELECT r, pos FROM (SELECT r, pos, count(*) OVER (PARTITION BY r, gram) AS n FROM (
+                       SELECT r, pos, w[pos:pos + {k - 1}] AS gram FROM (SELECT r, w, unnest(range(1, len(w) - {k - 2})) AS pos FROM {words})))
+                     WHERE n > 1),
+        inside{k} AS (SELECT r, count(DISTINCT p) AS n FROM (SELECT r, unnest(range(pos, pos + {k})) AS p FROM twice{k}) GROUP BY r)"""
+
+    blank = r"\x20\x09-\x0D"
+    return f"""
+        WITH words AS (SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS t,
+                                        regexp_extract_all(coalesce(text, ''), '[^{blank}]+') AS w FROM documents),{again(3)},{again(min_words)},
+        some AS (SELECT * FROM words WHERE r IN (SELECT r FROM inside{min_words})),{again(longest + 1, "some")},
+        base AS (SELECT w.*, CAST(len(w.w) AS BIGINT) AS n_words, coalesce(a.n, 0) AS n_repeat_words, coalesce(b.n, 0) AS n_covered,
+                        l.r IS NULL AS short_repeats,
+                        list_filter(string_split(t, chr(10)), lambda x: regexp_matches(x, '[^{blank}]')) AS lines
+                 FROM words w LEFT JOIN inside3 a ON a.r = w.r LEFT JOIN inside{min_words} b ON b.r = w.r LEFT JOIN inside{longest + 1} l ON l.r = w.r)
+        SELECT doc_id, n_words, CAST(length(regexp_replace(t, '[{blank}]', '', 'g')) AS BIGINT) AS word_chars,
+               CAST(length(regexp_replace(t, '[^#*$%&|<>]', '', 'g')) AS BIGINT) AS n_symbols,
+               CAST(len(lines) - len(list_distinct(lines)) AS BIGINT) AS n_dup_lines, n_repeat_words, n_covered,
+               n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed,
+               NOT (n_words < 50 OR 100 * n_repeat_words > 50 * n_words)
+               AND 100 * n_covered <= {percent} * n_words AND short_repeats AS kept
+        FROM base"""
+
+
 def _codes_sql(parts: int = 16, entries: int = 64, rounds: int = 2) -> str:
     """Every part against every entry of its codebook, round after round."""
     steps = [f"""
@@ -119,6 +154,7 @@ def _codes_sql(parts: int = 16, entries: int = 64, rounds: int = 2) -> str:
 
 
 _SQL = {
+    "op12_quality_rules": _rules_sql(),
     "op13_vector_codes": _codes_sql(),
     "op7_exact_dedup": f"""
         SELECT doc_id, max(doc_id) OVER same AS keep_id, count(*) OVER same AS group_size,
