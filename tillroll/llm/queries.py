@@ -111,7 +111,7 @@ def _rules_sql(min_words: int = repetition.MIN_WORDS, percent: int = repetition.
     return f"""
         WITH words AS (SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS t,
                                         regexp_extract_all(coalesce(text, ''), '[^{blank}]+') AS w FROM documents),{again(3)},{again(min_words)},
-        some AS (SELECT * FROM words WHERE r IN (SELECT r FROM inside{min_words})),{again(longest + 1, "some")},
+        repeating AS (SELECT * FROM words WHERE r IN (SELECT r FROM inside{min_words})),{again(longest + 1, "repeating")},
         base AS (SELECT w.*, CAST(len(w.w) AS BIGINT) AS n_words, coalesce(a.n, 0) AS n_repeat_words, coalesce(b.n, 0) AS n_covered,
                         l.r IS NULL AS short_repeats,
                         list_filter(string_split(t, chr(10)), lambda x: regexp_matches(x, '[^{blank}]')) AS lines
