@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillroll.llm import (decontaminate, exact_dedup, html_text, near_dedup, packing, quality, repetition, substring_dedup, suffix_dedup,
-                          token_files, toxicity, vector_codes)
+from tillroll.llm import (decontaminate, exact_dedup, html_text, near_dedup, packing, quality, repetition, spelling, substring_dedup,
+                          suffix_dedup, token_files, toxicity, vector_codes)
 from tillroll.llm.common import held_out, table
 
 
@@ -75,6 +75,10 @@ def op10_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_text.extract(table(spark, sf_dir, "pages"))
 
 
+def op11_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.spelling_variants(table(spark, sf_dir, "documents"))
+
+
 def op12_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repetition.quality_rules(table(spark, sf_dir, "documents")).select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept",
@@ -90,8 +94,8 @@ def op13_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {f.__name__: f for f in (op1_substring_dedup, op2_near_dedup, op3_decontaminate, op4_pack, op5_quality, op6_suffix_dedup, op7_exact_dedup, op8_toxicity,
-                                    op9_token_counts, op10_html_text, op12_quality_rules,
-                                    op13_vector_codes)}
+                                    op9_token_counts, op10_html_text, op11_spelling_variants,
+                                    op12_quality_rules, op13_vector_codes)}
 
 
 _DIGEST = "sha256(coalesce(text, ''))"
