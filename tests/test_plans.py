@@ -82,3 +82,16 @@ def test_no_cross_joins_in_checks(wh):
                quality.val_reconcile(wh.staging(), wh.raw())):
         plan = physical(df)
         assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan
+
+
+def test_registered_star_keys_scan_raw_with_their_columns_only(spark):
+    """Keys on the star read raw as Parquet, pruned, not as a checkpointed RDD of whole rows."""
+    from tillroll.plans import registry
+    df = registry.queries()["biz_total_revenue"](spark, SF_SMALL)
+    plan = physical(df)
+    scans = [ln for b in plan.split("\n\n") if "Scan parquet" in b and "/raw-" in b
+             for ln in b.splitlines() if ln.startswith("ReadSchema")]
+    assert scans and all("customer_id" not in ln and "total_price" not in ln for ln in scans), plan
+    # the only RDD left is the numbered countries
+    assert all("country" in ln for b in plan.split("\n\n") if "Scan ExistingRDD" in b
+               for ln in b.splitlines() if ln.startswith("Output")), plan

@@ -34,7 +34,7 @@ def main(argv=None) -> None:
     b.add_argument("--source", required=True, help="CSV file, folder or glob")
     b.add_argument("--warehouse", required=True)
     b.add_argument("--incremental-staging", action="store_true",
-                   help="append the batch's cleaned lines instead of rebuilding staging")
+                   help="stage the raw batches that staging lacks instead of rebuilding it")
     b.add_argument("--null-safe-sync", action="store_true",
                    help="NULL sync keys match each other (not re-inserted every run)")
     b.add_argument("--keep-null-description", action="store_true",
@@ -42,6 +42,7 @@ def main(argv=None) -> None:
     i = sub.add_parser("ingest", help="stream new source files into raw")
     i.add_argument("--source", required=True)
     i.add_argument("--warehouse", required=True)
+    i.add_argument("--stage", action="store_true", help="stage every epoch's lines as well")
     i.add_argument("--continuous", action="store_true", help="keep polling instead of availableNow")
     q = sub.add_parser("sql", help="run SQL over raw / staging / analytics tables")
     q.add_argument("--warehouse", required=True)
@@ -71,7 +72,8 @@ def main(argv=None) -> None:
         print(json.dumps(out, default=str, indent=2))
     elif a.cmd == "ingest":
         from tillroll.streaming.ingest import start_ingest
-        start_ingest(spark, a.source, a.warehouse, available_now=not a.continuous).awaitTermination()
+        start_ingest(spark, a.source, a.warehouse, available_now=not a.continuous,
+                     stage=a.stage).awaitTermination()
     else:
         from tillroll.plans.pipeline import Warehouse
         from tillroll.sources.catalog import register_layers

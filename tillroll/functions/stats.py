@@ -100,8 +100,3 @@ def ieee_div(num: Column, den: Column) -> Column:
             .when(n > 0, F.lit(float("inf")))
             .when(n < 0, F.lit(float("-inf")))
             .otherwise(F.lit(float("nan"))))
-
-
-def safe_ratio(num: Column, den: Column) -> Column:
-    """num / den as double, NaN when den is 0 (ANSI would raise)."""
-    return F.when(den != 0, num.cast("double") / den.cast("double")).otherwise(F.lit(float("nan")))

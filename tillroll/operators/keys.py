@@ -49,3 +49,21 @@ def dense_number(df: DataFrame, order_col: str, id_col: str, num_partitions: int
     return (local.join(checked_broadcast(offsets, MAX_PARTITIONS, materialize=False), "_part")
             .select((F.col("_local") + F.col("_off")).cast("long").alias(id_col),
                     *[c for c in df.columns]))
+
+
+def row_numbers(landed: DataFrame, id_col: str, first: int) -> DataFrame:
+    """``landed``, a DataFrame read straight from Parquet files, with
+    ``id_col`` = first, first + 1, ...: files in order of their names, rows in
+    the order they have in them.
+
+    The number follows from the file and the row's place in it alone, so a task
+    that runs again, or a stage after a lost executor, gives the same ones. The
+    running offsets are one row for each file, broadcast behind a size check.
+    """
+    files = (landed.select(F.col("_metadata.file_name").alias("_file"))
+             .groupBy("_file").agg(F.count(F.lit(1)).alias("_n")))
+    before = Window.orderBy("_file").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = files.select("_file", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_off"))
+    placed = landed.select("*", F.col("_metadata.file_name").alias("_file"), F.col("_metadata.row_index").alias("_row"))
+    return (placed.join(checked_broadcast(offsets, MAX_PARTITIONS), "_file")
+            .select((F.lit(first) + F.col("_off") + F.col("_row")).cast("long").alias(id_col), *landed.columns))

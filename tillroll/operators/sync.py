@@ -37,8 +37,9 @@ def _any_key_null(keys: list[str]):
 
 
 def new_rows(incoming: DataFrame, existing: DataFrame, null_safe: bool = False,
-             prune_by_month: bool = False) -> DataFrame:
-    """Incoming lines whose six-column key is absent from ``existing``.
+             prune_by_month: bool = False, carry: tuple[str, ...] = ()) -> DataFrame:
+    """Incoming lines whose six-column key is absent from ``existing``, with
+    the source columns and those of ``carry``.
 
     Plan shape for scale:
     * lines with a NULL key cannot match under SQL equality; they bypass the
@@ -52,7 +53,8 @@ def new_rows(incoming: DataFrame, existing: DataFrame, null_safe: bool = False,
       which starts a job; the warehouse uses a partition filter instead).
       The key contains invoicedate, so the result is unchanged.
     """
-    incoming = incoming.select(*RAW_COLUMNS)
+    columns = [*RAW_COLUMNS, *carry]
+    incoming = incoming.select(*columns)
     ex_keys = existing.select(*SYNC_KEYS)
     if prune_by_month:
         batch_months = incoming.select(month_number().alias("_m")).distinct()
@@ -70,9 +72,9 @@ def new_rows(incoming: DataFrame, existing: DataFrame, null_safe: bool = False,
         ex_keys = ex_keys.select(*[F.col(k).alias(f"_ex_{k}") for k in SYNC_KEYS]).hint("shuffle_merge")
         cond = reduce(lambda a, b: a & b,
                       [F.col(k).eqNullSafe(F.col(f"_ex_{k}")) for k in SYNC_KEYS])
-        return incoming.join(ex_keys, cond, "left_anti").select(*RAW_COLUMNS)
+        return incoming.join(ex_keys, cond, "left_anti").select(*columns)
 
     has_null = _any_key_null(SYNC_KEYS)
     ex_keys = ex_keys.where(~has_null).hint("shuffle_merge")
     keyed = incoming.where(~has_null).join(ex_keys, on=SYNC_KEYS, how="left_anti")
-    return keyed.select(*RAW_COLUMNS).unionByName(incoming.where(has_null))
+    return keyed.select(*columns).unionByName(incoming.where(has_null))

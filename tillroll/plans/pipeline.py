@@ -1,17 +1,26 @@
 """Batch pipeline over a warehouse folder: load -> profile -> stage ->
 validate -> star -> KPI export -> figure feeds -> statistics.
 
-Storage layout under ``root`` (Parquet):
-
-* ``raw/online_retail``        append-only, partitioned by ``invoice_month``
-  (yyyyMM of invoicedate; ``0`` for a NULL date) and then ``load_batch``
-  (one per sync), so one batch is found by path without listing the table.
-* ``staging/online_retail_clean``  rebuilt (overwrite), unpartitioned.
-* ``analytics/v=<N>/<table>``  star schema builds; the fact is partitioned by
-  ``date_month`` and sorted by (date_key, invoice_ts) inside partitions.
-  With the star comes ``agg_daily_country`` (day x country rollup). A
-  build becomes visible only when ``analytics/_commits/v=<N>`` is written
-  after all its tables, so readers never see half a model.
+Storage layout under ``root`` (Parquet). Every layer has a log of commits
+(``sources/storage.py``), and readers see what its entries name, nothing else:
+
+* ``raw/online_retail``: append-only. A batch is written to
+  ``load_batch=<id>/attempt=<n>``, by invoice month (yyyyMM of invoicedate;
+  ``0`` for a NULL date), and is there once its entry is: whole or not at all,
+  and once for each batch id. The entry has the folder, rows, months, schema
+  and line ids of the batch. Two runs at a time can't both append to what they
+  read: the second one compares its lines with the first one's batch anew.
+* ``staging/online_retail_clean``: the rule on raw, kept in generations. Each
+  step of a generation stages some raw batches; its entry is the ledger of
+  staged batches. What is missing is always the set difference of raw's log
+  and the ledger, whichever way batches came and wherever a run died. A change
+  of rule starts a new generation, and the old one is read until it is whole.
+* ``analytics``: star schema builds, each in a folder of its own; the fact is
+  partitioned by ``date_month`` and sorted by (date_key, invoice_ts) inside
+  partitions. With the star comes ``agg_daily_country`` (day x country rollup).
+  A build's entry comes after all its tables, so readers never see half a model.
+* ``outputs/figures``: the five feeds of one version and the change gate's
+  state, switched by one entry.
 
 Row counts come from ``Observation`` metrics on the write itself, never
 from a second pass over the data.
@@ -20,44 +29,30 @@ from a second pass over the data.
 from __future__ import annotations
 
 import datetime as _dt
+import re
 import uuid
 from dataclasses import dataclass
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from tillroll.functions.dates import date_key_month
 from tillroll.operators import marts, quality, stats, sync
-from tillroll.operators.staging import staging_clean
+from tillroll.operators.keys import row_numbers
+from tillroll.operators.staging import rule_name, staging_clean
 from tillroll.operators.star import (Star, dim_country, dim_customer, dim_date, dim_product,
                                      fact_sales)
-from tillroll.schemas import RAW_COLUMNS, STAGING_COLUMNS
+from tillroll.schemas import (CSV_SCHEMA, FACT_TABLE_SCHEMA, RAW_COLUMNS, RAW_TABLE_SCHEMA, STAGING_COLUMNS,
+                              STAGING_TABLE_SCHEMA)
 from tillroll.session import scratch_root
-from tillroll.sources import publish, state
+from tillroll.sources import publish, state, storage
+from tillroll.sources.storage import CommitConflict, CommitLog
 
 RAW_TABLE = "raw/online_retail"
 STAGING_TABLE = "staging/online_retail_clean"
-
-
-def _exists(spark: SparkSession, path: str) -> bool:
-    """A committed table at ``path``: checked through the ``_SUCCESS`` marker
-    Spark's commit writes at the output root, so a large table's files are
-    not listed just to learn that it exists."""
-    try:
-        spark.read.text(f"{path.rstrip('/')}/_SUCCESS").limit(0).collect()
-        return True
-    except AnalysisException:
-        return False
-
-
-def _has_parquet(spark: SparkSession, path: str) -> bool:
-    """Any Parquet data under ``path`` (for small folders of several outputs)."""
-    try:
-        spark.read.parquet(path).limit(0).collect()
-        return True
-    except AnalysisException:
-        return False
+STAR_TABLES = "analytics"
+# a sync that finds another batch committed meanwhile starts over so often
+SYNC_TRIES = 5
 
 
 @dataclass
@@ -69,124 +64,207 @@ class Warehouse:
     def path(self, rel: str) -> str:
         return f"{self.root.rstrip('/')}/{rel}"
 
+    def log(self, rel: str) -> CommitLog:
+        return CommitLog(self.spark, self.path(rel))
+
     # ------------------------------------------------------------ raw
 
+    def raw_commits(self) -> list[dict]:
+        """Entries of the committed batches, oldest first."""
+        return self.log(RAW_TABLE).entries()
+
     def raw(self) -> DataFrame:
-        return self.spark.read.parquet(self.path(RAW_TABLE))
+        return self._raw_of(self.raw_commits())
+
+    def _raw_of(self, commits: list[dict], months: list[int] | None = None) -> DataFrame:
+        """The lines of some batches, and of some months only."""
+        folders = [c["folder"] for c in commits
+                   if c["rows"] and (months is None or not set(months).isdisjoint(c["months"]))]
+        df = storage.read_folders(self.spark, self.path(RAW_TABLE), folders, RAW_TABLE_SCHEMA)
+        return df if months is None else df.where(F.col("invoice_month").isin(months))
 
     def sync_raw(self, incoming: DataFrame, null_safe: bool = False,
                  batch_id: str | None = None) -> int:
         """Append the unseen lines of ``incoming``; returns the count,
-        measured on the write (the plan runs once). With ``batch_id`` the
-        call is idempotent: a batch already present in raw is skipped (a
-        replayed stream epoch does not append its NULL-key lines twice)."""
-        raw_path = self.path(RAW_TABLE)
-        incoming = incoming.select(*RAW_COLUMNS)
-        exists = _exists(self.spark, raw_path)
-        if exists and batch_id is not None and self._batch_files(batch_id) is not None:
-            return 0
-        if exists:
-            # The batch is read three times below (month list, keyed lines,
-            # NULL-key lines): land it once as Parquet in the shared scratch
-            # folder, so the source (CSV) is parsed once and the later reads
-            # are columnar scans.
-            incoming = self._land(incoming)
-            # Only raw months present in the batch can hold a matching key
-            # (the key contains invoicedate; a NULL date is month 0). The
-            # month list is bounded by the calendar, so it is taken to the
-            # driver as a partition filter whatever its length.
-            months = [r[0] for r in incoming.select(sync.month_number().alias("m")).distinct().collect()]
-            existing = self.raw().where(F.col("invoice_month").isin(months))
-            new = sync.new_rows(incoming, existing, null_safe=null_safe)
-        else:
-            new = incoming
-        obs = Observation("sync_raw")
+        measured on the write (the plan runs once).
+
+        The batch is there from the moment its log entry is. With ``batch_id``
+        the call may be repeated: a batch in the log is skipped (a replayed
+        stream epoch does not append its NULL-key lines twice), one that died
+        on the way is written anew, and its leavings are removed."""
         batch = batch_id or (_dt.datetime.now(_dt.timezone.utc).strftime("%Y%m%dT%H%M%S")
                              + "-" + uuid.uuid4().hex[:8])
+        if not re.fullmatch(r"[A-Za-z0-9][A-Za-z0-9_.-]*", batch):
+            raise ValueError(f"a batch id is made of letters, digits, '_', '.' and '-': {batch!r}")
+        self.last_batch_id = batch
+        if any(c["batch"] == batch for c in self.raw_commits()):
+            return 0
+        # The batch is read several times below (months, file offsets, keyed
+        # lines, NULL-key lines): land it once as Parquet in the shared scratch
+        # folder, so the source (CSV) is parsed once and the later reads are
+        # columnar scans. Line ids are places in the landed files.
+        landing = f"{scratch_root(self.spark)}/landing/{uuid.uuid4().hex}"
+        try:
+            incoming.select(*RAW_COLUMNS).write.parquet(landing)
+            for _ in range(SYNC_TRIES):
+                commits = self.raw_commits()
+                if any(c["batch"] == batch for c in commits):
+                    return 0
+                entry = self._write_batch(landing, batch, commits, null_safe)
+                try:
+                    self.log(RAW_TABLE).commit(entry, after=commits[-1]["version"] if commits else 0)
+                except CommitConflict:
+                    storage.remove(self.spark, self.path(f"{RAW_TABLE}/{entry['folder']}"))
+                    continue
+                self._remove_attempts(batch, entry["folder"])
+                return entry["rows"]
+            raise CommitConflict(f"{batch}: raw changed {SYNC_TRIES} times while the batch was compared with it")
+        finally:
+            storage.remove(self.spark, landing)
+
+    def _write_batch(self, landing: str, batch: str, commits: list[dict], null_safe: bool) -> dict:
+        """Write the landed lines that none of ``commits`` has, to a new folder; the batch's log entry."""
+        landed = self.spark.read.schema(CSV_SCHEMA).parquet(landing)
+        # Only raw months present in the batch can hold a matching key (the key
+        # contains invoicedate; a NULL date is month 0). The month list is
+        # bounded by the calendar, so it comes to the driver, where it chooses
+        # the batches to read, and goes into the scan as a partition filter.
+        found = landed.groupBy(sync.month_number().alias("m")).count().collect()
+        months = sorted(r["m"] for r in found)
+        first = commits[-1]["next_id"] if commits else 1
+        numbered = row_numbers(landed, "id", first)
+        existing = self._raw_of(commits, months)
+        new = sync.new_rows(numbered, existing, null_safe=null_safe, carry=("id",)) if commits else numbered
+        folder = f"load_batch={batch}/attempt={uuid.uuid4().hex[:12]}"
+        rows = self._append(new, f"{RAW_TABLE}/{folder}") if found else 0
+        return {"batch": batch, "folder": folder, "rows": rows, "months": months,
+                "first_id": first, "next_id": first + sum(r["count"] for r in found),
+                "schema": RAW_TABLE_SCHEMA.simpleString(),
+                "committed_at": _dt.datetime.now(_dt.timezone.utc).isoformat()}
+
+    def _append(self, new: DataFrame, rel: str) -> int:
+        """Write numbered lines to a new raw folder; how many there were."""
+        obs = Observation("sync_raw")
         # range-clustered on (month, time) before the partitioned write: each
         # task writes a contiguous time slice (few, large, time-sorted files
         # per month folder, good min/max skipping), and a hot month is split
-        # over several writers
+        # over several writers; the line id as last range key spreads lines
+        # that share one timestamp (or are exact copies) over tasks, and is the
+        # same whenever a stage has to run again
         # (the row count is observed above the range exchange: its sampling
         # pass runs the plan below it and must not be counted)
-        out = (new.select(F.monotonically_increasing_id().alias("id"), *RAW_COLUMNS,
-                          F.lit(batch).alias("load_batch"), sync.month_number().alias("invoice_month"))
-               # the unique id as last range key: lines sharing one timestamp
-               # (or exact copies of one line) are still spread over tasks
+        out = (new.select("id", *RAW_COLUMNS, sync.month_number().alias("invoice_month"))
                .repartitionByRange("invoice_month", "invoicedate", "id")
                .sortWithinPartitions("invoice_month", "invoicedate")
                .observe(obs, F.count(F.lit(1)).alias("rows")))
-        out.write.mode("append").partitionBy("invoice_month", "load_batch").parquet(raw_path)
-        self.last_batch_id = batch
+        out.write.partitionBy("invoice_month").parquet(self.path(rel))
         return int(obs.get.get("rows", 0))
 
-    def _batch_files(self, batch_id: str) -> DataFrame | None:
-        """The raw lines of one load batch, found by path (one folder per
-        month the batch touched), or None when the batch is not in raw."""
-        raw_path = self.path(RAW_TABLE)
-        try:
-            df = (self.spark.read.option("basePath", raw_path)
-                  .parquet(f"{raw_path}/invoice_month=*/load_batch={batch_id}"))
-            df.limit(0).collect()
-            return df
-        except AnalysisException:
-            return None
-
-    def _land(self, incoming: DataFrame) -> DataFrame:
-        path = f"{scratch_root(self.spark)}/landing/{uuid.uuid4().hex}"
-        incoming.write.mode("overwrite").parquet(path)
-        return self.spark.read.parquet(path).select(*RAW_COLUMNS)
+    def _remove_attempts(self, batch: str, committed: str) -> None:
+        """Folders that earlier, broken attempts at a committed batch left."""
+        base = self.path(f"{RAW_TABLE}/load_batch={batch}")
+        for name in storage.names(self.spark, base):
+            if f"load_batch={batch}/{name}" != committed:
+                storage.remove(self.spark, f"{base}/{name}")
 
     # ------------------------------------------------------------ staging
 
+    def staged(self) -> list[dict]:
+        """The ledger: entries of the current generation, oldest first."""
+        entries = self.log(STAGING_TABLE).entries()
+        return [e for e in entries if e["generation"] == entries[-1]["generation"]]
+
     def staging(self) -> DataFrame:
-        return self.spark.read.parquet(self.path(STAGING_TABLE)).select(*STAGING_COLUMNS)
+        folders = [e["folder"] for e in self.staged() if e["rows"]]
+        return storage.read_folders(self.spark, self.path(STAGING_TABLE), folders,
+                                    STAGING_TABLE_SCHEMA).select(*STAGING_COLUMNS)
 
-    def stage_batch(self, batch_id: str, keep_null_description: bool = False) -> int:
-        """Append the cleaned lines of one raw batch to staging.
+    def stage_missing(self, keep_null_description: bool = False) -> int:
+        """Stage the raw batches that staging doesn't have; returns the lines added.
 
         The staging rules are row-local (filters + projection), so
         staging(raw + batch) = staging(raw) + staging(batch): appending the
-        batch gives exactly what a full rebuild gives, reading only the
-        batch's folders."""
-        obs = Observation("stage_batch")
-        batch = self._batch_files(batch_id)
-        if batch is None:
+        missing batches gives exactly what a full rebuild gives, reading only
+        their folders. Staging made by another rule is rebuilt."""
+        ledger = self.staged()
+        if not ledger or ledger[-1]["rule"] != rule_name(keep_null_description):
+            return self.rebuild_staging(keep_null_description)
+        done = {b for e in ledger for b in e["batches"]}
+        missing = [c for c in self.raw_commits() if c["batch"] not in done]
+        return self._stage(missing, ledger[-1]["generation"], keep_null_description,
+                           after=ledger[-1]["version"]) if missing else 0
+
+    def stage_batch(self, batch_id: str, keep_null_description: bool = False) -> int:
+        """Stage one raw batch; 0 if it isn't in raw, or staged already."""
+        ledger = self.staged()
+        if not ledger or ledger[-1]["rule"] != rule_name(keep_null_description):
+            return self.stage_missing(keep_null_description)
+        if any(batch_id in e["batches"] for e in ledger):
             return 0
-        (staging_clean(batch, keep_null_description=keep_null_description)
-         .observe(obs, F.count(F.lit(1)).alias("rows"))
-         .write.mode("append").parquet(self.path(STAGING_TABLE)))
-        return int(obs.get.get("rows", 0))
+        batch = [c for c in self.raw_commits() if c["batch"] == batch_id]
+        return self._stage(batch, ledger[-1]["generation"], keep_null_description,
+                           after=ledger[-1]["version"]) if batch else 0
 
     def rebuild_staging(self, keep_null_description: bool = False) -> int:
-        obs = Observation("staging")
-        df = staging_clean(self.raw(), keep_null_description=keep_null_description)
-        # staging is always read whole (star build), so it is written as is:
-        # narrow filter/project over raw's time-clustered files, no shuffle
-        (df.observe(obs, F.count(F.lit(1)).alias("rows"))
-         .write.mode("overwrite").parquet(self.path(STAGING_TABLE)))
-        return int(obs.get.get("rows", 0))
+        """A new generation from all of raw; the one before stays readable
+        until this one's entry is there (and for readers that began with it),
+        those before that are removed."""
+        entries = self.log(STAGING_TABLE).entries()
+        generation = uuid.uuid4().hex[:12]
+        rows = self._stage(self.raw_commits(), generation, keep_null_description,
+                           after=entries[-1]["version"] if entries else 0)
+        kept = {generation, *([entries[-1]["generation"]] if entries else [])}
+        for old in sorted({e["generation"] for e in entries} - kept):
+            storage.remove(self.spark, self.path(f"{STAGING_TABLE}/generation={old}"))
+        return rows
+
+    def _stage(self, commits: list[dict], generation: str, keep_null_description: bool, after: int) -> int:
+        """Write the staged lines of some batches as one step and enter it in the ledger."""
+        folder = f"generation={generation}/step={uuid.uuid4().hex[:12]}"
+        rows = 0
+        if any(c["rows"] for c in commits):
+            obs = Observation("staging")
+            # narrow filter/project over raw's time-clustered files, no shuffle
+            (staging_clean(self._raw_of(commits), keep_null_description=keep_null_description, carry=("load_batch",))
+             .observe(obs, F.count(F.lit(1)).alias("rows"))
+             .write.partitionBy("load_batch").parquet(self.path(f"{STAGING_TABLE}/{folder}")))
+            rows = int(obs.get.get("rows", 0))
+        entry = {"generation": generation, "folder": folder, "rule": rule_name(keep_null_description),
+                 "batches": [c["batch"] for c in commits], "rows": rows}
+        try:
+            self.log(STAGING_TABLE).commit(entry, after=after)
+        except CommitConflict:
+            storage.remove(self.spark, self.path(f"{STAGING_TABLE}/{folder}"))
+            raise
+        return rows
 
     # ------------------------------------------------------------ star
 
-    def _committed_versions(self) -> DataFrame | None:
-        p = self.path("analytics/_commits")
-        if not _has_parquet(self.spark, p):
-            return None
-        return self.spark.read.parquet(p)
-
     def latest_version(self) -> int:
-        c = self._committed_versions()
-        if c is None:
-            return 0
-        return int(c.agg(F.max("v")).first()[0] or 0)
+        return self.log(STAR_TABLES).version()
+
+    def star_folder(self, version: int | None = None) -> str:
+        """Folder of a committed build (the latest one by default)."""
+        for e in reversed(self.log(STAR_TABLES).entries()):
+            if version in (None, e["version"]):
+                return self.path(f"{STAR_TABLES}/{e['folder']}")
+        raise FileNotFoundError("no committed star schema build" + (f" {version}" if version else ""))
 
     def build_star(self) -> int:
         """Build a new star version from staging: dimensions first, then the
         fact against the *written* country dimension (cheap size check
-        before the broadcast). Returns the committed version."""
-        v = self.latest_version() + 1
-        base = self.path(f"analytics/v={v}")
+        before the broadcast). Returns the committed version; of two builds
+        that run at once the second one fails with ``CommitConflict``."""
+        after = self.latest_version()
+        folder = f"build={uuid.uuid4().hex[:12]}"
+        try:
+            self._write_star(self.path(f"{STAR_TABLES}/{folder}"))
+            return self.log(STAR_TABLES).commit({"folder": folder}, after=after)
+        except CommitConflict:
+            storage.remove(self.spark, self.path(f"{STAR_TABLES}/{folder}"))
+            raise
+
+    def _write_star(self, base: str) -> None:
         stg = self.staging()
         dim_date(stg).write.mode("overwrite").parquet(f"{base}/dim_date")
         dim_country(stg).write.mode("overwrite").parquet(f"{base}/dim_country")
@@ -204,35 +282,34 @@ class Warehouse:
          .write.mode("overwrite").partitionBy("date_month").parquet(f"{base}/fact_sales"))
         # the day x country rollup: one more scan of the written fact, after
         # which the revenue marts and the KPI export never touch the fact
-        (marts.daily_country_rollup(self.spark.read.parquet(f"{base}/fact_sales"))
+        (marts.daily_country_rollup(self.spark.read.schema(FACT_TABLE_SCHEMA).parquet(f"{base}/fact_sales"))
          .write.mode("overwrite").parquet(f"{base}/agg_daily_country"))
-        (self.spark.range(1).select(F.lit(v).alias("v"),
-                                    F.current_timestamp().alias("committed_at"))
-         .write.mode("overwrite").parquet(self.path(f"analytics/_commits/v={v}")))
-        return v
 
     def star(self, version: int | None = None) -> Star:
-        v = version or self.latest_version()
-        if v <= 0:
-            raise FileNotFoundError("no committed star schema build")
-        base = self.path(f"analytics/v={v}")
+        base = self.star_folder(version)
         r = self.spark.read.parquet
-        return Star(fact=r(f"{base}/fact_sales"), dim_date=r(f"{base}/dim_date"),
+        fact = self.spark.read.schema(FACT_TABLE_SCHEMA).parquet(f"{base}/fact_sales")
+        return Star(fact=fact, dim_date=r(f"{base}/dim_date"),
                     dim_country=r(f"{base}/dim_country"), dim_product=r(f"{base}/dim_product"),
                     dim_customer=r(f"{base}/dim_customer"), daily=r(f"{base}/agg_daily_country"))
 
 
 def run_visuals(wh: Warehouse, star: Star, out_root: str) -> dict:
-    """Change gate: publish the figure feeds only when the signature moved."""
+    """Change gate: publish the figure feeds only when the signature moved.
+
+    Feeds and state are switched together by one entry, whose number is the
+    version. Of two runs that decide on the same state one publishes; the
+    other finds the version taken and refuses (``published`` false,
+    ``conflict`` true), leaving nothing behind."""
     spark = wh.spark
-    state_path = f"{out_root}/_visuals_state"
     sig = marts.data_signature(star.revenue_source(), star.dim_date)
-    # the one-row gate is taken to the driver before the state path is rewritten
-    gate = state.change_gate(sig, state.read_state(spark, state_path)).first().asDict()
+    gate = state.change_gate(sig, publish.published_state(spark, out_root)).first().asDict()
     if not gate["changed"]:
         return {**gate, "published": False}
-    publish.publish_figure_feeds(spark, star, out_root, version=int(gate["next_version"]))
-    state.write_state(spark.createDataFrame([gate]), state_path)
+    try:
+        publish.publish_figure_feeds(spark, star, out_root, version=int(gate["next_version"]), signature=gate)
+    except CommitConflict:
+        return {**gate, "published": False, "conflict": True}
     return {**gate, "published": True}
 
 
@@ -241,19 +318,18 @@ def run_batch(spark: SparkSession, incoming: DataFrame, root: str,
               keep_null_description: bool = False) -> dict:
     """The whole daily run. Returns the one-row checks as plain values.
 
-    ``incremental_staging`` appends the cleaned new lines to staging instead
-    of rebuilding it from all of raw (same result, see ``stage_batch``); a
-    full rebuild is still needed after a change of the cleaning rules.
+    ``incremental_staging`` stages the raw batches that staging doesn't have,
+    however they came, instead of rebuilding it from all of raw (same result,
+    see ``stage_missing``); after a change of rule it rebuilds by itself.
     ``null_safe_sync`` compares sync keys with null-safe equality (NULL-key
     lines are then not re-inserted on every run); ``keep_null_description``
     keeps lines without a description in staging (the validation's rule)."""
     wh = Warehouse(spark, root)
-    had_staging = _exists(spark, wh.path(STAGING_TABLE))
     out = {"new_raw_rows": wh.sync_raw(incoming, null_safe=null_safe_sync)}
     out["profile"] = quality.profile_raw(wh.raw()).first().asDict()
-    if incremental_staging and had_staging:
-        wh.stage_batch(wh.last_batch_id, keep_null_description=keep_null_description)
-        out["staging_rows"] = wh.staging().count()
+    if incremental_staging:
+        wh.stage_missing(keep_null_description=keep_null_description)
+        out["staging_rows"] = sum(e["rows"] for e in wh.staged())
     else:
         out["staging_rows"] = wh.rebuild_staging(keep_null_description=keep_null_description)
     out["validation"] = quality.validate_staging(wh.staging()).first().asDict()

@@ -1,7 +1,7 @@
 """Declared schemas of every layer. Nothing is inferred."""
 
 from pyspark.sql.types import (
-    BooleanType, DateType, DecimalType, IntegerType, LongType, StringType,
+    DateType, DecimalType, IntegerType, LongType, StringType,
     StructField, StructType, TimestampNTZType,
 )
 
@@ -60,8 +60,26 @@ DIM_CUSTOMER_SCHEMA = StructType([
     StructField("last_seen_date", DateType(), True),
 ])
 
-FACT_COLUMNS = ["fact_id", "invoice", "stockcode", "customer_id", "country_id",
-                "date_key", "quantity", "price", "total_price", "invoice_ts"]
+FACT_TABLE_SCHEMA = StructType([
+    StructField("fact_id", LongType(), False),
+    StructField("invoice", StringType(), False),
+    StructField("stockcode", StringType(), False),
+    StructField("customer_id", IntegerType(), True),
+    StructField("country_id", LongType(), False),
+    StructField("date_key", IntegerType(), False),
+    StructField("quantity", IntegerType(), False),
+    StructField("price", PRICE, False),
+    StructField("total_price", TOTAL, True),
+    StructField("invoice_ts", TS, False),
+    StructField("date_month", IntegerType(), False),
+])
+
+# Raw and staging as the warehouse stores them: with the line's id, its month
+# (yyyyMM, 0 without a date) and the batch it came in.
+RAW_TABLE_SCHEMA = StructType([StructField("id", LongType(), False), *CSV_SCHEMA.fields,
+                               StructField("load_batch", StringType(), False),
+                               StructField("invoice_month", IntegerType(), False)])
+STAGING_TABLE_SCHEMA = StructType([*STAGING_SCHEMA.fields, StructField("load_batch", StringType(), False)])
 
 # Change-gate state: {data_signature: {max_date, n_rows}, version, last_run_utc}
 STATE_SCHEMA = StructType([
@@ -73,5 +91,3 @@ STATE_SCHEMA = StructType([
     StructField("version", LongType(), True),
     StructField("last_run_utc", StringType(), True),
 ])
-
-FLAG = BooleanType()
