@@ -182,3 +182,48 @@ def test_empty_tables_and_long_text(spark, operator):
     assert operator(frame(spark, [])).count() == 0
     long = " ".join(f"w{i % 5000}" for i in range(60_000))
     assert operator(frame(spark, [(1, long), (2, None), (3, "")], 1)).count() == 3
+
+
+def thue_morse(n, zero, one):
+    """zero and one in the order that makes sums with powers of any odd number vanish modulo 2^64."""
+    return [one if bin(k).count("1") % 2 else zero for k in range(n)]
+
+
+def structured_pairs():
+    """Unequal texts that polynomials modulo 2^64 can't tell apart: bytes, one long word, and words."""
+    rng = random.Random(12)
+    mine, other = [], []
+    for t in thue_morse(1024, 0, 1):
+        a, b = rng.sample("abcdefghijklmnopqrstuvwxyz", 2)
+        mine.append(a if t else chr(ord(a) + (1 if a != "z" else -1)))
+        other.append(chr(ord(a) + (1 if a != "z" else -1)) if t else a)
+    ab, ba = thue_morse(2048, "a", "b"), thue_morse(2048, "b", "a")
+    head = " ".join(f"w{k}" for k in range(19))
+    return [(1, "".join(thue_morse(1024, "a", "b"))), (2, "".join(thue_morse(1024, "b", "a"))),
+            (3, f"{head} {''.join(ab[:1024])}"), (4, f"{head} {''.join(ba[:1024])}"),
+            (5, " ".join(ab)), (6, " ".join(ba)), (7, "".join(mine)), (8, "".join(other)),
+            (9, " ".join(x + "x" for x in ab[:1024])), (10, " ".join(x + "x" for x in ba[:1024]))]
+
+
+def test_structured_texts(spark):
+    rows = structured_pairs()
+    assert got(substring_dedup.substring_dedup(frame(spark, rows)).select(
+        "doc_id", "n_words", substring_dedup.removed_words().alias("r"), F.sha2("kept", 256).alias("s")),
+        "doc_id", "n_words", "r", "s") == brute.substring(rows)
+    assert got(suffix_dedup.suffix_dedup(frame(spark, rows)).select(
+        "doc_id", "n_bytes", substring_dedup.removed_words().alias("r"), F.floor(F.size("spans") / 2).alias("n"), F.sha2("kept", 256).alias("s")),
+        "doc_id", "n_bytes", "r", "n", "s") == brute.suffix(rows)
+    assert got(near_dedup.near_dedup(frame(spark, rows)), "doc_id", "n_shingles", "component_id", "kept") == brute.near(rows)
+
+
+def test_window_prints_tell_windows_apart():
+    values = np.array([b for t in structured_pairs() for b in t[1].encode()], np.uint64)
+    for width in (1, 2, 3, 20, 100, 127):
+        prints = substring_dedup.window_prints(values, width, np.uint64(7))
+        windows = {}
+        for k, p in enumerate(prints.tolist()):
+            windows.setdefault(p, set()).add(values[k:k + width].tobytes())
+        assert len(prints) == len(values) - width + 1
+        assert all(len(w) == 1 for w in windows.values())
+        assert len(windows) == len({values[k:k + width].tobytes() for k in range(len(prints))})
+    assert len(substring_dedup.window_prints(values[:5], 20, np.uint64(1))) == 0

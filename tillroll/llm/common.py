@@ -3,7 +3,8 @@
 from __future__ import annotations
 
 import uuid
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterable, Iterator
+from hashlib import blake2b
 
 import numpy as np
 import pyarrow as pa
@@ -56,11 +57,6 @@ def utf8(column: pa.Array) -> list[bytes]:
     return [x or b"" for x in column.to_pylist()]
 
 
-def binary_rows(parts: list[np.ndarray]) -> pa.Array:
-    """One binary value for each array."""
-    return pa.array([p.tobytes() for p in parts], pa.binary())
-
-
 def mix64(x: np.ndarray) -> np.ndarray:
     """A 64-bit mixer (splitmix64's finaliser) over a uint64 array."""
     x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
@@ -68,6 +64,49 @@ def mix64(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
+def digests(parts: Iterable[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    """128 bits of BLAKE2b for each byte string, as two uint64 arrays."""
+    both = np.frombuffer(b"".join([blake2b(p, digest_size=16).digest() for p in parts]), np.uint64).reshape(-1, 2)
+    return both[:, 0].copy(), both[:, 1].copy()
+
+
+def word_names(text: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """64 bits of BLAKE2b for each word text[start:end]; words don't overlap. Each distinct one is hashed once."""
+    edge = np.zeros(len(text) + 1, np.int8)
+    np.add.at(edge, starts, 1)
+    np.add.at(edge, ends, -1)
+    inside = np.cumsum(edge[:-1], dtype=np.int8).astype(bool)
+    offsets = np.concatenate([[0], np.cumsum(ends - starts)]).astype(np.int64)
+    words = pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(starts), [None, pa.py_buffer(offsets), pa.py_buffer(text[inside].tobytes())])
+    found = words.dictionary_encode()
+    names = b"".join([blake2b(w, digest_size=8).digest() for w in found.dictionary.to_pylist()])
+    return np.frombuffer(names, np.uint64)[found.indices.to_numpy()] if len(starts) else np.zeros(0, np.uint64)
+
+
+def window_prints(values: np.ndarray, width: int, key: np.uint64) -> np.ndarray:
+    """Fingerprints of every ``width`` neighbouring values, by pairing neighbours: of 1, 2, 4, ... values, mixed at
+    every step, so they have no structure that a sequence could follow."""
+    odd, turn = np.uint64(0x9E3779B97F4A7C15), np.uint64(29)
+    table, size = mix64(values ^ key), 1
+    out, have = None, 0
+    while True:
+        if width & size:
+            own = table[have:]
+            if out is None:
+                out = own
+            else:
+                n = min(len(out), len(own))
+                out = mix64(out[:n] * odd + (own[:n] ^ (own[:n] >> turn)) + np.uint64(width))
+            have += size
+        if 2 * size > width or len(table) <= size:
+            break
+        left, right = table[:-size], table[size:]
+        table = mix64(left * odd + (right ^ (right >> turn)) + np.uint64(size))
+        size *= 2
+    n = max(0, len(values) - width + 1)
+    return out[:n] if out is not None and have == width else np.zeros(0, np.uint64)
+
+
 def held_out(doc_id: str) -> F.Column:
     """Rows that no label may be learned from: crc32 of the id as text, mod 5, is 0."""
     return F.coalesce(F.crc32(F.col(doc_id).cast("string").cast("binary")) % 5 == 0, F.lit(False))

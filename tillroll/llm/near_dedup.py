@@ -30,9 +30,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tillroll.llm.blocks import NULL_ID, ROW_BITS, arrays, ask, build_blocks, buckets_of, over_blocks, with_answers
-from tillroll.llm.common import land, mix64
+from tillroll.llm.common import land, mix64, word_names
 from tillroll.llm.components import components
-from tillroll.llm.substring_dedup import BYTE, CHECK, U, WORD, span_prints, words_of
+from tillroll.llm.substring_dedup import CHECK, U, WORD, span_prints, words_of
 
 SHINGLE, PERCENT = 5, 75
 #: 40 bands of 4 registers: at similarity 0.75 a pair meets in none with probability (1 - 0.75^4)^40 = 2.5e-7.
@@ -55,7 +55,7 @@ def shingle_sets(text: bytes, sizes: np.ndarray, shingle: int, wanted: np.ndarra
                  ) -> tuple[np.ndarray, np.ndarray]:
     """Distinct shingle fingerprints of the texts that lie end to end, sorted by document, and where each begins."""
     starts, ends, doc = words_of(text, sizes)
-    word = mix64(span_prints(np.frombuffer(text, np.uint8).astype(U) + U(1), BYTE, starts, ends))
+    word = word_names(np.frombuffer(text, np.uint8), starts, ends)
     edge = np.searchsorted(doc, np.arange(len(sizes) + 1))
     n = np.diff(edge)
     length = np.minimum(n, shingle)

@@ -9,9 +9,10 @@ occurs. For a window of words the part of its parse that depends on the
 window alone is known exactly, and the longest symbol in it is its anchor.
 
 Only windows whose anchor occurs more than once in the corpus can repeat.
-Those windows, fingerprinted with 96 bits, are brought together; all but the
-earliest are removed. Whole documents that are equal are settled first, by
-the fingerprint of the whole sequence.
+Those windows, fingerprinted with 96 bits over the words' names, are brought
+together; all but the earliest are removed. Whole documents that are equal are
+settled first, by a 128-bit digest of the sequence of names. A word's name is
+64 bits of BLAKE2b.
 """
 
 from __future__ import annotations
@@ -22,7 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tillroll.llm.blocks import NULL_ID, arrays, ask, build_blocks, buckets_of, over_blocks, split_by_bucket, with_answers
-from tillroll.llm.common import mix64, worker_state
+from tillroll.llm.common import digests, mix64, window_prints, word_names, worker_state
 
 WINDOW, ROUNDS = 20, 2
 
@@ -44,7 +45,12 @@ def _powers(base: np.uint64, n: int) -> tuple[np.ndarray, np.ndarray]:
 
 
 def span_prints(values: np.ndarray, base: np.uint64, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    """Fingerprints of values[starts:ends], equal for equal spans wherever they lie."""
+    """Fingerprints of values[starts:ends], equal for equal spans wherever they lie.
+
+    A polynomial modulo 2^64, so unequal long spans of a certain make have
+    equal ones too: only for choosing candidates, or for a few values that are
+    hashes themselves.
+    """
     power, inverse = _powers(base, len(values) + 1)
     total = np.concatenate([np.zeros(1, U), np.cumsum(values * power[:len(values)])])
     return mix64((total[ends] - total[starts]) * inverse[starts] + (ends - starts).astype(U))
@@ -73,7 +79,7 @@ class Parse:
     def __init__(self, text: bytes, sizes: np.ndarray, window: int, rounds: int):
         self.window = window
         self.starts, self.ends, self.doc = words_of(text, sizes)
-        self.word = span_prints(np.frombuffer(text, np.uint8).astype(U) + U(1), BYTE, self.starts, self.ends)
+        self.word = word_names(np.frombuffer(text, np.uint8), self.starts, self.ends)
         n = len(self.word)
         at = np.arange(max(0, n - window + 1))
         self.at = at[self.doc[at] == self.doc[at + window - 1]]
@@ -143,7 +149,7 @@ class Parse:
     def documents(self, n_docs: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """First word, and two fingerprints, of each document."""
         edge = np.searchsorted(self.doc, np.arange(n_docs + 1))
-        return edge, *(span_prints(mix64(self.word ^ b), b, edge[:-1], edge[1:]) for b in (WORD, CHECK))
+        return edge, *digests(self.word[a:b].tobytes() for a, b in zip(edge[:-1].tolist(), edge[1:].tolist()))
 
 
 def _ask_anchors(window: int, rounds: int, buckets: int):
@@ -212,8 +218,8 @@ def _ask_windows(window: int, rounds: int, buckets: int):
         if len(found):
             asked |= shared[np.minimum(np.searchsorted(found, parse.anchor), len(found) - 1)]
         at = parse.at[asked & ~copies[parse.doc[parse.at]]]
-        one = span_prints(mix64(parse.word ^ WORD), WORD, at, at + window)
-        two = span_prints(mix64(parse.word ^ CHECK), CHECK, at, at + window) & U(0xFFFFFFFF)
+        one = window_prints(parse.word, window, WORD)[at]
+        two = window_prints(parse.word, window, CHECK)[at] & U(0xFFFFFFFF)
         # the block's own later ones are settled here; each window goes out once
         again = later_ones(one, two, np.zeros(len(at), np.int64), np.zeros(len(at), np.int64), at)
         rows = [(-1 - block["block"], block["block"], b"", b"", b"", at[again].astype(np.uint32).tobytes(),

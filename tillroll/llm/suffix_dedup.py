@@ -12,9 +12,9 @@ to depth ``length`` is built by prefix doubling; starts with one rank stand
 side by side in suffix order, and the one before in (document, position) is
 the previous smaller position that would give the LPF; no LPF value is formed.
 Minimizers met in more than ``hot_blocks`` blocks are split further: their
-windows are dealt one by one by fingerprint, each once a block. These, equal
-stretches and equal documents are settled by fingerprint (96 or 128 bits), not
-by the suffix array.
+windows are dealt one by one by fingerprint, each once a block. These (96 bits
+of a mixed pairwise hash), equal stretches and equal documents (96 and 128 bits
+of BLAKE2b) are settled by fingerprint, not by the suffix array.
 """
 
 from __future__ import annotations
@@ -25,6 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tillroll.llm.blocks import NULL_ID, arrays, ask, build_blocks, buckets_of, over_blocks, split_by_bucket, with_answers
+from tillroll.llm.common import digests, window_prints
 from tillroll.llm.substring_dedup import BYTE, CHECK, U, WORD, later_ones, span_prints
 
 LENGTH, GRAM, HOT_BLOCKS, BUCKETS_PER_PARTITION = 100, 32, 256, 4
@@ -41,35 +42,47 @@ def sliding(values: np.ndarray, width: int, pick) -> np.ndarray:
     return out
 
 
-def dense_ranks(key: np.ndarray) -> np.ndarray:
-    """Numbers from 1 in the order of the keys, equal for equal keys."""
-    order = np.argsort(key)
-    own = key[order]
-    new = np.ones(len(key), np.uint32)
-    new[1:] = own[1:] != own[:-1]
-    rank = np.empty(len(key), np.uint32)
-    rank[order] = np.cumsum(new, dtype=np.uint32)
-    return rank
-
-
 def suffix_ranks(text: np.ndarray, depth: int, at: np.ndarray) -> np.ndarray:
-    """Ranks of the suffixes that start at ``at`` by their first ``depth`` bytes, by prefix doubling."""
+    """Ranks of the suffixes that start at ``at`` by their first ``depth`` bytes, by prefix doubling.
+
+    A rank is the place of the first of its equals in suffix order. Suffixes
+    that differ from all others keep theirs; only the rest is ranked again.
+    """
     n = len(text)
     wide = np.concatenate([text, np.zeros(8, np.uint8)]).astype(U)
     key, width = np.zeros(n, U), min(8, depth)
     for i in range(width):
         key = (key << U(8)) | wide[i:i + n]
-    if width == depth:
-        return dense_ranks(key[at])
-    rank = dense_ranks(key)
-    while width < depth:
+    order = np.argsort(key)
+    place = np.arange(n, dtype=np.int64)
+
+    def starts(own: np.ndarray) -> np.ndarray:
+        new = np.ones(len(own), bool)
+        new[1:] = own[1:] != own[:-1]
+        return new
+
+    new = starts(key[order])
+    rank = np.empty(n, np.int64)
+    rank[order] = np.maximum.accumulate(np.where(new, place, 0))
+    tied = order[~(new & np.append(new[1:], True))]
+    asked = np.zeros(n, bool)
+    asked[at] = True
+    while width < depth and len(tied):
         step = min(width, depth - width)
-        after = np.concatenate([rank[step:], np.zeros(step, np.uint32)])
         width += step
         if width == depth:
-            return dense_ranks((rank[at].astype(U) << U(32)) | after[at])
-        rank = dense_ranks((rank.astype(U) << U(32)) | after)
-    return rank
+            tied = tied[asked[tied]]
+        after = tied + step
+        follow = np.where(after < n, rank[np.minimum(after, n - 1)] + 1, 0)
+        old = rank[tied]
+        key = old * (n + 1) + follow
+        order = np.argsort(key)
+        tied, key, old = tied[order], key[order], old[order]
+        new, group = starts(key), starts(old)
+        first = np.maximum.accumulate(np.where(group, place[:len(tied)], 0))
+        rank[tied] = old + np.maximum.accumulate(np.where(new, place[:len(tied)], 0)) - first
+        tied = tied[~(new & np.append(new[1:], True))]
+    return rank[at]
 
 
 def previous_factor_array(text: bytes) -> np.ndarray:
@@ -137,10 +150,9 @@ class Grams:
         return np.minimum(np.searchsorted(self.found, value), len(self.found) - 1)
 
 
-def _document_rows(a: np.ndarray, limit: np.ndarray, ids: np.ndarray, length: int) -> tuple:
-    one, two = (span_prints(a.astype(U) + U(1), b, limit[:-1], limit[1:]) for b in (WORD, CHECK))
+def _document_rows(text: bytes, limit: np.ndarray, ids: np.ndarray, length: int) -> tuple:
     long = np.flatnonzero(np.diff(limit) >= length)
-    return one[long], two[long], ids[long], long
+    return *digests(text[a:b] for a, b in zip(limit[long].tolist(), limit[long + 1].tolist())), ids[long], long
 
 
 def _ask_grams(length: int, gram: int, buckets: int):
@@ -152,7 +164,7 @@ def _ask_grams(length: int, gram: int, buckets: int):
         for b, s in zip(met.tolist(), slices):
             o = order[s]
             rows.setdefault(b, [b"", b"", b""])[:2] = g.found[o].tobytes(), np.packbits(g.many[o]).tobytes()
-        one, two, doc, row = _document_rows(g.a, g.limit, ids, length)
+        one, two, doc, row = _document_rows(block["text"], g.limit, ids, length)
         order, met, slices = split_by_bucket(one, buckets)
         for b, s in zip(met.tolist(), slices):
             o = order[s]
@@ -230,22 +242,22 @@ def _ask_windows(length: int, gram: int, gram_buckets: int, buckets: int):
         first, last = _runs(asked, apart)
         doc = np.searchsorted(g.limit, first, side="right") - 1
         burning = hot[g.place(best[first])] if len(first) else np.zeros(0, bool)
-        values = g.a.astype(U) + U(1)
+        text = block["text"]
         rows, settled = [], []
 
-        def settle(first: np.ndarray, last: np.ndarray) -> tuple:
+        def settle(first: np.ndarray, last: np.ndarray, one: np.ndarray, two: np.ndarray) -> tuple:
             """The block's own later copies are settled here; each string goes out once."""
-            one, two = (span_prints(values, b, first, last + length) for b in (WORD, CHECK))
             again = later_ones(one, two, np.zeros(len(first), np.int64), np.zeros(len(first), np.int64), first)
             settled.append(np.stack([first[again], last[again] - first[again] + 1]).astype(np.uint32))
-            return one, two & U(0xFFFFFFFF), ~again
+            return ~again
 
         # stretches, to the bucket of their minimizer
         f, e, d = first[~burning], last[~burning], doc[~burning]
-        one, two, new = settle(f, e)
+        one, two = digests(text[x:y + length] for x, y in zip(f.tolist(), e.tolist()))
+        two &= U(0xFFFFFFFF)
+        new = settle(f, e, one, two)
         f, e, d, one, two = f[new], e[new], d[new], one[new], two[new]
         order, met, slices = split_by_bucket(best[f], buckets)
-        text = block["text"]
         for b, s in zip(met.tolist(), slices):
             o = order[s]
             rows.append((b, block["block"], one[o].tobytes(), two[o].astype(np.uint32).tobytes(),
@@ -256,7 +268,12 @@ def _ask_windows(length: int, gram: int, gram_buckets: int, buckets: int):
         f, n, d = first[burning], (last - first + 1)[burning], doc[burning]
         each = np.repeat(f - np.cumsum(n) + n, n) + np.arange(int(n.sum()))
         d = np.repeat(d, n)
-        one, two, new = settle(each, each)
+        if len(each):
+            one, two = (window_prints(g.a.astype(U), length, b)[each] for b in (WORD, CHECK))
+        else:
+            one = two = np.zeros(0, U)
+        two = two & U(0xFFFFFFFF)
+        new = settle(each, each, one, two)
         each, d, one, two = each[new], d[new], one[new], two[new]
         order, met, slices = split_by_bucket(one, buckets)
         for b, s in zip(met.tolist(), slices):
