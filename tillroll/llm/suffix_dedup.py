@@ -29,6 +29,8 @@ from tillroll.llm.common import digests, window_prints
 from tillroll.llm.substring_dedup import BYTE, CHECK, U, WORD, later_ones, span_prints
 
 LENGTH, GRAM, HOT_BLOCKS, BUCKETS_PER_PARTITION = 100, 32, 256, 4
+#: A bucket is put in suffix order in parts of about so many bytes.
+RANKED_BYTES = 512 << 10
 NEVER = np.iinfo(np.uint64).max
 
 
@@ -263,7 +265,8 @@ def _ask_windows(length: int, gram: int, gram_buckets: int, buckets: int):
             rows.append((b, block["block"], one[o].tobytes(), two[o].astype(np.uint32).tobytes(),
                          ids[d[o]].tobytes(), f[o].astype(np.uint32).tobytes(),
                          (e[o] - f[o] + 1).astype(np.uint32).tobytes(),
-                         b"".join([text[x:y + length] for x, y in zip(f[o].tolist(), e[o].tolist())])))
+                         b"".join([text[x:y + length] for x, y in zip(f[o].tolist(), e[o].tolist())]),
+                         (best[f[o]] >> U(8)).astype(np.uint8).tobytes()))
         # windows of hot minimizers, one by one
         f, n, d = first[burning], (last - first + 1)[burning], doc[burning]
         each = np.repeat(f - np.cumsum(n) + n, n) + np.arange(int(n.sum()))
@@ -279,10 +282,10 @@ def _ask_windows(length: int, gram: int, gram_buckets: int, buckets: int):
         for b, s in zip(met.tolist(), slices):
             o = order[s]
             rows.append((b, block["block"], one[o].tobytes(), two[o].astype(np.uint32).tobytes(),
-                         ids[d[o]].tobytes(), each[o].astype(np.uint32).tobytes(), b"", b""))
+                         ids[d[o]].tobytes(), each[o].astype(np.uint32).tobytes(), b"", b"", b""))
         done = np.concatenate(settled, axis=1)
         rows.append((-1 - block["block"], block["block"], b"", np.flatnonzero(copies).astype(np.int32).tobytes(),
-                     b"", done[0].tobytes(), done[1].tobytes(), b""))
+                     b"", done[0].tobytes(), done[1].tobytes(), b"", b""))
         return rows
 
     return run
@@ -294,6 +297,24 @@ def _answer_windows(length: int):
                for c, t in (("one", U), ("two", np.uint32), ("doc", np.int64), ("at", np.uint32))]
         return *out, np.repeat(np.arange(len(rows)), [len(x) // 8 for x in rows["one"]])
 
+    def repeated(text: np.ndarray, begin: np.ndarray, runs: np.ndarray, sizes: np.ndarray) -> tuple:
+        """Of stretches in order, each ``runs`` starts long: those with starts met before, as stretch, first and last."""
+        text = text[np.repeat(begin - np.cumsum(sizes) + sizes, sizes) + np.arange(int(sizes.sum()))]
+        place = np.cumsum(sizes) - sizes
+        start = np.repeat(place - np.cumsum(runs) + runs, runs) + np.arange(int(runs.sum()))
+        rank = suffix_ranks(text, length, start)
+        # side by side in suffix order, earlier first: the neighbour before is the previous smaller position
+        order = np.argsort(rank, kind="stable")
+        known = np.zeros(len(start), bool)
+        known[order[1:]] = rank[order[1:]] == rank[order[:-1]]
+        stretch = np.repeat(np.arange(len(runs)), runs)
+        apart = np.zeros(len(start), bool)
+        apart[1:] = stretch[1:] != stretch[:-1]
+        first, last = _runs(known, apart)
+        own = stretch[first]
+        inside = start[first] - place[own]
+        return own, inside, inside + last - first
+
     def run(rows: pd.DataFrame) -> list[tuple]:
         if rows["bucket"].iloc[0] < 0:
             return list(zip(rows["block"], rows["at"], rows["runs"], rows["two"]))
@@ -320,24 +341,17 @@ def _answer_windows(length: int):
         answer(blocks, source[later], at[later], runs[later])
         text = np.frombuffer(b"".join(rows["text"]), np.uint8)
         sizes = runs + length - 1
+        begin = np.cumsum(sizes) - sizes
+        # copies of a string share their minimizer, so a bucket is ranked in parts of bounded size by its bits
+        parts = min(256, 1 + len(text) // RANKED_BYTES)
+        part = np.concatenate([np.frombuffer(x, np.uint8) for x in rows["part"]]) % parts
         new = np.flatnonzero(~later)
-        new = new[np.lexsort((at[new], source[new], doc[new]))]  # in (document, position) order
-        begin = (np.cumsum(sizes) - sizes)[new]
-        sizes, runs, source, at = sizes[new], runs[new], source[new], at[new]
-        text = text[np.repeat(begin - np.cumsum(sizes) + sizes, sizes) + np.arange(int(sizes.sum()))]
-        place = np.cumsum(sizes) - sizes
-        start = np.repeat(place - np.cumsum(runs) + runs, runs) + np.arange(int(runs.sum()))
-        rank = suffix_ranks(text, length, start)
-        # side by side in suffix order, earlier first: the neighbour before is the previous smaller position
-        order = np.argsort(rank, kind="stable")
-        known = np.zeros(len(start), bool)
-        known[order[1:]] = rank[order[1:]] == rank[order[:-1]]
-        stretch = np.repeat(np.arange(len(runs)), runs)
-        apart = np.zeros(len(start), bool)
-        apart[1:] = stretch[1:] != stretch[:-1]
-        first, last = _runs(known, apart)
-        own = stretch[first]
-        answer(blocks, source[own], at[own] + (start[first] - place[own]), last - first + 1)
+        new = new[np.lexsort((at[new], source[new], doc[new], part[new]))]  # in (document, position) order
+        for own in np.split(new, np.flatnonzero(np.diff(part[new])) + 1):
+            if len(own):
+                k, first, last = repeated(text, begin[own], runs[own], sizes[own])
+                k = own[k]
+                answer(blocks, source[k], at[k] + first, last - first + 1)
         return out
 
     return run
@@ -388,7 +402,7 @@ def suffix_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
                             "bucket long, block long, grams binary, many binary, docs binary"),
                 _answer_grams(hot_blocks), "block long, bucket long, shared binary, hot binary, docs binary")
     windows = ask(over_blocks(with_answers(blocks, grams), _ask_windows(length, gram, n, n * BUCKETS_PER_PARTITION),
-                              "bucket long, block long, one binary, two binary, doc binary, at binary, runs binary, text binary"),
+                              "bucket long, block long, one binary, two binary, doc binary, at binary, runs binary, text binary, part binary"),
                   _answer_windows(length), "block long, at binary, runs binary, copies binary")
     return over_blocks(with_answers(blocks, windows), _remove(length),
                        "doc_id long, n_bytes long, spans array<int>, kept binary")
