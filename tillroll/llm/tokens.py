@@ -10,6 +10,7 @@ from __future__ import annotations
 import json
 import os
 import re
+from itertools import chain
 
 import numpy as np
 
@@ -26,6 +27,13 @@ PLAIN = re.compile("([A-Za-zÀ-ÖØ-öø-ÿ]+)([.,]?)")
 MOST_WORDS = 1_000_000
 
 
+class Known(dict):
+    """Words' numbers; -1 for others."""
+
+    def __missing__(self, word: bytes) -> int:
+        return -1
+
+
 class WordTokens:
     """Ids of whole texts through a cache of words; for tokenizers whose ids don't span white space."""
 
@@ -64,17 +72,16 @@ class WordTokens:
 
     def clear(self) -> None:
         self.units.clear()
-        self.code: dict[bytes, int] = {}
+        self.code = Known()
         self.flat = np.zeros(1 << 16, np.uint32)
         self.starts = np.zeros(1 << 14, np.int64)  # of the words' ids in flat; one more than words
 
-    def learn(self, words: set[bytes]) -> None:
+    def learn(self, words: set[bytes]) -> bool:
+        """Remember the ids of new words. False, with nothing remembered any more, if there are too many by now."""
         new = sorted(words.difference(self.code))
-        if not new:
-            return
         if self.code and len(self.code) + len(new) > MOST_WORDS:
             self.clear()
-            new = sorted(words)
+            return False
         for at in range(0, len(new), 4096):
             part = new[at:at + 4096]
             found = self.ids_of(part)
@@ -88,20 +95,25 @@ class WordTokens:
             self.flat[used:total] = [i for f in found for i in f]
             self.starts[n + 1:n + len(part) + 1] = used + np.cumsum(sizes)
             self.code.update(zip(part, range(n, n + len(part))))
+        return True
 
     def encode(self, texts: list[bytes]) -> list[np.ndarray]:
         """Ids of each text. Splits at ASCII white space; other white space stays inside a word's text."""
         split = [t.split() for t in texts]
-        self.learn(set().union(*split))
-        out = []
-        for words in split:
+        words = list(chain.from_iterable(split))
+        codes = np.fromiter(map(self.code.__getitem__, words), np.int64, len(words))
+        unknown = np.flatnonzero(codes < 0).tolist()
+        if unknown and self.learn({words[k] for k in unknown}):
+            codes[unknown] = [self.code[words[k]] for k in unknown]
+        elif unknown:  # the cache was emptied, and holds this batch's words only
+            self.learn(set(words))
             codes = np.fromiter(map(self.code.__getitem__, words), np.int64, len(words))
-            starts = self.starts[codes]
-            sizes = self.starts[codes + 1] - starts
-            ends = np.cumsum(sizes)
-            total = int(ends[-1]) if len(ends) else 0
-            out.append(self.flat[np.repeat(starts - ends + sizes, sizes) + np.arange(total)])
-        return out
+        starts = self.starts[codes]
+        sizes = self.starts[codes + 1] - starts
+        ends = np.concatenate([[0], np.cumsum(sizes)])
+        ids = self.flat[np.repeat(starts - ends[:-1], sizes) + np.arange(int(ends[-1]))]
+        edge = ends[np.cumsum([0, *map(len, split)])].tolist()
+        return [ids[a:b] for a, b in zip(edge, edge[1:])]
 
 
 def word_tokens(path: str, special: bool = True) -> WordTokens:
