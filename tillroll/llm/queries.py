@@ -68,7 +68,8 @@ def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     end_id, folder = 49407, token_files.token_folder(spark)
     written = token_files.write_token_files(table(spark, sf_dir, "documents"), tokenizer_file(), end_id, folder)
     counted = token_files.count_tokens(spark, folder, end_id).withColumn("file", F.element_at(F.split("path", "/"), -1))
-    return written.join(counted, ["file", "ordinal"]).select("doc_id", "n_tokens", "file", "ordinal", "start")
+    # both sides have a row for each document: never a broadcast, however well the manifest compresses
+    return written.join(counted.hint("shuffle_merge"), ["file", "ordinal"]).select("doc_id", "n_tokens", "file", "ordinal", "start")
 
 
 def op10_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -28,9 +28,15 @@ BLOCK_BYTES = 4 << 20
 
 
 def open_store(path: str):
-    """File system and path of a shared folder's path as Spark names it."""
+    """File system and path of a shared folder's path as Spark names it. HDFS needs libhdfs on every machine."""
     if path.startswith("file:"):
         path = "/" + path[5:].lstrip("/")
+    scheme, colon, rest = path.partition("://")
+    if colon and scheme in ("s3a", "s3n"):
+        path = f"s3://{rest}"
+    elif colon and scheme not in ("s3", "gs", "hdfs", "viewfs", "abfs", "abfss"):
+        raise ValueError(f"token files can't be kept on {scheme}://; set spark.checkpoint.dir to a folder on "
+                         "a shared disk, S3, Google or Azure storage or HDFS")
     return pyarrow.fs.FileSystem.from_uri(path)
 
 
@@ -107,15 +113,18 @@ def count_tokens(spark: SparkSession, folder: str, end_id: int, dtype: str = "<u
         F.lit(0).cast("long"), F.floor((F.col("length") / width - 1) / per).cast("long"))).alias("block"))
     found = blocks.repartition(F.col("path"), F.col("block")).mapInArrow(
         search, "path string, block long, tail long, ends array<long>")
-    # prefix scan over a file's blocks: documents ended so far, tokens open at the block's start
+    # prefix scan over a file's blocks: documents ended so far, tokens open at the block's start; it sees two
+    # numbers of each block, and the blocks' contents stay where they were written
+    found = land(found, "token-blocks")
     by = Window.partitionBy("path").orderBy("block")
-    scan = (found.withColumn("n", F.size("ends"))
+    scan = (found.select("path", "block", "tail", F.size("ends").alias("n"))
             .withColumn("base", F.coalesce(F.sum("n").over(by.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
             .withColumn("part", F.sum((F.col("n") > 0).cast("int")).over(by.rowsBetween(Window.unboundedPreceding, 0)))
             .withColumn("open_end", F.sum("tail").over(
                 Window.partitionBy("path", "part").orderBy("block").rowsBetween(Window.unboundedPreceding, 0)))
             .withColumn("open", F.coalesce(F.lag("open_end").over(by), F.lit(0)))
             .withColumn("last", F.lead("block").over(by).isNull()))
+    scan = found.select("path", "block", "ends").join(scan.hint("shuffle_merge"), ["path", "block"])
     first = F.col("block") * per
     begin = F.transform("ends", lambda e, i: F.when(i == 0, first - F.col("open")).otherwise(
         first + F.get(F.col("ends"), i - 1) + 1))
