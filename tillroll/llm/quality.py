@@ -29,6 +29,8 @@ MAX_TRAIN_ROWS = 6000
 EPOCHS, ALPHA, BETA, L1, L2, SCALE = 4, 0.5, 1.0, 1e-4, 1e-5, 40.0
 #: Tokens are handled in pieces of at most so many, so a very long text needs no more memory than others.
 PIECE = 1 << 18
+#: The longest n-gram less one, and how far back a token's class looks.
+OVERLAP = 3 + 2
 
 TOKEN = re.compile(rb"[0-9A-Za-z\x80-\xff]+|\n|[^0-9A-Za-z\x80-\xff\s]+")
 
@@ -61,8 +63,10 @@ class Codes:
         return both & np.uint64(0xFFFFFFFF), both >> np.uint64(32)
 
 
-def ngram_hashes(tokens: list[bytes], codes: Codes, bits: int) -> np.ndarray:
-    """Feature numbers of a token sequence's n-grams: words 1-2, classes 1-4."""
+def ngram_hashes(tokens: list[bytes], codes: Codes, bits: int, known: int = 0) -> np.ndarray:
+    """Feature numbers of a token sequence's n-grams: words 1-2, classes 1-4.
+
+    Those that lie within the first ``known`` tokens are left out."""
     word, kind = codes(tokens)
     kind = kind.copy()
     if len(word) > 1:
@@ -74,29 +78,31 @@ def ngram_hashes(tokens: list[bytes], codes: Codes, bits: int) -> np.ndarray:
         h = np.full(len(seq), tag, np.uint64)
         for n in range(1, min(most, len(seq)) + 1):
             h = mix64(h[:len(seq) - n + 1] * np.uint64(0x9E3779B97F4A7C15) + seq[n - 1:])
-            out.append(h >> np.uint64(64 - bits))
+            out.append(h[max(0, known - n + 1):] >> np.uint64(64 - bits))
     return np.concatenate(out).astype(np.int32) if out else np.zeros(0, np.int32)
 
 
-def pieces(text: bytes) -> Iterator[list[bytes]]:
-    """The text's tokens, in pieces of bounded length."""
-    part = []
-    for m in TOKEN.finditer(text) if len(text) > 8 * PIECE else ():
+def pieces(text: bytes) -> Iterator[tuple[list[bytes], int]]:
+    """The text's tokens, in pieces of bounded length. Each begins with tokens of the one before, as many as said:
+    enough for the n-grams across the cut."""
+    if len(text) <= 8 * PIECE:
+        yield TOKEN.findall(text), 0
+        return
+    part, known = [], 0
+    for m in TOKEN.finditer(text):
         part.append(m[0])
         if len(part) == PIECE:
-            yield part
-            part = []
-    if len(text) <= 8 * PIECE:
-        part = TOKEN.findall(text)
-    if part:
-        yield part
+            yield part, known
+            part, known = part[-OVERLAP:], OVERLAP
+    if len(part) > known:
+        yield part, known
 
 
 def features(text: bytes, codes: Codes, bits: int) -> tuple[np.ndarray, np.ndarray]:
     """Distinct feature numbers and their relative frequencies, scaled."""
     index, count = np.zeros(0, np.int32), np.zeros(0)
-    for part in pieces(text):
-        own, n = np.unique(ngram_hashes(part, codes, bits), return_counts=True)
+    for part, known in pieces(text):
+        own, n = np.unique(ngram_hashes(part, codes, bits, known), return_counts=True)
         both = np.concatenate([index, own])
         index, where = np.unique(both, return_inverse=True)
         count = np.bincount(where, weights=np.concatenate([count, n]), minlength=len(index))
@@ -183,8 +189,8 @@ def score(docs: DataFrame, weights: np.ndarray, id_col: str = "doc_id", text_col
         out = []
         for text in utf8(batch.column("_text")):
             total, count = 0.0, 0
-            for part in pieces(text):
-                h = ngram_hashes(part, memory[0], bits)
+            for part, known in pieces(text):
+                h = ngram_hashes(part, memory[0], bits, known)
                 total += float(w[h].sum(dtype=np.float64))
                 count += len(h)
             margin = float(w[-1]) + (SCALE * total / count if count else 0.0)
