@@ -161,3 +161,51 @@ def test_logistic_fit_settles_on_close_measures(words):
     x = np.array([toxicity.measures(w, k) for w, k in zip(weight, n)])
     found = x @ np.array(toxicity.logistic_fit(x, toxic.astype(float))) >= 0
     assert (found == toxic).mean() > 0.99
+
+
+def test_quality_keeps_ngrams_across_pieces(monkeypatch):
+    rng = random.Random(3)
+    text = " ".join(rng.choice(["a", "Bc", "12", "!!", "a a", "\n"]) for _ in range(4000)).encode()
+    whole = quality.features(text, quality.Codes(), 12)
+    monkeypatch.setattr(quality, "PIECE", 50)
+    parts = quality.features(text, quality.Codes(), 12)
+    assert (whole[0] == parts[0]).all() and np.allclose(whole[1], parts[1])
+
+
+def test_exception_phrases_silence_what_starts_in_them():
+    import ahocorasick
+
+    automaton = ahocorasick.Automaton()
+    rng = random.Random(5)
+    entries = {"".join(rng.choices("ab", k=n)): (w if w else None) for n in (1, 2, 3, 4, 5) for w in (0, 1.0, -0.5, 2.0) for _ in range(2)}
+    for e, w in entries.items():
+        automaton.add_word(e, (len(e), w))
+    automaton.make_automaton()
+    for _ in range(50):
+        text = "".join(rng.choices("abc", k=60))
+        found = [(s, e, w) for e, w in entries.items() for s in range(60) if text.startswith(e, s)]
+        longest = {s: max((x for x in found if x[0] == s and x[2] is not None), key=lambda x: len(x[1]), default=None) for s in range(60)}
+        # a phrase's own last letter isn't inside it, as the operator has it
+        quiet = [(s, s + len(e) - 1) for s, e, w in found if w is None]
+        want = sum(max(0.0, x[2]) for s, x in longest.items() if x and not any(a <= s < b for a, b in quiet))
+        assert toxicity.matched_weight(text, automaton) == pytest.approx(want)
+
+
+def test_token_cache_that_overflows(monkeypatch):
+    import tokenizers
+
+    from tillroll.llm import tokens
+
+    monkeypatch.setattr(tokens, "MOST_WORDS", 40)
+    encoder = tokens.WordTokens(tokenizer_file())
+    plain = tokenizers.Tokenizer.from_file(tokenizer_file()).encode
+    rng = random.Random(6)
+    for _ in range(6):
+        texts = [" ".join(f"word{rng.randrange(60)}" for _ in range(rng.randrange(12))) for _ in range(8)] + ["", " "]
+        got_ids = [ids.tolist() for ids in encoder.encode([t.encode() for t in texts])]
+        assert got_ids == [plain(t, add_special_tokens=False).ids for t in texts]
+
+
+def test_token_folders_that_no_worker_can_open():
+    with pytest.raises(ValueError, match="viewstore"):
+        token_files.open_store("viewstore://somewhere/tokens")

@@ -13,9 +13,11 @@ rows.
 from __future__ import annotations
 
 import re
+from bisect import bisect_right
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, field
+from itertools import accumulate
 
 import ahocorasick
 import numpy as np
@@ -103,7 +105,14 @@ def matched_weight(folded: str, automaton) -> float:
             quiet.append((start, end))
         elif start not in at or size > at[start][0]:
             at[start] = (size, weight)
-    return sum(max(0.0, w) for s, (_, w) in at.items() if not any(a <= s < b for a, b in quiet))
+    quiet.sort()
+    begins, reach = [a for a, _ in quiet], list(accumulate((b for _, b in quiet), max))
+
+    def silenced(s: int) -> bool:
+        k = bisect_right(begins, s) - 1
+        return k >= 0 and reach[k] > s
+
+    return sum(max(0.0, w) for s, (_, w) in at.items() if not silenced(s))
 
 
 def measures(weight: float, words: int) -> tuple[float, float, float, float]:
