@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tillroll.llm.blocks import NULL_ID, arrays, ask, build_blocks, buckets_of, over_blocks, split_by_bucket, with_answers
-from tillroll.llm.common import digests, window_prints
+from tillroll.llm.common import byte_window_prints, digests
 from tillroll.llm.substring_dedup import BYTE, CHECK, U, WORD, later_ones, span_prints
 
 LENGTH, GRAM, HOT_BLOCKS, BUCKETS_PER_PARTITION = 100, 32, 256, 4
@@ -249,7 +249,10 @@ def _ask_windows(length: int, gram: int, gram_buckets: int, buckets: int):
 
         def settle(first: np.ndarray, last: np.ndarray, one: np.ndarray, two: np.ndarray) -> tuple:
             """The block's own later copies are settled here; each string goes out once."""
-            again = later_ones(one, two, np.zeros(len(first), np.int64), np.zeros(len(first), np.int64), first)
+            order = np.lexsort((two, one))  # equal ones stay in the order of their places
+            again = np.zeros(len(first), bool)
+            a, b = one[order], two[order]
+            again[order[1:]] = (a[1:] == a[:-1]) & (b[1:] == b[:-1])
             settled.append(np.stack([first[again], last[again] - first[again] + 1]).astype(np.uint32))
             return ~again
 
@@ -272,7 +275,7 @@ def _ask_windows(length: int, gram: int, gram_buckets: int, buckets: int):
         each = np.repeat(f - np.cumsum(n) + n, n) + np.arange(int(n.sum()))
         d = np.repeat(d, n)
         if len(each):
-            one, two = (window_prints(g.a.astype(U), length, b)[each] for b in (WORD, CHECK))
+            one, two = (p[each] for p in byte_window_prints(g.a, length, (WORD, CHECK)))
         else:
             one = two = np.zeros(0, U)
         two = two & U(0xFFFFFFFF)
