@@ -2,6 +2,7 @@
 nulls, empty and long texts, ties, repeated rows, empty tables, extra columns with clashing names."""
 
 import random
+import time
 import zlib
 
 import numpy as np
@@ -135,6 +136,56 @@ def test_page_text_leaves_out_marked_containers(wrapper):
     assert html_text.main_text(f'<article><p>{LONG}</p><ol class="{wrapper}"><article>{LONG} Twice.</article></ol></article>') == LONG
 
 
+POST = f"{LONG} {LONG}"
+
+
+@pytest.mark.parametrize("rest", [
+    f'<div id="comments" class="comments-area"><ol><li><article class="comment-body"><p>{POST} {POST}</p></article></ol></div>',
+    f'<section><article class="comment"><p>{POST} {POST}</p></article></section>',
+    f'<div class="sidebar"><article class="widget"><p>{LONG}</p></article></div>',
+    f'<form class="newsletter"><article><p>{LONG}</p></article></form>',
+    f'<div class="post-comments"><p>{POST}</p></div>',
+    f'<section id="reader_comments"><p>{POST}</p></section>',
+])
+def test_page_text_leaves_out_articles_that_are_not_the_post(rest):
+    assert html_text.main_text(f"<body><article><p>{POST}</p></article>{rest}</body>") == POST
+    assert html_text.main_text(f"<body>{rest}<article><p>{POST}</p></article></body>") == POST
+    assert html_text.main_text(f"<body><main><p>{POST}</p>{rest}</main></body>") == POST
+
+
+def test_page_text_inside_the_article_leaves_out_comments():
+    for name in ("post-comments", "comments-wrapper", "article-comment-list", "disqus_thread"):
+        assert html_text.main_text(f'<article><p>{POST}</p><div class="{name}"><p>{LONG}</p></div></article>') == POST
+    for name in ("no-comments", "has-comments", "comments-open", "commentary"):
+        assert html_text.main_text(f'<article><div class="{name}"><p>{POST}</p></div></article>') == POST
+
+
+def test_page_text_outside_a_teaser():
+    body = f"<div id=content><p>{POST}</p><p>{POST} Two.</p><p>{POST} Three.</p></div>"
+    want = "\n".join([POST, f"{POST} Two.", f"{POST} Three."])
+    teaser = "<article><h3><a href=/x>More to read</a></h3><p>It is a teaser.</p></article>"
+    assert html_text.main_text(f"<body>{body}{teaser}</body>") == want
+    assert html_text.main_text(f"<body>{teaser}{body}</body>") == want
+    # text of a like size beside the article doesn't replace it
+    assert html_text.main_text(f"<body><div><p>{POST}</p></div><article><p>{POST} Own.</p></article></body>") == f"{POST} Own."
+
+
+def test_page_text_marked_container_of_the_largest_article():
+    page = f'<body><div class="content sidebar"><article><p>{POST} {POST}</p><nav>Up</nav></article></div><article><p>{LONG}</p></article></body>'
+    assert html_text.main_text(page) == f"{POST} {POST}\n{LONG}"
+    assert html_text.main_text(f'<div class="comments"><article><p>{POST}</p></article></div>') == POST
+
+
+def test_page_text_of_deep_pages_takes_linear_time():
+    def seconds(n):
+        page = "<div>" * n + f"<p>{LONG}</p>" + "</section></div>" * n
+        at = time.perf_counter()
+        assert html_text.main_text(f"<article>{page}</article>") == LONG
+        return time.perf_counter() - at
+    seconds(100)
+    assert seconds(50_000) < 30 * max(0.05, seconds(5_000))
+
+
 def test_empty_tables(spark):
     none = spark.createDataFrame([], SCHEMA)
     bench = spark.createDataFrame([], "item_id string, text string")

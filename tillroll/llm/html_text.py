@@ -5,15 +5,19 @@ from its length, stop-word density, link density and the containers it lies
 in; pass two gives short and middling blocks the label of the nearest decided
 neighbours, but keeps several middling blocks in a row. On a page with a marked
 article the blocks inside are in doubt only where links fill them, and the
-blocks outside don't count; no class, id, role or form around it speaks against it.
+blocks outside don't count, unless they hold far more text. A form or a class,
+id or role name around an article speaks against it only where the page has
+more text elsewhere; one that names comments, wherever there is other text.
 """
 
 from __future__ import annotations
 
 import html
 import re
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
+from typing import NamedTuple
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -23,6 +27,8 @@ from tillroll.llm.common import map_batches, utf8
 
 # Limits of the rules: characters, shares.
 SHORT, LONG, LINKS, STOP_LOW, STOP_HIGH = 70, 140, 0.4, 0.12, 0.28
+#: Text outside every article is the main text if it is more than so many times the articles' own.
+OUTWEIGHS = 2
 
 # Elements whose content is never text of the page.
 RAW = "script style noscript template textarea title iframe xmp svg math canvas select option object".split()
@@ -59,6 +65,10 @@ related-content related-links related-posts related-stories search-form share-ba
 side-bar side-nav site-footer site-nav site-navigation skip-link social-buttons social-icons
 social-links social-media social-share sponsored-content sub-menu subscribe-box subscribe-form tag-list tags-list top-bar
 top-nav widget-area""".split())
+# Names, or parts of names between hyphens, of reader comments.
+COMMENTS = set("comment comments disqus respond replies".split())
+# Parts that make such a name speak of the article's settings.
+SETTINGS = set("no has with without open closed enabled disabled allow allowed on off show hide status".split())
 # Frequent words of English, German, French and Spanish.
 STOP = set("""the of and to in a is that for it was on are as with be by this from at or an not have has you but his
 her they which we he she were been their will would there all one if so no can
@@ -83,21 +93,52 @@ class Block:
     boiler: bool
     inside: bool
     heading: bool
+    #: The article's number, the marked container around it and whether that holds comments; 0 where there is none.
+    article: int = 0
+    container: int = 0
+    comment: bool = False
+    main: bool = False
+
+    @property
+    def own(self) -> int:
+        """Characters that aren't in links."""
+        return len(self.text.replace(" ", "")) - self.link_chars
+
+
+class Box(NamedTuple):
+    """An open container: ``boiler`` is 1 by a name or form, 2 by element; the numbers as in Block."""
+    name: str = ""
+    boiler: int = 0
+    inside: bool = False
+    article: int = 0
+    container: int = 0
+    comment: bool = False
+    main: bool = False
+
+
+def _names(tag: str) -> list[str]:
+    return [_NUMBER.sub("", w) for m in _HINTED.finditer(tag)
+            for w in m[1].strip("\"'").lower().replace("_", "-").split()]
+
+
+def _comments(tag: str) -> bool:
+    """Whether a class, id or role name speaks of reader comments."""
+    return "=" in tag and any(COMMENTS & (parts := set(w.split("-"))) and not SETTINGS & parts for w in _names(tag))
 
 
 def _hinted(tag: str) -> bool:
     if "=" not in tag and "hidden" not in tag:
         return False
-    return bool(_HIDDEN.search(tag)) or any(
-        _NUMBER.sub("", w) in HINTS
-        for m in _HINTED.finditer(tag) for w in m[1].strip("\"'").lower().replace("_", "-").split())
+    return bool(_HIDDEN.search(tag)) or any(w in HINTS for w in _names(tag)) or _comments(tag)
 
 
 def blocks_of(page: str) -> list[Block]:
     """The page's blocks in order, with white space collapsed; empty ones left out."""
     out: list[Block] = []
-    # open containers: name, boiler (1 by a hint or form, which an article overrides, 2 by element), inside the article
-    stack: list[tuple[str, int, bool]] = []
+    stack: list[Box] = [Box()]
+    # open containers by name; numbers given to articles and marked containers
+    opened: Counter[str] = Counter()
+    numbers = 0
     text: list[str] = []
     links = anchor = 0
     heading = False
@@ -109,14 +150,24 @@ def blocks_of(page: str) -> list[Block]:
         if text:
             joined = " ".join("".join(text).split())
             if joined:
-                boiler, inside = stack[-1][1:] if stack else (0, False)
-                out.append(Block(joined, links, boiler > 0, inside, heading))
+                box = stack[-1]
+                out.append(Block(joined, links, box.boiler > 0, box.inside, heading,
+                                 box.article, box.container, box.comment, box.main))
             text, links = [], 0
 
+    def push(box: Box) -> None:
+        stack.append(box)
+        opened[box.name] += 1
+
+    def pop() -> str:
+        name = stack.pop().name
+        opened[name] -= 1
+        return name
+
     def leave_head() -> None:
-        if stack and stack[-1][0] == "head":
+        if stack[-1].name == "head":
             end()
-            stack.pop()
+            pop()
 
     while m := _TOKEN.match(page, at):
         t, at = m[0], m.end()
@@ -144,7 +195,7 @@ def blocks_of(page: str) -> list[Block]:
             if closing and name == raw:
                 raw = ""
                 continue
-            if not (raw == "option" and closing and (name in OPTION_ENDS or any(n == name for n, _, _ in stack))):
+            if not (raw == "option" and closing and (name in OPTION_ENDS or opened[name])):
                 continue
             raw = ""
         if not closing and name not in HEAD and name not in RAW:
@@ -164,26 +215,29 @@ def blocks_of(page: str) -> list[Block]:
             anchor = 0
             heading = not closing and len(name) == 2 and name[0] == "h" and name[1].isdigit()
             if not closing:
-                if stack and stack[-1][0] == "p":
-                    stack.pop()
-                while stack and stack[-1][0] in IMPLIED.get(name, ()):
-                    stack.pop()
+                if stack[-1].name == "p":
+                    pop()
+                while stack[-1].name in IMPLIED.get(name, ()):
+                    pop()
+            box = stack[-1]._replace(name=name)
             if name == "p" or heading or name in VOID:
                 if not closing and name == "p" and _hinted(t):
-                    stack.append((name, max(1, stack[-1][1] if stack else 0), bool(stack and stack[-1][2])))
-                elif closing and stack and stack[-1][0] == name:
-                    stack.pop()
+                    push(box._replace(boiler=max(1, box.boiler), article=0))
+                elif closing and stack[-1].name == name:
+                    pop()
             elif not closing:
-                boiler, inside = stack[-1][1:] if stack else (0, False)
-                if name in MAIN and not inside and boiler == 1:
-                    boiler = 0
-                if name != "form" and name in BOILER or (name == "header" and not inside):
-                    boiler = 2
-                elif name == "form" or (name not in ("html", "body", *MAIN) and _hinted(t)):
-                    boiler = max(boiler, 1)
-                stack.append((name, boiler, inside or name in MAIN))
-            elif any(n == name for n, _, _ in stack):
-                while stack.pop()[0] != name:
+                numbers += 1
+                if name != "form" and name in BOILER or (name == "header" and not box.inside):
+                    box = box._replace(boiler=2, article=0)
+                elif name == "form" or (name not in ("html", "body", *MAIN) and _hinted(t)) or (
+                        name == "article" and _comments(t)):
+                    box = box._replace(boiler=max(box.boiler, 1), container=numbers, article=0,
+                                       comment=box.comment or _comments(t))
+                if name in MAIN and not box.inside and box.boiler < 2:
+                    box = box._replace(article=numbers)
+                push(box._replace(inside=box.inside or name in MAIN, main=box.main or name == "main"))
+            elif opened[name]:
+                while pop() != name:
                     pass
     end()
     return out
@@ -255,12 +309,44 @@ def final_labels(blocks: list[Block], labels: list[str]) -> list[bool]:
     return out
 
 
+def unmark_articles(blocks: list[Block], outside: int) -> None:
+    """Lift the mark of a container whose article is the page's largest text.
+
+    ``outside`` is the amount of text that the rules keep outside all
+    articles. A container of comments is lifted only where the page has
+    nothing else.
+    """
+    plain = sum(b.own for b in blocks if b.inside and not b.boiler)
+    claims: Counter[tuple[bool, int, int]] = Counter()
+    for b in blocks:
+        if b.inside and b.boiler and b.article and b.container:
+            claims[b.comment, b.container, b.article] += b.own
+    named = [(n, container) for (comment, container, _), n in claims.items() if not comment]
+    best = max(named, default=(0, 0))
+    if not named and not plain and not outside:
+        best = max(((n, container) for (_, container, _), n in claims.items()), default=(0, 0))
+    if best[0] > max(plain, outside):
+        for b in blocks:
+            if b.inside and b.article and b.container == best[1]:
+                b.boiler = False
+
+
+def kept(blocks: list[Block]) -> list[Block]:
+    return [b for b, k in zip(blocks, final_labels(blocks, first_labels(blocks))) if k]
+
+
 def main_text(page: str) -> str:
     blocks = blocks_of(page)
-    if any(b.inside and not b.boiler for b in blocks):
-        blocks = [b for b in blocks if b.inside]
-    keep = final_labels(blocks, first_labels(blocks))
-    return "\n".join(b.text for b, k in zip(blocks, keep) if k)
+    if any(b.inside for b in blocks):
+        around = kept([b for b in blocks if not b.inside])
+        outside = sum(b.own for b in around)
+        unmark_articles(blocks, outside)
+        own = [b for b in blocks if b.inside and not b.boiler]
+        if own and not any(b.main for b in own) and outside > OUTWEIGHS * sum(b.own for b in own):
+            return "\n".join(b.text for b in around)
+        if own:
+            blocks = [b for b in blocks if b.inside]
+    return "\n".join(b.text for b in kept(blocks))
 
 
 def extract(pages: DataFrame, html_col: str = "html", keep: tuple[str, ...] = ("page_id", "url")) -> DataFrame:
