@@ -30,8 +30,6 @@ from tillroll.llm.common import land, map_batches, utf8
 
 #: Lexicon and logistic function are fitted on at most so many labelled rows (smallest hash of doc_id).
 MAX_TRAIN_ROWS = 10_000
-#: Bounds of the model, not of the rows: entries that are looked at, entries that are kept.
-MAX_CANDIDATES, MAX_ENTRIES = 200_000, 5_000
 MIN_DOCS, MIN_WEIGHT = 4, 1.6
 SHORTEST, LONGEST = 3, 10
 
@@ -165,7 +163,7 @@ def choose_entries(found: list[tuple[str, int, int]], toxic: int, clean: int) ->
                 out[entry] = weight
         elif t + c >= MIN_DOCS and abs(weight - above) > 0.7:
             out[entry] = weight
-    return dict(sorted(out.items(), key=lambda e: -abs(e[1]))[:MAX_ENTRIES])
+    return out
 
 
 def fit(docs: DataFrame, labels: DataFrame, label_col: str = "toxic", id_col: str = "doc_id",
@@ -174,7 +172,8 @@ def fit(docs: DataFrame, labels: DataFrame, label_col: str = "toxic", id_col: st
 
     Rows with a null id or label are left out; of an id labelled more than
     once the largest label counts. Without toxic rows the lexicon is empty
-    and every score low.
+    and every score low. Every entry that two toxic rows hold is looked at, so
+    ``max_rows`` alone bounds the lexicon.
     """
     known = (labels.select(F.col(id_col).alias("doc_id"), F.col(label_col).cast("int").alias("label"))
              .dropna().groupBy("doc_id").agg(F.max("label").alias("label"))
@@ -198,7 +197,7 @@ def fit(docs: DataFrame, labels: DataFrame, label_col: str = "toxic", id_col: st
 
     total = dict(sample.groupBy("label").count().collect())
     toxic = {r["entry"]: r["rows"] for r in counts(1, None).where(F.col("rows") >= 2)
-             .orderBy(F.desc("rows"), "entry").limit(MAX_CANDIDATES).collect()}
+             .collect()}
     if not toxic:
         return Lexicon()
     clean = dict(counts(0, frozenset(toxic)).collect())
@@ -223,8 +222,8 @@ def score(docs: DataFrame, lexicon: Lexicon, id_col: str = "doc_id", text_col: s
     """doc_id, n_words, weight (matched), score and predicted for every row.
 
     A null or empty text matches nothing. Repeated rows are each scored,
-    extra columns aren't read, an empty table gives no rows. The lexicon holds
-    at most MAX_ENTRIES entries and travels with the tasks.
+    extra columns aren't read, an empty table gives no rows. The lexicon,
+    bounded by the rows it was fitted on, travels with the tasks.
     """
     memory: list = []
 
