@@ -83,14 +83,14 @@ def main() -> None:
         "top_products": lambda: marts.top_products(s.fact, s.dim_product),
         "top_customers": lambda: marts.top_customers(s.fact, s.dim_customer),
         "rev_by_country": lambda: marts.revenue_by_country(s.revenue_source(), s.dim_country),
-        "avg_order_value": lambda: marts.avg_order_value(s.fact),
+        "avg_order_value": lambda: marts.avg_order_value(s.order_source()),
         "rev_by_week": lambda: marts.revenue_by_week(s.revenue_source(), s.dim_date),
         "daily_kpis": lambda: marts.kpis_from_rollup(s.daily, s.dim_date, s.dim_country),
         "daily_kpis_from_fact": lambda: marts.daily_kpis(s.fact, s.dim_date, s.dim_country),
-        "q4_daily_dataset": lambda: stats.q4_daily_dataset(s.fact, s.dim_date),
+        "q4_daily_dataset": lambda: stats.q4_daily_dataset(s.order_source(), s.dim_date),
         "welch_daily_revenue": lambda: stats.welch_test(stats.daily_revenue(s.revenue_source(), s.dim_date),
                                                         "revenue"),
-        "ols_q4": lambda: stats.ols_q4(stats.q4_daily_dataset(s.fact, s.dim_date)),
+        "ols_q4": lambda: stats.ols_q4(stats.q4_daily_dataset(s.order_source(), s.dim_date)),
         "fk_orphans": lambda: quality.dq_fk_orphans(s.fact, s.dim_date, s.dim_country, s.dim_product,
                                                     s.dim_customer),
     }

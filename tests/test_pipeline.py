@@ -132,7 +132,14 @@ def test_rollup_marts_equal_fact_marts(spark, tmp_path):
          marts.kpis_from_rollup(s.daily, s.dim_date, s.dim_country)),
         (stats.daily_return_rate(s.fact, s.dim_date), stats.daily_return_rate(s.daily, s.dim_date)),
         (stats.daily_revenue(s.fact, s.dim_date), stats.daily_revenue(s.daily, s.dim_date)),
+        (marts.avg_order_value(s.fact), marts.avg_order_value(s.invoices)),
+        (stats.q4_daily_dataset(s.fact, s.dim_date), stats.q4_daily_dataset(s.order_source(), s.dim_date)),
+        (marts.daily_country_rollup(s.fact), s.daily),
+        (s.fact.groupBy("date_key", "country_id").agg(F.count_distinct("invoice").alias("n")),
+         s.daily.select("date_key", "country_id", F.col("daily_orders").alias("n"))),
+        (marts.daily_kpis(s.fact, s.dim_date, s.dim_country), marts.daily_kpis_of_lines(wh.staging()).drop("date_key")),
     ]
+    assert not any("/fact_sales/" in f for f in stats.q4_daily_dataset(s.order_source(), s.dim_date).inputFiles())
     for a, b in pairs:
         assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
 

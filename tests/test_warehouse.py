@@ -7,6 +7,7 @@ from decimal import Decimal
 import pytest
 from pyspark.sql import functions as F
 
+from tillroll.operators import marts
 from tillroll.operators.keys import row_numbers
 from tillroll.operators.staging import staging_clean
 from tillroll.plans import pipeline
@@ -365,6 +366,76 @@ def test_stream_epochs_are_staged_and_replayed_once(spark, wh, tmp_path, monkeyp
             == rows(full.star().daily.join(country, "country_id"), columns))
 
 
+def kpis_as_ruled(wh):
+    wh.build_star()
+    star = wh.star()
+    want = marts.daily_kpis(star.fact, star.dim_date, star.dim_country)
+    return rows(wh.daily_kpis(), want.columns) == rows(want, want.columns)
+
+
+def test_stream_epochs_refresh_the_kpis_of_their_days(spark, wh, tmp_path, monkeypatch):
+    src, ingest = tmp_path / "in", dict(kpis=True, max_files_per_trigger=1)
+    write_retail_csv(lines(spark, 0, 40).coalesce(1), str(src / "f0"))
+    start_ingest(spark, str(src / "*"), wh.root, **ingest).awaitTermination(120)
+    assert staged_as_ruled(wh) and kpis_as_ruled(wh)
+    write_retail_csv(lines(spark, 40, 70).coalesce(1), str(src / "f1"))
+    with monkeypatch.context() as m:                    # the epoch is staged and dies before its days are made anew
+        m.setattr(marts, "daily_kpis_of_lines", die)
+        with pytest.raises(Exception):
+            start_ingest(spark, str(src / "*"), wh.root, **ingest).awaitTermination(120)
+    assert staged_as_ruled(wh) and not kpis_as_ruled(wh)
+    write_retail_csv(lines(spark, 70, 100).coalesce(1), str(src / "f2"))
+    start_ingest(spark, str(src / "*"), wh.root, **ingest).awaitTermination(120)
+    assert staged_as_ruled(wh) and kpis_as_ruled(wh)
+    full = Warehouse(spark, str(tmp_path / "full"))
+    full.sync_raw(lines(spark, 0, 100))
+    full.rebuild_staging()
+    assert full.refresh_daily_kpis() == -1
+    columns = full.daily_kpis().columns
+    assert rows(wh.daily_kpis(), columns) == rows(full.daily_kpis(), columns)
+
+
+def test_refresh_makes_only_the_days_with_new_lines(spark, wh, monkeypatch):
+    assert wh.refresh_daily_kpis() == 0 and wh.daily_kpis().count() == 0
+    wh.sync_raw(lines(spark, 0, 60), batch_id="a")
+    wh.stage_missing()
+    assert wh.refresh_daily_kpis() == -1 and wh.refresh_daily_kpis() == 0
+    more = lines(spark, 60, 90).where("invoicedate < '2010-03-01'")
+    wh.sync_raw(more, batch_id="b")
+    wh.stage_missing()
+    days = {r[0].date() for r in staging_clean(more).select("invoicedate").dropna().collect()}
+    assert wh.refresh_daily_kpis() == len(days)
+    step = spark.read.parquet(wh.path(f"{pipeline.KPI_TABLE}/{wh.kpi_steps()[-1]['folder']}"))
+    assert {r[0] for r in step.select("full_date").collect()} <= days and kpis_as_ruled(wh)
+    wh.sync_raw(lines(spark, 0, 0), batch_id="c")       # a batch without lines changes no day
+    wh.stage_missing()
+    assert wh.refresh_daily_kpis() == 0 and kpis_as_ruled(wh)
+    wh.rebuild_staging(keep_null_description=True)      # another rule: all days anew
+    assert wh.refresh_daily_kpis() == -1 and len(wh.kpi_steps()) == 1 and kpis_as_ruled(wh)
+    monkeypatch.setattr(pipeline, "KPI_STEPS", 1)
+    wh.sync_raw(lines(spark, 90, 120), batch_id="d")
+    wh.stage_missing(keep_null_description=True)
+    assert wh.refresh_daily_kpis() == -1 and kpis_as_ruled(wh)
+    left = [n for n in storage.names(spark, wh.path(pipeline.KPI_TABLE)) if n.startswith("step=")]
+    assert len(left) == 2                               # the last step, and the one that readers may be in
+
+
+def test_two_refreshes_at_once(spark, wh, monkeypatch):
+    wh.sync_raw(lines(spark, 0, 30), batch_id="a")
+    wh.stage_missing()
+    made = marts.daily_kpis_of_lines
+
+    def other_first(staging):
+        monkeypatch.setattr(marts, "daily_kpis_of_lines", made)
+        wh.refresh_daily_kpis()
+        return made(staging)
+
+    monkeypatch.setattr(marts, "daily_kpis_of_lines", other_first)
+    with pytest.raises(CommitConflict):
+        wh.refresh_daily_kpis()
+    assert kpis_as_ruled(wh) and wh.refresh_daily_kpis() == 0
+
+
 def test_raw_reads_only_the_months_and_batches_asked_for(spark, wh):
     wh.sync_raw(lines(spark, 0, 40), batch_id="a")
     wh.sync_raw(lines(spark, 40, 50), batch_id="b")

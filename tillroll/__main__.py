@@ -43,6 +43,7 @@ def main(argv=None) -> None:
     i.add_argument("--source", required=True)
     i.add_argument("--warehouse", required=True)
     i.add_argument("--stage", action="store_true", help="stage every epoch's lines as well")
+    i.add_argument("--kpis", action="store_true", help="and bring the daily KPIs up to staging, day by day")
     i.add_argument("--continuous", action="store_true", help="keep polling instead of availableNow")
     q = sub.add_parser("sql", help="run SQL over raw / staging / analytics tables")
     q.add_argument("--warehouse", required=True)
@@ -73,7 +74,7 @@ def main(argv=None) -> None:
     elif a.cmd == "ingest":
         from tillroll.streaming.ingest import start_ingest
         start_ingest(spark, a.source, a.warehouse, available_now=not a.continuous,
-                     stage=a.stage).awaitTermination()
+                     stage=a.stage, kpis=a.kpis).awaitTermination()
     else:
         from tillroll.plans.pipeline import Warehouse
         from tillroll.sources.catalog import register_layers

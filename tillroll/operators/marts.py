@@ -24,10 +24,13 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tillroll.functions.dates import calendar_columns, date_key
 from tillroll.functions.text import product_label
-from tillroll.schemas import TOTAL
+from tillroll.operators.star import fact_eligible
+from tillroll.schemas import DIM_DATE_SCHEMA, TOTAL
 
 TOP_K = 10
+CALENDAR = DIM_DATE_SCHEMA.fieldNames()[2:]
 # Placeholder for a product without a usable name; labels of
 # the revenue breakdown rows.
 NO_DESCRIPTION = "[No Description]"
@@ -88,7 +91,8 @@ def revenue_by_country(fact: DataFrame, dim_country: DataFrame) -> DataFrame:
 
 def avg_order_value(fact: DataFrame) -> DataFrame:
     """SUM(total_price) / COUNT(DISTINCT invoice), exact decimal division;
-    NULL instead of a division error when there is no invoice."""
+    NULL instead of a division error when there is no invoice. Runs on the
+    fact or on ``invoice_rollup``."""
     return fact.agg(
         _r2(F.try_divide(F.sum("total_price"), F.count_distinct("invoice"))).alias("avg_order_value"))
 
@@ -110,27 +114,38 @@ def revenue_by_week(fact: DataFrame, dim_date: DataFrame) -> DataFrame:
 # ---------------------------------------------------------------- KPI export
 
 
-def daily_country_rollup(fact: DataFrame) -> DataFrame:
+def _split_sums() -> list:
+    tp, q = F.col("total_price"), F.col("quantity")
+    return [F.sum("total_price").alias("total_price"), F.count(F.lit(1)).cast("long").alias("n_lines"),
+            _sum_when(tp > 0).alias("gross_revenue"), _sum_when(tp < 0).alias("returns_revenue"),
+            _sum_when(q > 0).alias("gross_sales_by_qty"), _sum_when(q < 0).alias("returns_by_qty")]
+
+
+def invoice_rollup(fact: DataFrame, by: tuple[str, ...] = ("date_key", "country_id")) -> DataFrame:
+    """One row per (day, country, invoice): net revenue under the fact's column
+    name, line count, and the sign splits of the rollup.
+
+    Whatever needs distinct invoices (orders by day and country, orders by
+    day, order value) counts rows or names here instead of shuffling lines
+    again. Lines reach the shuffle as partial sums, so a hot day is spread
+    over its invoices and a hot invoice is one row per task.
+    """
+    return fact.groupBy(*by, "invoice").agg(*_split_sums())
+
+
+def daily_country_rollup(fact: DataFrame, by: tuple[str, ...] = ("date_key", "country_id")) -> DataFrame:
     """One row per (date_key, country_id): net revenue under the fact's own
     column name ``total_price`` (so every mart that only sums total_price by
     day and/or country runs unchanged on this table instead of the fact),
     line count, distinct invoices, and the sign splits the KPI export and
-    the revenue breakdown need.
-
-    The distinct count is planned as partial aggregates keyed on
-    (date_key, country_id, invoice), so a hot day/country is spread over
-    invoices before the final merge.
+    the revenue breakdown need. Runs on the fact or on ``invoice_rollup``;
+    a NULL invoice is no order.
     """
-    tp, q = F.col("total_price"), F.col("quantity")
-    return fact.groupBy("date_key", "country_id").agg(
-        F.sum("total_price").alias("total_price"),
-        F.count(F.lit(1)).cast("long").alias("n_lines"),
-        F.count_distinct("invoice").alias("daily_orders"),
-        _sum_when(tp > 0).alias("gross_revenue"),
-        _sum_when(tp < 0).alias("returns_revenue"),
-        _sum_when(q > 0).alias("gross_sales_by_qty"),
-        _sum_when(q < 0).alias("returns_by_qty"),
-    )
+    if "n_lines" not in fact.columns:
+        fact = invoice_rollup(fact, by)
+    sums = [F.sum(c).cast(fact.schema[c].dataType).alias(c)
+            for c in ("total_price", "n_lines", "gross_revenue", "returns_revenue", "gross_sales_by_qty", "returns_by_qty")]
+    return fact.groupBy(*by).agg(*sums[:2], F.count("invoice").alias("daily_orders"), *sums[2:])
 
 
 def kpis_from_rollup(rollup: DataFrame, dim_date: DataFrame, dim_country: DataFrame) -> DataFrame:
@@ -149,6 +164,25 @@ def daily_kpis(fact: DataFrame, dim_date: DataFrame, dim_country: DataFrame) ->
     return kpis_from_rollup(daily_country_rollup(fact), dim_date, dim_country)
 
 
+def daily_kpis_of_lines(staging: DataFrame) -> DataFrame:
+    """The daily KPIs straight from staged lines, with ``date_key`` first.
+
+    The rows of a day follow from that day's lines alone (no numbered
+    country, no dimension over all of staging), so single days can be made
+    anew (``Warehouse.refresh_daily_kpis``).
+    """
+    lines = fact_eligible(staging).select(
+        date_key(F.col("invoicedate")).alias("date_key"), F.trim("country").alias("country"),
+        "invoice", "quantity", "total_price")
+    key = F.col("date_key")
+    days = daily_country_rollup(lines, ("date_key", "country")).withColumn(
+        "full_date", F.make_date(F.floor(key / 10000).cast("int"), F.floor(key / 100).cast("int") % 100, key % 100))
+    calendar = {c: col for c, col in zip(CALENDAR, calendar_columns(F.col("full_date")))}
+    return days.select("date_key", "full_date", *[calendar[c] for c in ("year", "month", "month_name")], "country",
+                       "daily_orders", "gross_revenue", "returns_revenue", F.col("total_price").alias("net_revenue"),
+                       F.when(calendar["quarter"] == 4, 1).otherwise(0).cast("int").alias("is_q4"))
+
+
 # ---------------------------------------------------------------- figure feeds
 
 

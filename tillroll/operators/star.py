@@ -109,6 +109,12 @@ class Star:
     # day x country rollup of the fact (see marts.daily_country_rollup);
     # written by the pipeline, None when the star is computed on the fly
     daily: DataFrame | None = None
+    # day x country x invoice rollup (see marts.invoice_rollup), likewise
+    invoices: DataFrame | None = None
+
+    def order_source(self) -> DataFrame:
+        """What a mart with distinct invoices should scan."""
+        return self.invoices if self.invoices is not None else self.fact
 
     def revenue_source(self) -> DataFrame:
         """What a revenue-by-day/country mart should scan: the rollup when

@@ -92,7 +92,7 @@ def daily_return_rate(fact: DataFrame, dim_date: DataFrame) -> DataFrame:
 def q4_daily_dataset(fact: DataFrame, dim_date: DataFrame) -> DataFrame:
     """order_date, daily_revenue, daily_orders (distinct invoices,
     cancellations included), is_q4. NULL revenue -> 0, as the source's
-    ``fillna(0)``."""
+    ``fillna(0)``. Runs on the fact or on ``marts.invoice_rollup``."""
     per_day = fact.groupBy("date_key").agg(
         F.sum("total_price").alias("daily_revenue"),
         F.count_distinct("invoice").alias("daily_orders"))

@@ -17,8 +17,12 @@ Storage layout under ``root`` (Parquet). Every layer has a log of commits
   of rule starts a new generation, and the old one is read until it is whole.
 * ``analytics``: star schema builds, each in a folder of its own; the fact is
   partitioned by ``date_month`` and sorted by (date_key, invoice_ts) inside
-  partitions. With the star comes ``agg_daily_country`` (day x country rollup).
+  partitions. With the star come ``agg_invoice`` (day x country x invoice) and
+  ``agg_daily_country`` (day x country), rolled up from it.
   A build's entry comes after all its tables, so readers never see half a model.
+* ``serving/daily_kpis``: the KPIs kept up to staging by day. A step holds the
+  days that new batches have lines of, made anew from all their lines; readers
+  take each day from the last step that has it.
 * ``outputs/figures``: the five feeds of one version and the change gate's
   state, switched by one entry.
 
@@ -32,6 +36,7 @@ import datetime as _dt
 import re
 import uuid
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -42,7 +47,7 @@ from tillroll.operators.keys import row_numbers
 from tillroll.operators.staging import rule_name, staging_clean
 from tillroll.operators.star import (Star, dim_country, dim_customer, dim_date, dim_product,
                                      fact_sales)
-from tillroll.schemas import (CSV_SCHEMA, FACT_TABLE_SCHEMA, RAW_COLUMNS, RAW_TABLE_SCHEMA, STAGING_COLUMNS,
+from tillroll.schemas import (CSV_SCHEMA, FACT_TABLE_SCHEMA, KPI_SCHEMA, RAW_COLUMNS, RAW_TABLE_SCHEMA, STAGING_COLUMNS,
                               STAGING_TABLE_SCHEMA)
 from tillroll.session import scratch_root
 from tillroll.sources import publish, state, storage
@@ -51,6 +56,9 @@ from tillroll.sources.storage import CommitConflict, CommitLog
 RAW_TABLE = "raw/online_retail"
 STAGING_TABLE = "staging/online_retail_clean"
 STAR_TABLES = "analytics"
+KPI_TABLE = "serving/daily_kpis"
+# so many refreshed steps, and all days are made anew
+KPI_STEPS = 64
 # a sync that finds another batch committed meanwhile starts over so often
 SYNC_TRIES = 5
 
@@ -175,9 +183,11 @@ class Warehouse:
         return [e for e in entries if e["generation"] == entries[-1]["generation"]]
 
     def staging(self) -> DataFrame:
-        folders = [e["folder"] for e in self.staged() if e["rows"]]
-        return storage.read_folders(self.spark, self.path(STAGING_TABLE), folders,
-                                    STAGING_TABLE_SCHEMA).select(*STAGING_COLUMNS)
+        return self._staging_of(self.staged()).select(*STAGING_COLUMNS)
+
+    def _staging_of(self, ledger: list[dict]) -> DataFrame:
+        folders = [e["folder"] for e in ledger if e["rows"]]
+        return storage.read_folders(self.spark, self.path(STAGING_TABLE), folders, STAGING_TABLE_SCHEMA)
 
     def stage_missing(self, keep_null_description: bool = False) -> int:
         """Stage the raw batches that staging doesn't have; returns the lines added.
@@ -280,9 +290,13 @@ class Warehouse:
         (fact.withColumn("date_month", date_key_month(F.col("date_key")))
          .sortWithinPartitions("date_month", "date_key", "invoice_ts")
          .write.mode("overwrite").partitionBy("date_month").parquet(f"{base}/fact_sales"))
-        # the day x country rollup: one more scan of the written fact, after
-        # which the revenue marts and the KPI export never touch the fact
-        (marts.daily_country_rollup(self.spark.read.schema(FACT_TABLE_SCHEMA).parquet(f"{base}/fact_sales"))
+        # the rollups: one more scan and one shuffle of the written fact to
+        # (day, country, invoice), and from that table to (day, country);
+        # revenue marts, the KPI export, order value and the regression
+        # dataset never touch the fact
+        (marts.invoice_rollup(self.spark.read.schema(FACT_TABLE_SCHEMA).parquet(f"{base}/fact_sales"))
+         .write.mode("overwrite").parquet(f"{base}/agg_invoice"))
+        (marts.daily_country_rollup(self.spark.read.parquet(f"{base}/agg_invoice"))
          .write.mode("overwrite").parquet(f"{base}/agg_daily_country"))
 
     def star(self, version: int | None = None) -> Star:
@@ -291,7 +305,80 @@ class Warehouse:
         fact = self.spark.read.schema(FACT_TABLE_SCHEMA).parquet(f"{base}/fact_sales")
         return Star(fact=fact, dim_date=r(f"{base}/dim_date"),
                     dim_country=r(f"{base}/dim_country"), dim_product=r(f"{base}/dim_product"),
-                    dim_customer=r(f"{base}/dim_customer"), daily=r(f"{base}/agg_daily_country"))
+                    dim_customer=r(f"{base}/dim_customer"), daily=r(f"{base}/agg_daily_country"),
+                    # builds made before this table existed don't have it
+                    invoices=r(f"{base}/agg_invoice") if storage.names(self.spark, f"{base}/agg_invoice") else None)
+
+    # ------------------------------------------------------------ daily KPIs by day
+
+    def kpi_steps(self) -> list[dict]:
+        """Entries since the last refresh of all days, oldest first."""
+        entries = self.log(KPI_TABLE).entries()
+        whole = max((i for i, e in enumerate(entries) if e["days"] is None), default=0)
+        return entries[whole:]
+
+    def daily_kpis(self) -> DataFrame:
+        """The refreshed KPIs: each day as the last step that made it has it."""
+        steps, seen, parts = self.kpi_steps(), set(), []
+        for e in reversed(steps):
+            own = None if e["days"] is None else sorted(set(e["days"]) - seen)
+            if own == []:  # a step without days has no folder
+                continue
+            step = storage.read_folders(self.spark, self.path(KPI_TABLE), [e["folder"]], KPI_SCHEMA)
+            if own:
+                parts.append(step.where(F.col("date_key").isin(own)))
+                seen.update(own)
+            else:
+                parts.append(step.where(~F.col("date_key").isin(sorted(seen))) if seen else step)
+        out = reduce(DataFrame.unionAll, parts) if parts else self.spark.createDataFrame([], KPI_SCHEMA)
+        return out.drop("date_key")
+
+    def refresh_daily_kpis(self) -> int:
+        """Make the KPIs of the days anew that the staged batches since the
+        last refresh have lines of; how many days (-1: all of them).
+
+        The entry names the batches, so a run that died, or batches staged by
+        another route, are caught up with by the next call. A new generation of
+        staging, or ``KPI_STEPS`` steps, make all days anew."""
+        ledger, steps = self.staged(), self.kpi_steps()
+        if not ledger:
+            return 0
+        after = self.log(KPI_TABLE).version()
+        if steps and steps[-1]["version"] != after:
+            raise CommitConflict(f"{KPI_TABLE}: version {after} was committed by another run")
+        generation, batches = ledger[-1]["generation"], {b for e in ledger for b in e["batches"]}
+        staging = self._staging_of(ledger)
+        days = None
+        if steps and steps[0]["generation"] == generation and len(steps) < KPI_STEPS:
+            new = batches - {b for e in steps for b in e["batches"]}
+            if not new:
+                return 0
+            # the days of the new lines: bounded by the calendar
+            found = (self._staging_of([e for e in ledger if new & set(e["batches"])]).where(F.col("load_batch").isin(sorted(new)))
+                     .select(F.to_date("invoicedate").alias("day")).distinct().dropna().collect())
+            dates = sorted(r["day"] for r in found)
+            days = [d.year * 10000 + d.month * 100 + d.day for d in dates]
+            if days:  # a range the scan can skip files and row groups by, then the days
+                staging = staging.where(
+                    (F.col("invoicedate") >= F.lit(dates[0]).cast("timestamp_ntz"))
+                    & (F.col("invoicedate") < F.lit(dates[-1] + _dt.timedelta(days=1)).cast("timestamp_ntz"))
+                    & F.to_date("invoicedate").isin(dates))
+            batches = new
+        folder = f"step={uuid.uuid4().hex[:12]}"
+        if days is None or days:
+            marts.daily_kpis_of_lines(staging).select(*KPI_SCHEMA.fieldNames()).write.parquet(self.path(f"{KPI_TABLE}/{folder}"))
+        entry = {"generation": generation, "folder": folder, "batches": sorted(batches), "days": days}
+        try:
+            self.log(KPI_TABLE).commit(entry, after=after)
+        except CommitConflict:
+            storage.remove(self.spark, self.path(f"{KPI_TABLE}/{folder}"))
+            raise
+        if days is None:  # readers may still be in the steps up to now, but in none before
+            kept = {e["folder"] for e in [*steps, entry]}
+            for old in storage.names(self.spark, self.path(KPI_TABLE)):
+                if old.startswith("step=") and old not in kept:
+                    storage.remove(self.spark, self.path(f"{KPI_TABLE}/{old}"))
+        return -1 if days is None else len(days)
 
 
 def run_visuals(wh: Warehouse, star: Star, out_root: str) -> dict:
@@ -348,10 +435,10 @@ def run_batch(spark: SparkSession, incoming: DataFrame, root: str,
     # than 2 days in a group, too few days for the regression) fail the run
     # only after the layers, exports and figure feeds are published
     # the daily dataset (one row per trading day) needs per-day distinct
-    # invoices, so it comes from the fact: computed once, written, and the
-    # CSV export and both regression outputs read the written copy
+    # invoices, so it comes from the invoice rollup: computed once, written,
+    # and the CSV export and both regression outputs read the written copy
     ds_path = f"{exports}/modeling/q4_regression_dataset_daily_parquet"
-    stats.q4_daily_dataset(star.fact, star.dim_date).write.mode("overwrite").parquet(ds_path)
+    stats.q4_daily_dataset(star.order_source(), star.dim_date).write.mode("overwrite").parquet(ds_path)
     ds = spark.read.parquet(ds_path).orderBy("order_date")
     publish.export_csv(ds, f"{exports}/modeling/q4_regression_dataset_daily")
     report = stats.q4_report(stats.daily_revenue(star.revenue_source(), star.dim_date),

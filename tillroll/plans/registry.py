@@ -163,6 +163,18 @@ def _warehouse_incremental(L: Layers) -> DataFrame:
     return wh.staging()
 
 
+def _warehouse_daily_kpis(L: Layers) -> DataFrame:
+    """The KPIs of such a warehouse, refreshed by day after each batch."""
+    second = F.lit(testdata.EXISTING_BEFORE).cast("timestamp_ntz")
+    wh = Warehouse(L.spark, L.scratch("warehouse"))
+    date, third = F.col("invoicedate"), F.pmod(F.hash("invoice"), F.lit(3)) == 0
+    for batch, lines in (("day-1", (date < second) & ~third), ("day-2", date >= second), ("day-3", F.lit(True))):
+        wh.sync_raw(L.raw.where(lines), null_safe=True, batch_id=batch)
+        wh.stage_missing()
+        wh.refresh_daily_kpis()
+    return wh.daily_kpis()
+
+
 def _publish(L: Layers) -> DataFrame:
     root = L.scratch("figures")
     return publish.publish_figure_feeds(L.spark, L.star, root, version=1)
@@ -218,6 +230,7 @@ _BUILDERS: dict[str, Callable[[Layers], DataFrame]] = {
     "sync_new_rows_null_safe": _sync_new_rows_null_safe,
     "staging_clean": lambda L: L.staging_once,
     "warehouse_incremental": _warehouse_incremental,
+    "warehouse_daily_kpis": _warehouse_daily_kpis,
     "scan_csv_fixture": lambda L: _scan_csv(L, blank_as_null=False),
     "load_blank_as_null": lambda L: _scan_csv(L, blank_as_null=True),
     # staging validation

@@ -74,6 +74,20 @@ FACT_TABLE_SCHEMA = StructType([
     StructField("date_month", IntegerType(), False),
 ])
 
+KPI_SCHEMA = StructType([
+    StructField("date_key", IntegerType(), False),
+    StructField("full_date", DateType(), False),
+    StructField("year", IntegerType(), False),
+    StructField("month", IntegerType(), False),
+    StructField("month_name", StringType(), False),
+    StructField("country", StringType(), False),
+    StructField("daily_orders", LongType(), False),
+    StructField("gross_revenue", DecimalType(24, 2), True),
+    StructField("returns_revenue", DecimalType(24, 2), True),
+    StructField("net_revenue", DecimalType(24, 2), True),
+    StructField("is_q4", IntegerType(), False),
+])
+
 # Raw and staging as the warehouse stores them: with the line's id, its month
 # (yyyyMM, 0 without a date) and the batch it came in.
 RAW_TABLE_SCHEMA = StructType([StructField("id", LongType(), False), *CSV_SCHEMA.fields,

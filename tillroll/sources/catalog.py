@@ -58,7 +58,8 @@ def register_layers(spark: SparkSession, wh) -> None:
         return
     base = wh.star_folder()
     for name, schema in (("dim_date", DIM_DATE_SCHEMA), ("dim_country", DIM_COUNTRY_SCHEMA), ("dim_product", DIM_PRODUCT_SCHEMA),
-                         ("dim_customer", DIM_CUSTOMER_SCHEMA), ("agg_daily_country", spark.read.parquet(f"{base}/agg_daily_country").schema)):
+                         ("dim_customer", DIM_CUSTOMER_SCHEMA), *[(agg, spark.read.parquet(f"{base}/{agg}").schema) for agg in ("agg_daily_country", "agg_invoice")
+                           if storage.names(spark, f"{base}/{agg}")]):
         publish_view(spark, f"analytics.{name}", schema, [], f"{base}/{name}", [])
     at = f"{base}/fact_sales"
     months = [({"date_month": int(n.rsplit("=", 1)[1])}, f"{at}/{n}") for n in storage.names(spark, at) if "=" in n]
