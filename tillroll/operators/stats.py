@@ -44,8 +44,7 @@ REPORT_LINES = [
 
 def render_template(template: str, values: dict, lit, concat):
     """Split ``template`` into literal text and {name} slots and join them
-    with ``concat``; ``lit`` wraps literal text (works for Spark columns and
-    for SQL text alike)."""
+    with ``concat``; ``lit`` wraps literal text."""
     parts = []
     for i, piece in enumerate(re.split(r"\{(\w+)\}", template)):
         if i % 2:
