@@ -1,4 +1,5 @@
 import random
+import time
 
 import numpy as np
 import pytest
@@ -90,13 +91,48 @@ def test_suffix(spark, seed, hot):
                F.sha2("kept", 256)) == brute.suffix(rows)
 
 
-def test_previous_factor_array():
+def factors(text, at, depth):
+    """LPF by comparing every start with every earlier one."""
+    def common(i, j):
+        return next((k for k in range(min(depth, len(text) - i)) if text[i + k] != text[j + k]), min(depth, len(text) - i))
+    return [max([0, *(common(i, j) for j in at if j < i)]) for i in at]
+
+
+def test_previous_factor_array(monkeypatch):
     rng = random.Random(4)
-    for _ in range(30):
-        t = bytes(rng.choice(b"ab\0") for _ in range(rng.randrange(1, 40)))
-        want = [max([0, *(next((k for k in range(len(t) - i) if t[i + k] != t[j + k]), len(t) - i)
-                          for j in range(i))]) for i in range(len(t))]
-        assert suffix_dedup.previous_factor_array(t).tolist() == want
+    for turn in range(60):
+        monkeypatch.setattr(suffix_dedup, "JUMPS", turn % 3 * 8)
+        t = bytes(rng.choice(b"ab\0" if turn % 2 else b"abc") for _ in range(rng.randrange(1, 80)))
+        if turn % 5 == 0:
+            t = b"abc" * (len(t) // 3 + 1) + t[:5]
+        a = np.frombuffer(t, np.uint8)
+        if 0 not in t:
+            whole = np.arange(len(t))
+            assert suffix_dedup.previous_factor_array(a, whole, len(t)).tolist() == factors(t, whole.tolist(), len(t))
+        depth = rng.randrange(1, len(t) + 1)
+        some = np.array(sorted(rng.sample(range(len(t)), rng.randrange(1, len(t) + 1))))
+        some = some[some <= len(t) - depth]
+        assert suffix_dedup.previous_factor_array(a, some, depth).tolist() == factors(t, some.tolist(), depth)
+
+
+def test_previous_factors_of_long_ascents_take_linear_time():
+    n = 60_000  # ascents that a jump at a time would walk again and again
+    place = np.concatenate([np.arange(1, n) * 2, np.arange(n)[::-1] * 2 + 1, [0]])
+    common = np.ones(len(place), np.int64)
+    common[0] = 0
+    begin = time.perf_counter()
+    factor = suffix_dedup.previous_factors(place, common, 100)
+    assert time.perf_counter() - begin < 5
+    assert (factor == (place > 0)).all()
+
+
+def test_stretches_with_equal_digests_are_compared():
+    text = b"abcabdabc"
+    same = np.zeros(3, np.uint64)
+    begin = np.array([0, 3, 6])
+    order = np.arange(3)
+    assert suffix_dedup.later_stretches(same, same, order, text, begin, begin + 3).tolist() == [False, False, False]
+    assert suffix_dedup.later_stretches(same, same, np.array([0, 2, 1]), text, begin, begin + 3).tolist() == [False, False, True]
 
 
 def test_suffix_ranks_follow_suffix_order():

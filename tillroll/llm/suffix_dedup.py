@@ -1,4 +1,4 @@
-"""Deduplication over bytes by suffix order in buckets, and by fingerprints.
+"""Deduplication over bytes by longest-previous-factor arrays, in buckets.
 
 A byte goes if a string of ``length`` bytes over it also starts earlier: in
 terms of the longest-previous-factor array (LPF), if a start at most
@@ -7,14 +7,16 @@ terms of the longest-previous-factor array (LPF), if a start at most
 Strings that can't repeat are left out first: each half of a window has a
 rarest gram (a minimizer), and a window repeats only if both halves' grams
 do. The windows left go, as stretches that share their minimizer, to the
-bucket of that minimizer, so all copies of a string meet. There a suffix array
-to depth ``length`` is built by prefix doubling; starts with one rank stand
-side by side in suffix order, and the one before in (document, position) is
-the previous smaller position that would give the LPF; no LPF value is formed.
-Minimizers met in more than ``hot_blocks`` blocks are split further: their
-windows are dealt one by one by fingerprint, each once a block. These (96 bits
-of a mixed pairwise hash), equal stretches and equal documents (96 and 128 bits
-of BLAKE2b) are settled by fingerprint, not by the suffix array.
+bucket of that minimizer, so all copies of a string meet. A minimizer met in
+more than ``hot_blocks`` blocks is dealt on by both halves' minimizers; what
+follows is the same. In a bucket, stretches with the bytes of an earlier one
+go first (found by digest, compared as bytes, as each block does with its own).
+The rest is put in suffix order to depth ``length``; previous and next smaller
+positions in that order and the common prefixes with them give the LPF of
+every start, and starts with ``length`` or more are the repeats.
+
+Only equal documents are told by a print alone (128 bits of BLAKE2b): their
+bytes never meet in one place.
 """
 
 from __future__ import annotations
@@ -25,13 +27,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tillroll.llm.blocks import NULL_ID, arrays, ask, build_blocks, buckets_of, over_blocks, split_by_bucket, with_answers
-from tillroll.llm.common import byte_window_prints, digests
-from tillroll.llm.substring_dedup import BYTE, CHECK, U, WORD, later_ones, span_prints
+from tillroll.llm.common import digests, mix64
+from tillroll.llm.substring_dedup import BYTE, U, later_ones, span_prints
 
 LENGTH, GRAM, HOT_BLOCKS, BUCKETS_PER_PARTITION = 100, 32, 256, 4
 #: A bucket is put in suffix order in parts of about so many bytes.
 RANKED_BYTES = 512 << 10
 NEVER = np.iinfo(np.uint64).max
+#: Rounds in which all open positions jump at once, before the few left walk one by one.
+JUMPS = 16
 
 
 def sliding(values: np.ndarray, width: int, pick) -> np.ndarray:
@@ -87,39 +91,98 @@ def suffix_ranks(text: np.ndarray, depth: int, at: np.ndarray) -> np.ndarray:
     return rank[at]
 
 
-def previous_factor_array(text: bytes) -> np.ndarray:
-    """LPF of one text: from the suffix array and its common prefixes, by previous and next smaller positions."""
-    a = np.frombuffer(text, np.uint8)
-    n = len(a)
-    if not n:
-        return np.zeros(0, np.int64)
-    order = np.argsort(suffix_ranks(a, n, np.arange(n)), kind="stable").tolist()
-    place = [0] * n
-    for r, p in enumerate(order):
-        place[p] = r
-    common, h = [0] * n, 0  # with the suffix before in order
-    for p in range(n):
-        if place[p]:
-            q = order[place[p] - 1]
-            while p + h < n and q + h < n and text[p + h] == text[q + h]:
-                h += 1
-            common[place[p]] = h
-            h = max(0, h - 1)
-        else:
-            h = 0
-    out = np.zeros(n, np.int64)
+def common_prefixes(text: np.ndarray, at: np.ndarray, depth: int, alike: np.ndarray | None = None) -> np.ndarray:
+    """Bytes, up to ``depth``, that each suffix of ``at`` shares with the one before it; ``alike`` ones share all."""
+    n = len(text)
+    padded = np.concatenate([text, np.zeros(depth + 16, np.uint8)])
+    wide = np.ndarray((len(padded) - 7,), ">u8", padded, strides=(1,))
+    own, before = at[1:], at[:-1]
+    out = np.zeros(len(at), np.int64)
+    limit = np.minimum(depth, n - np.maximum(own, before))
+    out[1:] = limit
+    left = np.arange(len(own)) if alike is None else np.flatnonzero(~alike[1:])
+    sizes = U(1) << (U(8) * np.arange(8, dtype=U))
+    for width in range(0, depth, 8):
+        if not len(left):
+            break
+        differ = wide[own[left] + width].astype(U) ^ wide[before[left] + width].astype(U)
+        end = left[differ != 0]
+        out[1 + end] = np.minimum(limit[end], width + 8 - np.searchsorted(sizes, differ[differ != 0], side="right"))
+        left = left[differ == 0]
+        left = left[limit[left] > width + 8]
+    return out
+
+
+def previous_factors(place: np.ndarray, common: np.ndarray, depth: int) -> np.ndarray:
+    """Longest-previous-factor values, up to ``depth``, of suffixes in their order.
+
+    ``place`` says where they start and ``common`` what each shares with the
+    one before. Suffixes alike to the depth stand in the order of their places:
+    each has a previous smaller position right before it, but for the first.
+    For these, the nearest smaller positions before and after are looked for by
+    jumps along those found so far; the smallest common prefix on the way is
+    shared with them. After ``JUMPS`` rounds the few still open walk one by one,
+    linear in all.
+    """
+    out = np.full(len(place), depth, np.int64)
+    first = np.flatnonzero(common < depth)
+    place, common = place[first], common[first]
+    factor = np.zeros(len(first), np.int64)
     for way in (1, -1):
-        stack: list[tuple[int, int]] = []  # position, common prefix with the one below
-        for r in (range(n) if way == 1 else range(n - 1, -1, -1)):
-            near = (common[r] if way == 1 else common[r + 1] if r + 1 < n else 0)
-            while stack and stack[-1][0] > order[r]:
-                near = min(near, stack.pop()[1])
-            if stack:
-                out[order[r]] = max(out[order[r]], near)
-            stack.append((order[r], near))
+        p = place[::way]
+        near = common if way == 1 else np.concatenate([[0], common[:0:-1]])
+        to, low = np.arange(-1, len(p) - 1), near.copy()
+        still = np.arange(1, len(p))
+        for _ in range(JUMPS):
+            still = still[to[still] >= 0]
+            still = still[p[to[still]] > p[still]]
+            if not len(still):
+                break
+            j = to[still]
+            low[still], to[still] = np.minimum(low[still], low[j]), to[j]
+        # from the neighbour on, in order: what one walk has passed, no later one meets
+        for i in still.tolist():
+            j, least, own = i - 1, near[i], p[i]
+            while j >= 0 and p[j] > own:
+                j, least = int(to[j]), min(least, low[j])
+            to[i], low[i] = j, least
+        low[to < 0] = 0
+        factor = np.maximum(factor, low[::way])
+    out[first] = factor
+    return out
+
+
+def previous_factor_array(text: np.ndarray, at: np.ndarray, depth: int) -> np.ndarray:
+    """LPF, up to ``depth``, of the suffixes that start at ``at`` (ascending), among themselves.
+
+    Each has ``depth`` bytes left, or the text has no zero byte (the text's end counts as zeros).
+    """
+    rank = suffix_ranks(text, depth, at)
+    order = np.argsort(rank, kind="stable")  # alike ones in the order of their places
+    rank = rank[order]
+    alike = np.zeros(len(at), bool)
+    alike[1:] = rank[1:] == rank[:-1]
+    out = np.empty(len(at), np.int64)
+    out[order] = previous_factors(order, common_prefixes(text, at[order], depth, alike), depth)
     return out
 
 
+def later_stretches(one: np.ndarray, two: np.ndarray, order: np.ndarray, text: bytes, begin: np.ndarray,
+                    end: np.ndarray) -> np.ndarray:
+    """True where the stretch text[begin:end] has the bytes of the one before it in ``order``.
+
+    ``order`` has equal digests (one, two) side by side, the earliest first;
+    only those are compared.
+    """
+    a, b = one[order], two[order]
+    at = np.flatnonzero((a[1:] == a[:-1]) & (b[1:] == b[:-1]))
+    own, before = order[at + 1], order[at]
+    again = np.zeros(len(one), bool)
+    again[own] = [text[i:j] == text[x:y] for i, j, x, y in
+                  zip(begin[own].tolist(), end[own].tolist(), begin[before].tolist(), end[before].tolist())]
+    return again
+
+
 class Grams:
     """Gram fingerprints of a block and the windows' minimizers."""
 
@@ -238,55 +301,32 @@ def _ask_windows(length: int, gram: int, gram_buckets: int, buckets: int):
             asked &= part[:m] & part[g.shift:g.shift + m]
         else:
             asked[:] = False
-        best = np.minimum(g.part[:m], g.part[g.shift:g.shift + m])
+        key = np.minimum(g.part[:m], g.part[g.shift:g.shift + m])
+        if hot.any():
+            at = np.flatnonzero(asked)
+            at = at[hot[g.place(key[at])]]
+            other = np.maximum(g.part[at], g.part[g.shift + at])
+            key[at] = mix64(key[at] * U(0x9E3779B97F4A7C15) + other)
         apart = np.zeros(m, bool)
-        apart[1:] = best[1:] != best[:-1]
-        first, last = _runs(asked, apart)
-        doc = np.searchsorted(g.limit, first, side="right") - 1
-        burning = hot[g.place(best[first])] if len(first) else np.zeros(0, bool)
+        apart[1:] = key[1:] != key[:-1]
+        f, e = _runs(asked, apart)
+        d = np.searchsorted(g.limit, f, side="right") - 1
         text = block["text"]
-        rows, settled = [], []
-
-        def settle(first: np.ndarray, last: np.ndarray, one: np.ndarray, two: np.ndarray) -> tuple:
-            """The block's own later copies are settled here; each string goes out once."""
-            order = np.lexsort((two, one))  # equal ones stay in the order of their places
-            again = np.zeros(len(first), bool)
-            a, b = one[order], two[order]
-            again[order[1:]] = (a[1:] == a[:-1]) & (b[1:] == b[:-1])
-            settled.append(np.stack([first[again], last[again] - first[again] + 1]).astype(np.uint32))
-            return ~again
-
-        # stretches, to the bucket of their minimizer
-        f, e, d = first[~burning], last[~burning], doc[~burning]
         one, two = digests(text[x:y + length] for x, y in zip(f.tolist(), e.tolist()))
         two &= U(0xFFFFFFFF)
-        new = settle(f, e, one, two)
-        f, e, d, one, two = f[new], e[new], d[new], one[new], two[new]
-        order, met, slices = split_by_bucket(best[f], buckets)
+        # the block's own later copies are settled here; each string goes out once
+        again = later_stretches(one, two, np.lexsort((two, one)), text, f, e + length)
+        done = np.stack([f[again], e[again] - f[again] + 1]).astype(np.uint32)
+        f, e, d, one, two = f[~again], e[~again], d[~again], one[~again], two[~again]
+        rows = []
+        order, met, slices = split_by_bucket(key[f], buckets)
         for b, s in zip(met.tolist(), slices):
             o = order[s]
             rows.append((b, block["block"], one[o].tobytes(), two[o].astype(np.uint32).tobytes(),
                          ids[d[o]].tobytes(), f[o].astype(np.uint32).tobytes(),
                          (e[o] - f[o] + 1).astype(np.uint32).tobytes(),
                          b"".join([text[x:y + length] for x, y in zip(f[o].tolist(), e[o].tolist())]),
-                         (best[f[o]] >> U(8)).astype(np.uint8).tobytes()))
-        # windows of hot minimizers, one by one
-        f, n, d = first[burning], (last - first + 1)[burning], doc[burning]
-        each = np.repeat(f - np.cumsum(n) + n, n) + np.arange(int(n.sum()))
-        d = np.repeat(d, n)
-        if len(each):
-            one, two = (p[each] for p in byte_window_prints(g.a, length, (WORD, CHECK)))
-        else:
-            one = two = np.zeros(0, U)
-        two = two & U(0xFFFFFFFF)
-        new = settle(each, each, one, two)
-        each, d, one, two = each[new], d[new], one[new], two[new]
-        order, met, slices = split_by_bucket(one, buckets)
-        for b, s in zip(met.tolist(), slices):
-            o = order[s]
-            rows.append((b, block["block"], one[o].tobytes(), two[o].astype(np.uint32).tobytes(),
-                         ids[d[o]].tobytes(), each[o].astype(np.uint32).tobytes(), b"", b"", b""))
-        done = np.concatenate(settled, axis=1)
+                         (key[f[o]] >> U(8)).astype(np.uint8).tobytes()))
         rows.append((-1 - block["block"], block["block"], b"", np.flatnonzero(copies).astype(np.int32).tobytes(),
                      b"", done[0].tobytes(), done[1].tobytes(), b"", b""))
         return rows
@@ -305,11 +345,7 @@ def _answer_windows(length: int):
         text = text[np.repeat(begin - np.cumsum(sizes) + sizes, sizes) + np.arange(int(sizes.sum()))]
         place = np.cumsum(sizes) - sizes
         start = np.repeat(place - np.cumsum(runs) + runs, runs) + np.arange(int(runs.sum()))
-        rank = suffix_ranks(text, length, start)
-        # side by side in suffix order, earlier first: the neighbour before is the previous smaller position
-        order = np.argsort(rank, kind="stable")
-        known = np.zeros(len(start), bool)
-        known[order[1:]] = rank[order[1:]] == rank[order[:-1]]
+        known = previous_factor_array(text, start, length) >= length
         stretch = np.repeat(np.arange(len(runs)), runs)
         apart = np.zeros(len(start), bool)
         apart[1:] = stretch[1:] != stretch[:-1]
@@ -329,22 +365,15 @@ def _answer_windows(length: int):
             for k, o in zip(met, np.split(order, cut[1:])):
                 out.append((int(blocks[k]), at[o].astype(np.uint32).tobytes(), n[o].astype(np.uint32).tobytes(), b""))
 
-        alone = rows[(rows["text"].str.len() == 0)]
-        if len(alone):
-            one, two, doc, at, source = columns(alone)
-            later = later_ones(one, two, doc, source, at)
-            answer(alone["block"].to_numpy(), source[later], at[later], np.ones(int(later.sum())))
-        rows = rows[rows["text"].str.len() > 0]
-        if not len(rows):
-            return out
         blocks = rows["block"].to_numpy()
         one, two, doc, at, source = columns(rows)
         runs = np.concatenate([np.frombuffer(x, np.uint32) for x in rows["runs"]]).astype(np.int64)
-        later = later_ones(one, two, doc, source, at)  # equal stretches
-        answer(blocks, source[later], at[later], runs[later])
-        text = np.frombuffer(b"".join(rows["text"]), np.uint8)
         sizes = runs + length - 1
         begin = np.cumsum(sizes) - sizes
+        joined = b"".join(rows["text"])
+        text = np.frombuffer(joined, np.uint8)
+        later = later_stretches(one, two, np.lexsort((at, source, doc, two, one)), joined, begin, begin + sizes)
+        answer(blocks, source[later], at[later], runs[later])
         # copies of a string share their minimizer, so a bucket is ranked in parts of bounded size by its bits
         parts = min(256, 1 + len(text) // RANKED_BYTES)
         part = np.concatenate([np.frombuffer(x, np.uint8) for x in rows["part"]]) % parts
