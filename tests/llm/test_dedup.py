@@ -252,12 +252,10 @@ def test_structured_texts(spark):
     assert got(near_dedup.near_dedup(frame(spark, rows)), "doc_id", "n_shingles", "component_id", "kept") == brute.near(rows)
 
 
-@pytest.mark.parametrize("bytewise", [False, True])
-def test_window_prints_tell_windows_apart(bytewise):
-    values = np.array([b for t in structured_pairs() for b in t[1].encode()], np.uint8 if bytewise else np.uint64)
+def test_window_prints_tell_windows_apart():
+    values = np.array([b for t in structured_pairs() for b in t[1].encode()], np.uint64)
     for width in (1, 2, 3, 8, 9, 20, 31, 100, 127, 128):
-        prints = (common.byte_window_prints(values, width, (np.uint64(7),))[0] if bytewise
-                  else common.window_prints(values, width, np.uint64(7)))
+        prints = common.window_prints(values, width, np.uint64(7))
         windows = {}
         for k, p in enumerate(prints.tolist()):
             windows.setdefault(p, set()).add(values[k:k + width].tobytes())
@@ -265,4 +263,3 @@ def test_window_prints_tell_windows_apart(bytewise):
         assert all(len(w) == 1 for w in windows.values())
         assert len(windows) == len({values[k:k + width].tobytes() for k in range(len(prints))})
     assert len(common.window_prints(values[:5].astype(np.uint64), 20, np.uint64(1))) == 0
-    assert len(common.byte_window_prints(values[:5].astype(np.uint8), 20, (np.uint64(1),))[0]) == 0

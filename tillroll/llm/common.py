@@ -107,27 +107,6 @@ def window_prints(values: np.ndarray, width: int, key: np.uint64) -> np.ndarray:
     return out[:n] if out is not None and have == width else np.zeros(0, np.uint64)
 
 
-def byte_window_prints(text: np.ndarray, width: int, keys: tuple[np.uint64, ...]) -> list[np.ndarray]:
-    """Fingerprints of every ``width`` neighbouring bytes, one array for each key.
-
-    Eight bytes are read as one number, then neighbours paired as in
-    ``window_prints``; two overlapping blocks cover a window.
-    """
-    if width < 8:
-        return [window_prints(text.astype(np.uint64), width, key) for key in keys]
-    n = max(0, len(text) - width + 1)
-    if not n:
-        return [np.zeros(0, np.uint64) for _ in keys]
-    odd, turn = np.uint64(0x9E3779B97F4A7C15), np.uint64(29)
-    table, size = mix64(np.ndarray((len(text) - 7,), np.uint64, np.ascontiguousarray(text), strides=(1,)).copy()), 8
-    while 2 * size <= width:
-        right = table[size:]
-        table = mix64(table[:-size] * odd + (right ^ (right >> turn)) + np.uint64(size))
-        size *= 2
-    left, right = table[:n], table[width - size:][:n]
-    return [mix64(left * (odd ^ (key << np.uint64(1))) + (right ^ (right >> turn)) + key) for key in keys]
-
-
 def held_out(doc_id: str) -> F.Column:
     """Rows that no label may be learned from: crc32 of the id as text, mod 5, is 0."""
     return F.coalesce(F.crc32(F.col(doc_id).cast("string").cast("binary")) % 5 == 0, F.lit(False))
