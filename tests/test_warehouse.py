@@ -8,7 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tillroll.operators import marts
-from tillroll.operators.keys import row_numbers
+from tillroll.operators.keys import row_numbers, slices
 from tillroll.operators.staging import staging_clean
 from tillroll.plans import pipeline
 from tillroll.plans.pipeline import RAW_TABLE, STAGING_TABLE, Warehouse, run_visuals
@@ -163,6 +163,48 @@ def test_line_ids_are_unique_and_repeatable(spark, wh):
     assert [(c["first_id"], c["next_id"]) for c in commits] == [(1, 51), (51, 111), (111, 141)]
 
 
+def test_sync_from_files_that_stay(spark, wh, tmp_path, monkeypatch):
+    """Batches picked from Parquet files are read there, not copied, and give the rows that copies of them give."""
+    path = str(tmp_path / "lines")
+    lines(spark, 0, 400).repartition(4).write.parquet(path)
+    lasting = spark.read.schema(CSV_SCHEMA).parquet(path)
+    picks = [F.col("country") == "France", F.col("quantity") > 0, F.lit(True)]
+    other = Warehouse(spark, str(tmp_path / "other"))
+    for k, pick in enumerate(picks):
+        other.sync_raw(lasting.where(pick), null_safe=True, batch_id=f"b{k}")
+
+    def no_copy(*_):
+        raise AssertionError("a landing")
+
+    with monkeypatch.context() as m:
+        m.setattr(pipeline, "scratch_root", no_copy)
+        for k, pick in enumerate(picks):
+            wh.sync_raw(lasting.where(pick), null_safe=True, batch_id=f"b{k}", landed=True)
+    assert rows(wh.raw(), ["load_batch", *RAW_COLUMNS]) == rows(other.raw(), ["load_batch", *RAW_COLUMNS])
+    ids = [r["id"] for r in wh.raw().select("id").collect()]
+    assert len(ids) == len(set(ids)) == 400 and min(ids) >= 1 and max(ids) < wh.raw_commits()[-1]["next_id"]
+
+
+def test_months_that_raw_has_not_are_not_compared(spark, wh, monkeypatch):
+    wh.sync_raw(lines(spark, 0, 60).where("month(invoicedate) <= 2"), batch_id="old")
+
+    def compared(*_, **__):
+        raise Killed
+
+    monkeypatch.setattr(pipeline.sync, "new_rows", compared)
+    later = lines(spark, 0, 60).where("month(invoicedate) > 2")
+    assert wh.sync_raw(later, batch_id="new") == later.count()
+    with pytest.raises(Killed):
+        wh.sync_raw(lines(spark, 0, 60), batch_id="both")
+
+
+def test_slices_of_days(spark):
+    counts = {None: 3, "2010-01-01": 1, "2010-01-02": 1000, "2010-01-03": 5, "2010-02-01": 5, "2010-02-02": 486}
+    days = spark.createDataFrame(list(counts.items()), "d string, n long").withColumn("d", F.to_date("d"))
+    got = slices(days, "d", 15).orderBy("d").collect()
+    assert [(r["_first"], r["_slices"]) for r in got] == [(0, 1), (0, 1), (0, 11), (10, 1), (10, 1), (10, 5)]
+
+
 def test_line_ids_follow_from_the_landed_files(spark, tmp_path):
     """A stage that runs again, over other splits and in another order of tasks, numbers every line as before."""
     path = str(tmp_path / "landed")

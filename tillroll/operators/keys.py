@@ -52,18 +52,45 @@ def dense_number(df: DataFrame, order_col: str, id_col: str, num_partitions: int
 
 
 def row_numbers(landed: DataFrame, id_col: str, first: int) -> DataFrame:
-    """``landed``, a DataFrame read straight from Parquet files, with
-    ``id_col`` = first, first + 1, ...: files in order of their names, rows in
-    the order they have in them.
+    """``landed``, a DataFrame read straight from Parquet files (with a filter
+    or none), with ``id_col`` = first, first + 1, ...: files in order of their
+    names, rows in the order they have in them. A filter leaves the numbers of
+    the lines it drops unused, up to the file's last line that it keeps.
 
     The number follows from the file and the row's place in it alone, so a task
     that runs again, or a stage after a lost executor, gives the same ones. The
     running offsets are one row for each file, broadcast behind a size check.
     """
-    files = (landed.select(F.col("_metadata.file_name").alias("_file"))
-             .groupBy("_file").agg(F.count(F.lit(1)).alias("_n")))
+    return place_rows(landed, file_offsets(landed), id_col, first)
+
+
+def file_offsets(landed: DataFrame) -> DataFrame:
+    """For each file of ``landed``: its name, the numbers it takes (``_n``) and those before it (``_off``)."""
+    files = (landed.select(F.col("_metadata.file_name").alias("_file"), F.col("_metadata.row_index").alias("_row"))
+             .groupBy("_file").agg((F.max("_row") + 1).alias("_n")))
     before = Window.orderBy("_file").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = files.select("_file", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_off"))
+    return checked_broadcast(files.select("_file", "_n", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_off")),
+                             MAX_PARTITIONS)
+
+
+def place_rows(landed: DataFrame, offsets: DataFrame, id_col: str, first: int) -> DataFrame:
+    """``row_numbers`` by offsets made before."""
     placed = landed.select("*", F.col("_metadata.file_name").alias("_file"), F.col("_metadata.row_index").alias("_row"))
-    return (placed.join(checked_broadcast(offsets, MAX_PARTITIONS), "_file")
+    return (placed.join(offsets.drop("_n"), "_file")
             .select((F.lit(first) + F.col("_off") + F.col("_row")).cast("long").alias(id_col), *landed.columns))
+
+
+def slices(counts: DataFrame, key: str, number: int) -> DataFrame:
+    """``key``, ``_first`` and ``_slices``: which of ``number`` equal slices
+    (from 0), in order of the key, hold a key's rows.
+
+    ``counts`` has a row for each key with the number ``n`` of its rows; the
+    keys must be few (calendar days). A key with more rows than a slice has
+    several for itself, and small neighbours share one.
+    """
+    upto = Window.orderBy(key).rowsBetween(Window.unboundedPreceding, 0)
+    whole = Window.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    reached = F.sum("n").over(upto)
+    placed = counts.select(key, (reached - F.col("n")).alias("_before"), (reached - 1).alias("_last"), F.sum("n").over(whole).alias("_all"))
+    first, last = (F.floor(F.col(c) * F.lit(float(number)) / F.col("_all")) for c in ("_before", "_last"))
+    return placed.select(key, first.alias("_first"), (F.least(last, F.lit(number - 1)) - first + 1).alias("_slices"))

@@ -43,7 +43,8 @@ from pyspark.sql import functions as F
 
 from tillroll.functions.dates import date_key_month
 from tillroll.operators import marts, quality, stats, sync
-from tillroll.operators.keys import row_numbers
+from tillroll.operators.joins import checked_broadcast
+from tillroll.operators.keys import file_offsets, place_rows, slices
 from tillroll.operators.staging import rule_name, staging_clean
 from tillroll.operators.star import (Star, dim_country, dim_customer, dim_date, dim_product,
                                      fact_sales)
@@ -61,6 +62,9 @@ KPI_TABLE = "serving/daily_kpis"
 KPI_STEPS = 64
 # a sync that finds another batch committed meanwhile starts over so often
 SYNC_TRIES = 5
+# lines of a batch that one slice of its days holds, at most and (to use all
+# cores for smaller batches) at least; most days told apart
+SLICE_ROWS, LEAST_ROWS, MAX_DAYS = 250_000, 5_000, 4_000_000
 
 
 @dataclass
@@ -92,14 +96,18 @@ class Warehouse:
         return df if months is None else df.where(F.col("invoice_month").isin(months))
 
     def sync_raw(self, incoming: DataFrame, null_safe: bool = False,
-                 batch_id: str | None = None) -> int:
+                 batch_id: str | None = None, landed: bool = False) -> int:
         """Append the unseen lines of ``incoming``; returns the count,
         measured on the write (the plan runs once).
 
         The batch is there from the moment its log entry is. With ``batch_id``
         the call may be repeated: a batch in the log is skipped (a replayed
         stream epoch does not append its NULL-key lines twice), one that died
-        on the way is written anew, and its leavings are removed."""
+        on the way is written anew, and its leavings are removed.
+
+        ``landed``: ``incoming`` is a scan of Parquet files that stay as they
+        are until the call returns, with a filter or none, so the batch is
+        read there and not copied first."""
         batch = batch_id or (_dt.datetime.now(_dt.timezone.utc).strftime("%Y%m%dT%H%M%S")
                              + "-" + uuid.uuid4().hex[:8])
         if not re.fullmatch(r"[A-Za-z0-9][A-Za-z0-9_.-]*", batch):
@@ -107,18 +115,19 @@ class Warehouse:
         self.last_batch_id = batch
         if any(c["batch"] == batch for c in self.raw_commits()):
             return 0
-        # The batch is read several times below (months, file offsets, keyed
+        # The batch is read several times below (days, file offsets, keyed
         # lines, NULL-key lines): land it once as Parquet in the shared scratch
         # folder, so the source (CSV) is parsed once and the later reads are
         # columnar scans. Line ids are places in the landed files.
-        landing = f"{scratch_root(self.spark)}/landing/{uuid.uuid4().hex}"
+        landing = None if landed else f"{scratch_root(self.spark)}/landing/{uuid.uuid4().hex}"
         try:
-            incoming.select(*RAW_COLUMNS).write.parquet(landing)
+            if landing:
+                incoming.select(*RAW_COLUMNS).write.parquet(landing)
             for _ in range(SYNC_TRIES):
                 commits = self.raw_commits()
                 if any(c["batch"] == batch for c in commits):
                     return 0
-                entry = self._write_batch(landing, batch, commits, null_safe)
+                entry = self._write_batch(landing or incoming, batch, commits, null_safe)
                 try:
                     self.log(RAW_TABLE).commit(entry, after=commits[-1]["version"] if commits else 0)
                 except CommitConflict:
@@ -128,42 +137,56 @@ class Warehouse:
                 return entry["rows"]
             raise CommitConflict(f"{batch}: raw changed {SYNC_TRIES} times while the batch was compared with it")
         finally:
-            storage.remove(self.spark, landing)
+            if landing:
+                storage.remove(self.spark, landing)
 
-    def _write_batch(self, landing: str, batch: str, commits: list[dict], null_safe: bool) -> dict:
+    def _write_batch(self, landing: str | DataFrame, batch: str, commits: list[dict], null_safe: bool) -> dict:
         """Write the landed lines that none of ``commits`` has, to a new folder; the batch's log entry."""
-        landed = self.spark.read.schema(CSV_SCHEMA).parquet(landing)
+        landed = self.spark.read.schema(CSV_SCHEMA).parquet(landing) if isinstance(landing, str) else landing
         # Only raw months present in the batch can hold a matching key (the key
         # contains invoicedate; a NULL date is month 0). The month list is
         # bounded by the calendar, so it comes to the driver, where it chooses
         # the batches to read, and goes into the scan as a partition filter.
-        found = landed.groupBy(sync.month_number().alias("m")).count().collect()
+        days = checked_broadcast(landed.groupBy(F.to_date("invoicedate").alias("_day")).agg(F.count(F.lit(1)).alias("n")),
+                                 MAX_DAYS)
+        found = days.groupBy(sync.month_number("_day").alias("m")).agg(F.sum("n").alias("count")).collect()
         months = sorted(r["m"] for r in found)
         first = commits[-1]["next_id"] if commits else 1
-        numbered = row_numbers(landed, "id", first)
-        existing = self._raw_of(commits, months)
-        new = sync.new_rows(numbered, existing, null_safe=null_safe, carry=("id",)) if commits else numbered
+        offsets = file_offsets(landed)
+        numbers = offsets.agg(F.sum("_n")).first()[0] or 0
+        new = place_rows(landed, offsets, "id", first)
+        sharing = [c for c in commits if c["rows"] and not set(months).isdisjoint(c["months"])]
+        if sharing:  # else no key of the batch can be in raw
+            new = sync.new_rows(new, self._raw_of(sharing, months), null_safe=null_safe, carry=("id",))
         folder = f"load_batch={batch}/attempt={uuid.uuid4().hex[:12]}"
-        rows = self._append(new, f"{RAW_TABLE}/{folder}") if found else 0
+        rows = self._append(new, days, sum(r["count"] for r in found), f"{RAW_TABLE}/{folder}") if found else 0
         return {"batch": batch, "folder": folder, "rows": rows, "months": months,
-                "first_id": first, "next_id": first + sum(r["count"] for r in found),
+                "first_id": first, "next_id": first + numbers,
                 "schema": RAW_TABLE_SCHEMA.simpleString(),
                 "committed_at": _dt.datetime.now(_dt.timezone.utc).isoformat()}
 
-    def _append(self, new: DataFrame, rel: str) -> int:
-        """Write numbered lines to a new raw folder; how many there were."""
+    def _append(self, new: DataFrame, days: DataFrame, batch_rows: int, rel: str) -> int:
+        """Write numbered lines to a new raw folder; how many there were.
+
+        ``days``: lines of the whole batch by day."""
         obs = Observation("sync_raw")
-        # range-clustered on (month, time) before the partitioned write: each
-        # task writes a contiguous time slice (few, large, time-sorted files
-        # per month folder, good min/max skipping), and a hot month is split
-        # over several writers; the line id as last range key spreads lines
-        # that share one timestamp (or are exact copies) over tasks, and is the
-        # same whenever a stage has to run again
-        # (the row count is observed above the range exchange: its sampling
-        # pass runs the plan below it and must not be counted)
-        out = (new.select("id", *RAW_COLUMNS, sync.month_number().alias("invoice_month"))
-               .repartitionByRange("invoice_month", "invoicedate", "id")
+        # clustered by slices of the batch's days before the partitioned write:
+        # a slice goes to one task and holds a contiguous stretch of days, so
+        # there are few, large, time-sorted files per month folder (good min/max
+        # skipping). No slice has more lines than its share of the batch: a day
+        # with more has several, and its lines (those that share one timestamp
+        # or are exact copies too) are dealt to them by line id, the same way
+        # whenever a stage has to run again. The days are counted on the landed
+        # batch, so the comparison with raw above runs once: a range exchange
+        # would run it once more for its sample of the new lines.
+        number = max(-(-batch_rows // SLICE_ROWS),
+                     min(int(self.spark.conf.get("spark.sql.shuffle.partitions")), -(-batch_rows // LEAST_ROWS)))
+        out = (new.select("id", *RAW_COLUMNS, sync.month_number().alias("invoice_month"), F.to_date("invoicedate").alias("_line_day"))
+               .join(F.broadcast(slices(days, "_day", number)), F.col("_line_day").eqNullSafe(F.col("_day")))
+               .withColumn("_slice", (F.col("_first") + F.pmod(F.xxhash64("id"), F.col("_slices"))).cast("int"))
+               .repartitionById(number, "_slice")
                .sortWithinPartitions("invoice_month", "invoicedate")
+               .select("id", *RAW_COLUMNS, "invoice_month")
                .observe(obs, F.count(F.lit(1)).alias("rows")))
         out.write.partitionBy("invoice_month").parquet(self.path(rel))
         return int(obs.get.get("rows", 0))

@@ -169,7 +169,7 @@ def _warehouse_daily_kpis(L: Layers) -> DataFrame:
     wh = Warehouse(L.spark, L.scratch("warehouse"))
     date, third = F.col("invoicedate"), F.pmod(F.hash("invoice"), F.lit(3)) == 0
     for batch, lines in (("day-1", (date < second) & ~third), ("day-2", date >= second), ("day-3", F.lit(True))):
-        wh.sync_raw(L.raw.where(lines), null_safe=True, batch_id=batch)
+        wh.sync_raw(L.raw.where(lines), null_safe=True, batch_id=batch, landed=True)
         wh.stage_missing()
         wh.refresh_daily_kpis()
     return wh.daily_kpis()
