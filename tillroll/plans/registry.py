@@ -155,10 +155,10 @@ def _warehouse_incremental(L: Layers) -> DataFrame:
     first, second = (F.lit(d).cast("timestamp_ntz") for d in (testdata.YEARLY_SPLIT, testdata.EXISTING_BEFORE))
     wh = Warehouse(L.spark, L.scratch("warehouse"))
     date = F.col("invoicedate")
-    wh.sync_raw(L.raw.where((date < second) | date.isNull()), null_safe=True, batch_id="day-1")
+    wh.sync_raw(L.raw.where((date < second) | date.isNull()), null_safe=True, batch_id="day-1", landed=True)
     wh.stage_missing()
-    wh.sync_raw(L.raw.where((date >= first) & (F.pmod(F.hash("invoice"), F.lit(2)) == 0)), null_safe=True, batch_id="epoch-1")
-    wh.sync_raw(L.raw, null_safe=True, batch_id="day-2")
+    wh.sync_raw(L.raw.where((date >= first) & (F.pmod(F.hash("invoice"), F.lit(2)) == 0)), null_safe=True, batch_id="epoch-1", landed=True)
+    wh.sync_raw(L.raw, null_safe=True, batch_id="day-2", landed=True)
     wh.stage_missing()
     return wh.staging()
 
