@@ -257,6 +257,33 @@ def test_token_cache_that_overflows(monkeypatch):
         assert got_ids == [plain(t, add_special_tokens=False).ids for t in texts]
 
 
+def test_tokens_of_marked_words():
+    """Words with marks, digits and letters of all kinds have the tokenizer's own ids, and a batch looks each word up once."""
+    import tokenizers
+
+    from tillroll.llm import tokens
+
+    class Counted(tokens.Known):
+        lookups = 0
+
+        def __getitem__(self, word):
+            Counted.lookups += 1
+            return super().__getitem__(word)
+
+    encoder = tokens.WordTokens(tokenizer_file())
+    plain = tokenizers.Tokenizer.from_file(tokenizer_file()).encode
+    rng = random.Random(7)
+    pieces = ["Word", "tion", "Straße", "ß", "ÉÊ", "ÿ", "über", "7", "2024", ",", ".", "&&&", "###", "'s", "'", "don't", "\u0301", "×", "÷", "ª",
+              "日本", "İ", "Σ", "\u00a0", "\u2028", "<|endoftext|>", "<|", "|>", "(x)", "_", "~", "\x7f", "\x1c", "\x85", "ﬁ", "½", "ⅷ", "\U0001f600"]
+    words = ["".join(rng.choices(pieces, k=rng.choice([1, 1, 2, 3, 5]))) for _ in range(4000)]
+    texts = [" ".join(rng.choices(words, k=rng.randrange(40))) for _ in range(600)]
+    want = [plain(t, add_special_tokens=False).ids for t in texts]
+    assert [ids.tolist() for ids in encoder.encode([t.encode() for t in texts])] == want
+    encoder.code = Counted(encoder.code)
+    assert [ids.tolist() for ids in encoder.encode([t.encode() for t in texts])] == want
+    assert 0 < Counted.lookups <= len({w for t in texts for w in t.encode().split()})
+
+
 def test_token_folders_that_no_worker_can_open():
     with pytest.raises(ValueError, match="viewstore"):
         token_files.open_store("viewstore://somewhere/tokens")

@@ -38,18 +38,17 @@ def tokenize_pieces(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY, e
         encoder = word_tokens(tokenizer)
         texts = utf8(batch.column("text"))
         row, piece, start, length, crc, kept = [], [], [], [], [], []
-        for at in range(0, len(texts), 256):
-            for k, found in enumerate(encoder.encode(texts[at:at + 256]), at):
-                ids = np.concatenate([found, end]).astype("<u4")
-                for p, s in enumerate(range(0, len(ids), capacity)):
-                    own = ids[s:s + capacity]
-                    row.append(k)
-                    piece.append(p)
-                    start.append(s)
-                    length.append(len(own))
-                    crc.append(zlib.crc32(own.tobytes()))
-                    if keep_ids:
-                        kept.append(own.astype(np.int32))
+        for k, found in enumerate(encoder.encode(texts)):
+            ids = np.concatenate([found, end]).astype("<u4")
+            for p, s in enumerate(range(0, len(ids), capacity)):
+                own = ids[s:s + capacity]
+                row.append(k)
+                piece.append(p)
+                start.append(s)
+                length.append(len(own))
+                crc.append(zlib.crc32(own.tobytes()))
+                if keep_ids:
+                    kept.append(own.astype(np.int32))
         yield pa.RecordBatch.from_arrays(
             [batch.column("doc_id").take(pa.array(row, pa.int64())), pa.array(piece, pa.int32()),
              pa.array(start, pa.int64()), pa.array(length, pa.int64()), pa.array(crc, pa.int64()),

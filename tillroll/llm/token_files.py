@@ -65,9 +65,8 @@ def write_token_files(docs: DataFrame, tokenizer: str, end_id: int, folder: str,
             if out is None and batch.num_rows:
                 out = store.open_output_stream(f"{root}/{name}")
             texts = utf8(batch.column("text"))
-            for at in range(0, len(texts), 256):
-                for ids in encoder.encode(texts[at:at + 256]):
-                    out.write(np.concatenate([ids.astype(dtype), end]).tobytes())
+            for ids in encoder.encode(texts):
+                out.write(np.concatenate([ids.astype(dtype), end]).tobytes())
             n = batch.num_rows
             yield pa.RecordBatch.from_arrays(
                 [pa.array([name] * n, pa.string()), pa.array(range(ordinal, ordinal + n), pa.int64()), batch.column("doc_id")],

@@ -13,6 +13,7 @@ import re
 from itertools import chain
 
 import numpy as np
+import pyarrow as pa
 
 from tillroll.llm.common import worker_state
 
@@ -20,12 +21,17 @@ from tillroll.llm.common import worker_state
 WORD_PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
 PRINTABLE = [*range(33, 127), *range(161, 173), *range(174, 256)]
 
-#: Words of letters that lower-casing and composition leave one by one, with a full stop or comma or none.
-PLAIN = re.compile("([A-Za-zÀ-ÖØ-öø-ÿ]+)([.,]?)")
+#: Units of words made of ASCII without "'" (which begins units of its own) and of letters that lower-casing and
+#: composition leave one by one; OTHER is what such words don't have. Words end at a newline.
+UNITS = re.compile(r"[a-zß-öø-ÿ]+|[0-9]|[!-&(-/:-@\[-`{-~]+|\n")
+OTHER = re.compile(r"[^\n!-&(-~À-ÖØ-öø-ÿ]")
 
 #: Words whose ids a worker remembers at most.
 MOST_WORDS = 1_000_000
 
+#: Texts whose ids are gathered at once.
+GATHERED = 256
+
 
 class Known(dict):
     """Words' numbers; -1 for others."""
@@ -52,23 +58,32 @@ class WordTokens:
                         and cuts[0]["pattern"].get("Regex") == WORD_PATTERN and not cuts[1]["add_prefix_space"])
         others = [b for b in range(256) if b not in PRINTABLE]
         self.letters = {b: chr(b) for b in PRINTABLE} | {b: chr(256 + i) for i, b in enumerate(others)}
-        self.units: dict[str, list[int]] = {}
+        #: Strings that have ids of their own wherever they stand in a text.
+        self.added = [t["content"] for t in made.get("added_tokens", []) if t["content"]]
+        self.units: dict[str, tuple[int, ...]] = {}
         self.clear()
 
-    def ids_of(self, words: list[bytes]) -> list[list[int]]:
+    def ids_of(self, words: list[bytes]) -> tuple[list[bytes], list[int], list[int]]:
+        """The words in another order, their ids one after another, and where each word's ids end."""
         texts = [w.decode() for w in words]
-        plain = [PLAIN.fullmatch(t) if self.by_unit else None for t in texts]
-        rest = iter(self.tokenizer.encode_batch_fast([t for t, p in zip(texts, plain) if not p],
-                                                     add_special_tokens=False))
-        return [self.unit(p[1].lower()) + (self.unit(p[2]) if p[2] else []) if p else next(rest).ids for p in plain]
-
-    def unit(self, text: str) -> list[int]:
+        odd = [not self.by_unit or OTHER.search(t) is not None or any(map(t.__contains__, self.added)) for t in texts]
+        ids, ends = [], []
+        known, unit = self.units, self.unit
+        for u in UNITS.findall("".join([t + "\n" for t, o in zip(texts, odd) if not o]).lower()):
+            if u == "\n":
+                ends.append(len(ids))
+            else:
+                ids += known.get(u) or unit(u)
+        for found in self.tokenizer.encode_batch_fast([t for t, o in zip(texts, odd) if o], add_special_tokens=False):
+            ids += found.ids
+            ends.append(len(ids))
+        return [w for w, o in zip(words, odd) if not o] + [w for w, o in zip(words, odd) if o], ids, ends
+
+    def unit(self, text: str) -> tuple[int, ...]:
         """Ids of one unit of the word pattern."""
-        known = self.units.get(text)
-        if known is None:
-            spelt = text.encode().decode("latin-1").translate(self.letters)
-            known = self.units[text] = [t.id for t in self.tokenizer.model.tokenize(spelt)]
-        return known
+        spelt = text if text.isascii() else text.encode().decode("latin-1").translate(self.letters)
+        found = self.units[text] = tuple([t.id for t in self.tokenizer.model.tokenize(spelt)])
+        return found
 
     def clear(self) -> None:
         self.units.clear()
@@ -76,44 +91,51 @@ class WordTokens:
         self.flat = np.zeros(1 << 16, np.uint32)
         self.starts = np.zeros(1 << 14, np.int64)  # of the words' ids in flat; one more than words
 
-    def learn(self, words: set[bytes]) -> bool:
-        """Remember the ids of new words. False, with nothing remembered any more, if there are too many by now."""
-        new = sorted(words.difference(self.code))
+    def learn(self, new: list[bytes]) -> bool:
+        """Remember the ids of words that aren't yet. False, with nothing remembered any more, if there are too many by now."""
         if self.code and len(self.code) + len(new) > MOST_WORDS:
             self.clear()
             return False
         for at in range(0, len(new), 4096):
-            part = new[at:at + 4096]
-            found = self.ids_of(part)
-            n, sizes = len(self.code), [len(f) for f in found]
+            part, ids, ends = self.ids_of(new[at:at + 4096])
+            n = len(self.code)
             used = int(self.starts[n])
-            total = used + sum(sizes)
+            total = used + len(ids)
             if total > len(self.flat):
                 self.flat = np.concatenate([self.flat, np.zeros(max(total, len(self.flat)), np.uint32)])
             if n + len(part) + 1 > len(self.starts):
                 self.starts = np.concatenate([self.starts, np.zeros(max(len(part) + 1, len(self.starts)), np.int64)])
-            self.flat[used:total] = [i for f in found for i in f]
-            self.starts[n + 1:n + len(part) + 1] = used + np.cumsum(sizes)
+            self.flat[used:total] = ids
+            self.starts[n + 1:n + len(part) + 1] = used + np.array(ends, np.int64)
             self.code.update(zip(part, range(n, n + len(part))))
         return True
 
     def encode(self, texts: list[bytes]) -> list[np.ndarray]:
         """Ids of each text. Splits at ASCII white space; other white space stays inside a word's text."""
         split = [t.split() for t in texts]
-        words = list(chain.from_iterable(split))
+        # each distinct word is looked up once
+        held = pa.array(chain.from_iterable(split), pa.large_binary()).dictionary_encode()
+        words = held.dictionary.to_pylist()
         codes = np.fromiter(map(self.code.__getitem__, words), np.int64, len(words))
         unknown = np.flatnonzero(codes < 0).tolist()
-        if unknown and self.learn({words[k] for k in unknown}):
+        if unknown and self.learn([words[k] for k in unknown]):
             codes[unknown] = [self.code[words[k]] for k in unknown]
         elif unknown:  # the cache was emptied, and holds this batch's words only
-            self.learn(set(words))
+            self.learn(words)
             codes = np.fromiter(map(self.code.__getitem__, words), np.int64, len(words))
-        starts = self.starts[codes]
-        sizes = self.starts[codes + 1] - starts
-        ends = np.concatenate([[0], np.cumsum(sizes)])
-        ids = self.flat[np.repeat(starts - ends[:-1], sizes) + np.arange(int(ends[-1]))]
-        edge = ends[np.cumsum([0, *map(len, split)])].tolist()
-        return [ids[a:b] for a, b in zip(edge, edge[1:])]
+        codes = codes[held.indices.to_numpy()]
+        edge = np.cumsum([0, *map(len, split)])
+        out = []
+        for at in range(0, len(texts), GATHERED):
+            edges = edge[at:at + GATHERED + 1]
+            own = codes[edges[0]:edges[-1]]
+            starts = self.starts[own]
+            sizes = self.starts[own + 1] - starts
+            ends = np.concatenate([[0], np.cumsum(sizes)])
+            ids = self.flat[np.repeat(starts - ends[:-1], sizes) + np.arange(int(ends[-1]))]
+            bounds = ends[edges - edges[0]].tolist()
+            out += [ids[a:b] for a, b in zip(bounds, bounds[1:])]
+        return out
 
 
 def word_tokens(path: str, special: bool = True) -> WordTokens:
