@@ -257,6 +257,48 @@ def test_token_cache_that_overflows(monkeypatch):
         assert got_ids == [plain(t, add_special_tokens=False).ids for t in texts]
 
 
+def test_token_cache_keeps_words_that_come_again():
+    """Many rare words don't fill a worker's memory, nor push out the words that every batch has."""
+    from tillroll.llm import tokens
+
+    asked = []
+
+    class Asked(tokens.WordTokens):
+        def ids_of(self, words):
+            asked.extend(words)
+            return super().ids_of(words)
+
+    encoder = Asked(tokenizer_file())
+    often = ["the", "house", "on", "hills."]
+    rng = random.Random(8)
+    rare = ["".join(rng.choices("abcdefghijklmnop", k=9)) for _ in range(360_000)]
+    want = None
+    for at in range(0, len(rare), 45_000):
+        found = encoder.encode([" ".join(often).encode(), " ".join(rare[at:at + 45_000]).encode()])
+        want = want or found[0].tolist()
+        assert found[0].tolist() == want
+        assert len(encoder.code) <= 300_000 and len(encoder.units) <= 300_000
+    assert [asked.count(w.encode()) for w in often] == [1] * 4
+    assert tokens.WordTokens(tokenizer_file()).encode([" ".join(often).encode()])[0].tolist() == want
+
+
+def test_tokens_of_a_batch_in_parts():
+    """A batch's words aren't held all at once; its texts keep their places."""
+    import tracemalloc
+
+    from tillroll.llm import tokens
+
+    encoder = tokens.WordTokens(tokenizer_file())
+    texts = [b"", *[b"abcdefghi %d " % k * 40_000 for k in range(24)], b"last"]  # 11 MB
+    want = [encoder.encode([t])[0].tolist() for t in texts]
+    tracemalloc.start()
+    found = encoder.encode(texts)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert [ids.tolist() for ids in found] == want
+    assert peak < 130 << 20
+
+
 def test_tokens_of_marked_words():
     """Words with marks, digits and letters of all kinds have the tokenizer's own ids, and a batch looks each word up once."""
     import tokenizers

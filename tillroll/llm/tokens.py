@@ -26,8 +26,11 @@ PRINTABLE = [*range(33, 127), *range(161, 173), *range(174, 256)]
 UNITS = re.compile(r"[a-zß-öø-ÿ]+|[0-9]|[!-&(-/:-@\[-`{-~]+|\n")
 OTHER = re.compile(r"[^\n!-&(-~À-ÖØ-öø-ÿ]")
 
-#: Words whose ids a worker remembers at most.
-MOST_WORDS = 1_000_000
+#: Words whose ids a worker remembers at most, and units; only a part's own words may be more.
+MOST_WORDS = 250_000
+
+#: Bytes of texts that are split into words at once; a longer text is split alone.
+PART_BYTES = 4 << 20
 
 #: Texts whose ids are gathered at once.
 GATHERED = 256
@@ -86,53 +89,75 @@ class WordTokens:
         return found
 
     def clear(self) -> None:
-        self.units.clear()
         self.code = Known()
         self.flat = np.zeros(1 << 16, np.uint32)
         self.starts = np.zeros(1 << 14, np.int64)  # of the words' ids in flat; one more than words
 
-    def learn(self, new: list[bytes]) -> bool:
-        """Remember the ids of words that aren't yet. False, with nothing remembered any more, if there are too many by now."""
-        if self.code and len(self.code) + len(new) > MOST_WORDS:
-            self.clear()
-            return False
+    def gather(self, codes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of known words one after another, and where each word's begin and end."""
+        starts = self.starts[codes]
+        sizes = self.starts[codes + 1] - starts
+        ends = np.concatenate([[0], np.cumsum(sizes)])
+        return self.flat[np.repeat(starts - ends[:-1], sizes) + np.arange(int(ends[-1]))], ends
+
+    def add(self, words: list[bytes], ids: np.ndarray | list[int], ends: np.ndarray) -> None:
+        """Remember words by their ids one after another and where each word's end."""
+        n = len(self.code)
+        used = int(self.starts[n])
+        total = used + len(ids)
+        if total > len(self.flat):
+            self.flat = np.concatenate([self.flat, np.zeros(max(total, len(self.flat)), np.uint32)])
+        if n + len(words) + 1 > len(self.starts):
+            self.starts = np.concatenate([self.starts, np.zeros(max(len(words) + 1, len(self.starts)), np.int64)])
+        self.flat[used:total] = ids
+        self.starts[n + 1:n + len(words) + 1] = used + ends
+        self.code.update(zip(words, range(n, n + len(words))))
+
+    def keep(self, words: list[bytes], codes: np.ndarray) -> None:
+        """Forget all words but these."""
+        ids, ends = self.gather(codes)
+        self.clear()
+        self.add(words, ids, ends[1:])
+
+    def learn(self, new: list[bytes]) -> None:
+        """Remember the ids of words that aren't yet."""
         for at in range(0, len(new), 4096):
-            part, ids, ends = self.ids_of(new[at:at + 4096])
-            n = len(self.code)
-            used = int(self.starts[n])
-            total = used + len(ids)
-            if total > len(self.flat):
-                self.flat = np.concatenate([self.flat, np.zeros(max(total, len(self.flat)), np.uint32)])
-            if n + len(part) + 1 > len(self.starts):
-                self.starts = np.concatenate([self.starts, np.zeros(max(len(part) + 1, len(self.starts)), np.int64)])
-            self.flat[used:total] = ids
-            self.starts[n + 1:n + len(part) + 1] = used + np.array(ends, np.int64)
-            self.code.update(zip(part, range(n, n + len(part))))
-        return True
+            if len(self.units) > MOST_WORDS:
+                self.units.clear()
+            words, ids, ends = self.ids_of(new[at:at + 4096])
+            self.add(words, ids, np.array(ends, np.int64))
 
     def encode(self, texts: list[bytes]) -> list[np.ndarray]:
         """Ids of each text. Splits at ASCII white space; other white space stays inside a word's text."""
+        out, first, size = [], 0, 0
+        for k, text in enumerate(texts):
+            if size and size + len(text) > PART_BYTES:
+                out += self.encode_part(texts[first:k])
+                first, size = k, 0
+            size += len(text)
+        return out + self.encode_part(texts[first:])
+
+    def encode_part(self, texts: list[bytes]) -> list[np.ndarray]:
         split = [t.split() for t in texts]
         # each distinct word is looked up once
         held = pa.array(chain.from_iterable(split), pa.large_binary()).dictionary_encode()
         words = held.dictionary.to_pylist()
         codes = np.fromiter(map(self.code.__getitem__, words), np.int64, len(words))
-        unknown = np.flatnonzero(codes < 0).tolist()
-        if unknown and self.learn([words[k] for k in unknown]):
-            codes[unknown] = [self.code[words[k]] for k in unknown]
-        elif unknown:  # the cache was emptied, and holds this batch's words only
-            self.learn(words)
-            codes = np.fromiter(map(self.code.__getitem__, words), np.int64, len(words))
+        unknown = np.flatnonzero(codes < 0)
+        if len(unknown):
+            if len(self.code) + len(unknown) > MOST_WORDS:  # words that come again stay
+                known = np.flatnonzero(codes >= 0)
+                self.keep([words[k] for k in known.tolist()], codes[known])
+                codes[known] = np.arange(len(known))
+            new = [words[k] for k in unknown.tolist()]
+            self.learn(new)
+            codes[unknown] = [self.code[w] for w in new]
         codes = codes[held.indices.to_numpy()]
         edge = np.cumsum([0, *map(len, split)])
         out = []
         for at in range(0, len(texts), GATHERED):
             edges = edge[at:at + GATHERED + 1]
-            own = codes[edges[0]:edges[-1]]
-            starts = self.starts[own]
-            sizes = self.starts[own + 1] - starts
-            ends = np.concatenate([[0], np.cumsum(sizes)])
-            ids = self.flat[np.repeat(starts - ends[:-1], sizes) + np.arange(int(ends[-1]))]
+            ids, ends = self.gather(codes[edges[0]:edges[-1]])
             bounds = ends[edges - edges[0]].tolist()
             out += [ids[a:b] for a, b in zip(bounds, bounds[1:])]
         return out
