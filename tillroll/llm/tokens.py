@@ -27,7 +27,7 @@ UNITS = re.compile(r"[a-zß-öø-ÿ]+|[0-9]|[!-&(-/:-@\[-`{-~]+|\n")
 OTHER = re.compile(r"[^\n!-&(-~À-ÖØ-öø-ÿ]")
 
 #: Words whose ids a worker remembers at most, and units; only a part's own words may be more.
-MOST_WORDS = 250_000
+MOST_WORDS = 350_000
 
 #: Bytes of texts that are split into words at once; a longer text is split alone.
 PART_BYTES = 4 << 20
